@@ -163,3 +163,43 @@ def sleep_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").alias("started_at"),
         (F.col("l_shipdate") + F.expr("INTERVAL 30 MINUTES")).alias("ended_at"),
         F.col("l_returnflag").alias("stage_type"))
+
+
+def file_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping per-device export files, as legacy CSV downloads produced them.
+
+    file A: days 1-20 of January 2024, key ``<id>_01-Jan-2024_20-Jan-2024``
+    file B: days 15-30 (re-export: a value differs when k % 7 = 0, and an
+            extra ``firmware`` column), key ``<id>_15-Jan-2024_30-Jan-2024``
+    file C: every 10th device, day 30 again, identical to B, key ``<id>_30-Jan-2024``
+    file D: every 25th device, day 1 again, key with an unparsable first date
+            ``<id>_31-Foo-2024_01-Jan-2024``
+    Columns: file_key, device_id (string), datetime, event_type, value, k[, firmware].
+    """
+    r = readings(spark, sf_dir).select(
+        F.col("device_id").cast("string").alias("device_id"),
+        F.col("recorded_at").alias("datetime"), F.col("data_type").alias("event_type"),
+        "value", "k")
+    day = F.dayofmonth("datetime")
+    key = lambda suffix: F.concat(F.col("device_id"), F.lit(suffix))
+    a = r.where(day <= 20).withColumn("file_key", key("_01-Jan-2024_20-Jan-2024"))
+    b = (r.where(day >= 15)
+         .withColumn("value", F.when(F.col("k") % 7 == 0, F.col("value") + 1).otherwise(F.col("value")))
+         .withColumn("firmware", F.lit("2.1"))
+         .withColumn("file_key", key("_15-Jan-2024_30-Jan-2024")))
+    c = (r.where((day == 30) & (F.col("device_id").cast("long") % 10 == 0))
+         .withColumn("value", F.when(F.col("k") % 7 == 0, F.col("value") + 1).otherwise(F.col("value")))
+         .withColumn("firmware", F.lit("2.1"))
+         .withColumn("file_key", key("_30-Jan-2024")))
+    d = (r.where((day == 1) & (F.col("device_id").cast("long") % 25 == 0))
+         .withColumn("file_key", key("_31-Foo-2024_01-Jan-2024")))
+    return (a.unionByName(b, allowMissingColumns=True)
+            .unionByName(c, allowMissingColumns=True)
+            .unionByName(d, allowMissingColumns=True))
+
+
+def hourly_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per device, one row per hour with data and one column per event type."""
+    h = hourly_long(spark, sf_dir)
+    return (h.groupBy("device_id", "datetime").pivot("column", EVENT_TYPES)
+            .agg(F.first("value")))

@@ -36,3 +36,208 @@ def agg1_loss_report(spark, sf_dir):
     out = stats.loss_report(model.hourly_long(spark, sf_dir), rows, keys=("device_id",))
     out = out.withColumn("df", F.lit("hourly"))
     return rounded(out.select("df", "device_id", "column", "rows", "missing_n", "coverage_pct"))
+
+
+_W10 = "RANGE BETWEEN INTERVAL '863999999999 microseconds' PRECEDING AND CURRENT ROW"
+
+
+@query("win1_rolling_range", sql=with_(ANALYSIS_LONG) + f"""
+SELECT datetime, df, device_id, "column",
+       round(min(value) OVER w, 6) AS roll_min, round(max(value) OVER w, 6) AS roll_max,
+       round(avg(value) OVER w, 6) AS roll_mean, round(quantile_cont(value, 0.5) OVER w, 6) AS roll_median
+FROM analysis_long WHERE datetime IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)
+WINDOW w AS (PARTITION BY df, device_id, "column" ORDER BY datetime {_W10})
+""")
+def win1_rolling_range(spark, sf_dir):
+    """10-day rolling band per (table, device, column), native RANGE window."""
+    from senslake.operators.rolling import rolling_range
+    return rounded(rolling_range(model.analysis_long(spark, sf_dir), "10D"))
+
+
+def _dense(spark, sf_dir):
+    """All devices' values of one event type as one series (a hot key)."""
+    a = model.analysis_long(spark, sf_dir).where(F.col("column") == "value")
+    return a.withColumn("device_id", F.lit("all"))
+
+
+# The mean is summed in exact decimal arithmetic: on a long series a float
+# running sum drifts, and ties at the 7th digit then round differently.
+_DENSE_SQL = with_(ANALYSIS_LONG) + f"""
+SELECT datetime, df, 'all' AS device_id, "column",
+       round(min(value) OVER w, 6) AS roll_min, round(max(value) OVER w, 6) AS roll_max,
+       round(avg(CAST(value AS DECIMAL(38, 10))) OVER w, 6) AS roll_mean, round(quantile_cont(value, 0.5) OVER w, 6) AS roll_median
+FROM analysis_long WHERE "column" = 'value' AND datetime IS NOT NULL AND value IS NOT NULL
+WINDOW w AS (PARTITION BY df, "column" ORDER BY datetime {_W10})
+"""
+
+
+@query("win1_rolling_dense_chunked", sql=_DENSE_SQL)
+def win1_rolling_dense_chunked(spark, sf_dir):
+    """10-day rolling band over one dense series per event type (all devices
+    pooled), by time chunks with look-back copies: the hot-series plan."""
+    from senslake.operators.rolling import rolling_range
+    return rounded(rolling_range(_dense(spark, sf_dir), "10D", method="chunked", chunk="2D"))
+
+
+@query("agg3_table_overview", sql=with_(ANALYSIS_LONG) + """
+SELECT df, device_id, count(DISTINCT datetime) AS rows, count(DISTINCT "column") AS columns,
+       min(datetime) AS first_ts, max(datetime) AS last_ts
+FROM analysis_long GROUP BY df, device_id
+""")
+def agg3_table_overview(spark, sf_dir):
+    return stats.table_overview(model.analysis_long(spark, sf_dir))
+
+
+@query("agg4_column_overview", sql=with_(HOURLY_LONG) + """
+SELECT df, "column", count(value) AS non_null,
+       min(CASE WHEN value IS NOT NULL THEN datetime END) AS first_ts,
+       max(CASE WHEN value IS NOT NULL THEN datetime END) AS last_ts
+FROM hourly_long GROUP BY df, "column"
+""")
+def agg4_column_overview(spark, sf_dir):
+    return stats.column_overview(model.hourly_long(spark, sf_dir))
+
+
+@query("agg11_daily_rolling_mean", sql=with_(ANALYSIS_LONG) + f"""
+, roll AS (
+  SELECT datetime, df, device_id, "column",
+         min(value) OVER w AS roll_min, max(value) OVER w AS roll_max,
+         avg(value) OVER w AS roll_mean, quantile_cont(value, 0.5) OVER w AS roll_median
+  FROM analysis_long WHERE "column" = 'value'
+  WINDOW w AS (PARTITION BY df, device_id, "column" ORDER BY datetime {_W10})
+), daily AS (
+  SELECT df, device_id, "column", CAST(datetime AS DATE) AS day, avg(roll_min) AS roll_min,
+         avg(roll_max) AS roll_max, avg(roll_mean) AS roll_mean, avg(roll_median) AS roll_median
+  FROM roll GROUP BY 1, 2, 3, 4
+), span AS (
+  SELECT df, device_id, "column", CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM daily GROUP BY 1, 2, 3
+)
+SELECT s.df, s.device_id, s."column", s.day, round(d.roll_min, 6) AS roll_min, round(d.roll_max, 6) AS roll_max,
+       round(d.roll_mean, 6) AS roll_mean, round(d.roll_median, 6) AS roll_median
+FROM span s LEFT JOIN daily d USING (df, device_id, "column", day)
+""")
+def agg11_daily_rolling_mean(spark, sf_dir):
+    """Calendar-day mean of the rolling band; days without data are null rows."""
+    from senslake.operators.rolling import rolling_range
+    roll = rolling_range(model.analysis_long(spark, sf_dir).where(F.col("column") == "value"), "10D")
+    out = stats.daily_mean(roll, ["roll_min", "roll_max", "roll_mean", "roll_median"])
+    return rounded(out.select("df", "device_id", "column", "day",
+                              "roll_min", "roll_max", "roll_mean", "roll_median"))
+
+
+@query("agg12_rolling_band_summary", sql=with_(ANALYSIS_LONG) + f"""
+, roll AS (
+  SELECT datetime, df, device_id, "column",
+         min(value) OVER w AS roll_min, max(value) OVER w AS roll_max,
+         quantile_cont(value, 0.5) OVER w AS roll_median
+  FROM analysis_long
+  WINDOW w AS (PARTITION BY df, device_id, "column" ORDER BY datetime {_W10})
+)
+SELECT df, "column", round(quantile_cont(roll_min, 0.5), 6) AS band_min,
+       round(quantile_cont(roll_median, 0.5), 6) AS band_center,
+       round(quantile_cont(roll_max, 0.5), 6) AS band_max
+FROM roll GROUP BY df, "column"
+""")
+def agg12_rolling_band_summary(spark, sf_dir):
+    from senslake.operators.rolling import rolling_range
+    roll = rolling_range(model.analysis_long(spark, sf_dir), "10D")
+    return rounded(stats.rolling_band_summary(roll))
+
+
+@query("agg13_coverage_band", sql=with_(HOURLY_LONG, HOURLY_ROWS) + """
+, present AS (SELECT device_id, "column", count(*) AS present FROM hourly_long GROUP BY 1, 2)
+, cov AS (SELECT p.device_id, p."column", (1.0 - (h.rows - p.present) / h.rows) * 100.0 AS pct
+          FROM present p JOIN hourly_rows h USING (device_id))
+SELECT "column", CASE WHEN pct < 50 THEN '<50' WHEN pct < 80 THEN '<80' ELSE '>=80' END AS band,
+       count(*) AS devices
+FROM cov GROUP BY 1, 2
+""")
+def agg13_coverage_band(spark, sf_dir):
+    """Devices per coverage band for each event type column."""
+    rows = model.hourly_spine_size(spark, sf_dir).select("device_id", "rows")
+    rep = stats.loss_report(model.hourly_long(spark, sf_dir), rows, keys=("device_id",))
+    return (rep.withColumn("band", stats.coverage_band(F.col("coverage_pct")))
+            .groupBy("column", "band").agg(F.count("*").alias("devices")))
+
+
+@query("agg14_label_split", sql=with_(HOURLY_LONG) + """
+, named AS (SELECT CASE WHEN CAST(device_id AS BIGINT) % 4 = 0 THEN "column"
+                        ELSE "column" || '_' || device_id END AS merged_column, value FROM hourly_long)
+SELECT merged_column AS "column",
+       CASE WHEN contains(merged_column, '_') THEN regexp_extract(merged_column, '^(.*)_([^_]*)$', 1)
+            ELSE merged_column END AS base_column,
+       CASE WHEN contains(merged_column, '_') THEN regexp_extract(merged_column, '^(.*)_([^_]*)$', 2)
+            ELSE '' END AS device_label,
+       count(*) AS cells
+FROM named GROUP BY 1, 2, 3
+""")
+def agg14_label_split(spark, sf_dir):
+    """Split merged-frame column names '<column>_<device>' back into parts.
+    Every 4th device is named without suffix (the single-device case)."""
+    h = model.hourly_long(spark, sf_dir)
+    merged = F.when(F.col("device_id").cast("long") % 4 == 0, F.col("column")) \
+        .otherwise(F.concat_ws("_", "column", "device_id"))
+    named = h.select(merged.alias("column"), "value")
+    return (stats.with_labels(named)
+            .groupBy("column", "base_column", "device_label").agg(F.count("*").alias("cells")))
+
+
+@query("flt1_date_range", sql=with_(ANALYSIS_LONG) + """
+SELECT df, device_id, datetime, "column", value FROM analysis_long
+WHERE datetime >= TIMESTAMP '2024-01-05 06:00:00' AND datetime <= TIMESTAMP '2024-01-20 00:00:00'
+""")
+def flt1_date_range(spark, sf_dir):
+    """Inclusive [start, end] filter; a date-only end means that midnight."""
+    from senslake.operators.filters import date_range
+    return date_range(model.analysis_long(spark, sf_dir), "2024-01-05 06:00", "2024-01-20")
+
+
+@query("flt6_dropna", sql=with_(HOURLY_LONG) + """
+, wide AS (
+  SELECT device_id, datetime,
+         max(CASE WHEN "column" = 'click' THEN value END) AS click,
+         max(CASE WHEN "column" = 'error' THEN value END) AS error,
+         max(CASE WHEN "column" = 'purchase' THEN value END) AS purchase,
+         max(CASE WHEN "column" = 'signup' THEN value END) AS signup,
+         max(CASE WHEN "column" = 'view' THEN value END) AS "view"
+  FROM hourly_long GROUP BY 1, 2)
+SELECT 'any' AS how, count(*) AS rows_kept FROM wide
+  WHERE click IS NOT NULL AND error IS NOT NULL AND purchase IS NOT NULL AND signup IS NOT NULL AND "view" IS NOT NULL
+UNION ALL
+SELECT 'all', count(*) FROM wide
+  WHERE click IS NOT NULL OR error IS NOT NULL OR purchase IS NOT NULL OR signup IS NOT NULL OR "view" IS NOT NULL
+UNION ALL
+SELECT 'subset', count(*) FROM wide WHERE click IS NOT NULL AND "view" IS NOT NULL
+""")
+def flt6_dropna(spark, sf_dir):
+    """Rows kept by dropna(how='any' / 'all' / subset) on the hourly wide frame."""
+    from senslake.operators.filters import drop_nulls
+    wide = model.hourly_wide(spark, sf_dir).cache()
+    cols = model.EVENT_TYPES
+    parts = [drop_nulls(wide, "any", cols).agg(F.count("*").alias("rows_kept"))
+             .select(F.lit("any").alias("how"), "rows_kept"),
+             drop_nulls(wide, "all", cols).agg(F.count("*").alias("rows_kept"))
+             .select(F.lit("all").alias("how"), "rows_kept"),
+             drop_nulls(wide, "any", ["click", "view"]).agg(F.count("*").alias("rows_kept"))
+             .select(F.lit("subset").alias("how"), "rows_kept")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("jn3_timeline_merge", sql=with_(HOURLY_LONG) + """
+SELECT device_id, datetime,
+       round(max(CASE WHEN "column" = 'click' THEN value END), 6) AS click,
+       round(max(CASE WHEN "column" = 'error' THEN value END), 6) AS error,
+       round(max(CASE WHEN "column" = 'purchase' THEN value END), 6) AS purchase,
+       round(max(CASE WHEN "column" = 'signup' THEN value END), 6) AS signup,
+       round(max(CASE WHEN "column" = 'view' THEN value END), 6) AS "view"
+FROM hourly_long GROUP BY 1, 2
+""")
+def jn3_timeline_merge(spark, sf_dir):
+    """Outer merge of each device's five hourly tables on datetime -- as one
+    pivot (one shuffle) instead of a left-fold of four outer joins."""
+    from senslake.operators.joins import merge_on_time
+    h = model.hourly_long(spark, sf_dir)
+    tables = {t: h.where(F.col("column") == t).select("device_id", "datetime", F.col("value").alias(t))
+              for t in model.EVENT_TYPES}
+    return rounded(merge_on_time(tables, keys=("device_id",), how="outer"))

@@ -64,3 +64,39 @@ assignments AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
+
+FILE_CHUNKS = """
+file_rows AS (
+  SELECT CAST(user_id AS VARCHAR) AS device_id, ts AS datetime, event_type, value,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+  FROM events
+),
+file_chunks AS (
+  SELECT CAST(device_id || '_01-Jan-2024_20-Jan-2024' AS VARCHAR) AS file_key, device_id, datetime, event_type,
+         value, k, CAST(NULL AS VARCHAR) AS firmware
+  FROM file_rows WHERE day(datetime) <= 20
+  UNION ALL
+  SELECT device_id || '_15-Jan-2024_30-Jan-2024', device_id, datetime, event_type,
+         CASE WHEN k % 7 = 0 THEN value + 1 ELSE value END, k, '2.1'
+  FROM file_rows WHERE day(datetime) >= 15
+  UNION ALL
+  SELECT device_id || '_30-Jan-2024', device_id, datetime, event_type,
+         CASE WHEN k % 7 = 0 THEN value + 1 ELSE value END, k, '2.1'
+  FROM file_rows WHERE day(datetime) = 30 AND CAST(device_id AS BIGINT) % 10 = 0
+  UNION ALL
+  SELECT device_id || '_31-Foo-2024_01-Jan-2024', device_id, datetime, event_type, value, k, NULL
+  FROM file_rows WHERE day(datetime) = 1 AND CAST(device_id AS BIGINT) % 25 = 0
+)"""
+
+FILE_KEYS = """
+file_keys AS (
+  SELECT file_key,
+         regexp_extract(file_key, '^([A-Za-z0-9]+)_(.+)$', 1) AS device_id,
+         list_filter(list_transform(string_split(regexp_extract(file_key, '^([A-Za-z0-9]+)_(.+)$', 2), '_'),
+                                    x -> try_strptime(trim(x), '%d-%b-%Y')), x -> x IS NOT NULL) AS dates
+  FROM (SELECT DISTINCT file_key FROM file_chunks)
+),
+file_index AS (
+  SELECT file_key, device_id, CAST(dates[1] AS TIMESTAMP) AS start_date, CAST(dates[-1] AS TIMESTAMP) AS end_date
+  FROM file_keys
+)"""

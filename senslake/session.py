@@ -35,6 +35,7 @@ def get_session(master: str | None = None, app: str = "senslake",
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", os.environ.get("SENSLAKE_DRIVER_MEMORY", "16g")))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
