@@ -93,7 +93,7 @@ file_keys AS (
   SELECT file_key,
          regexp_extract(file_key, '^([A-Za-z0-9]+)_(.+)$', 1) AS device_id,
          list_filter(list_transform(string_split(regexp_extract(file_key, '^([A-Za-z0-9]+)_(.+)$', 2), '_'),
-                                    x -> try_strptime(trim(x), '%d-%b-%Y')), x -> x IS NOT NULL) AS dates
+                                    lambda x: try_strptime(trim(x), '%d-%b-%Y')), lambda x: x IS NOT NULL) AS dates
   FROM (SELECT DISTINCT file_key FROM file_chunks)
 ),
 file_index AS (
