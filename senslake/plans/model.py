@@ -203,3 +203,169 @@ def hourly_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = hourly_long(spark, sf_dir)
     return (h.groupBy("device_id", "datetime").pivot("column", EVENT_TYPES)
             .agg(F.first("value")))
+
+
+# ---------------------------------------------------------------------------
+# Landed payloads built from events (one payload per event: bounded size).
+# ---------------------------------------------------------------------------
+
+# JSON null marker: to_json drops null fields (= absent keys); a field that
+# must be present-but-null carries this marker, replaced after serialising.
+_JSON_NULL = "__json_null__"
+
+
+def _iso_z(ts) -> Column:
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+
+
+def _iso_ist(ts) -> Column:
+    """Same instant written as local time at +05:30."""
+    local = ts + F.expr("INTERVAL '5:30' HOUR TO MINUTE")
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+05:30"))
+
+
+def _interval(ts, minutes: int) -> Column:
+    return F.struct(_iso_z(ts).alias("startTime"),
+                    _iso_z(ts + F.expr(f"INTERVAL {minutes} MINUTES")).alias("endTime"))
+
+
+def _ymd(ts) -> Column:
+    return F.struct(F.year(ts).alias("year"), F.month(ts).alias("month"), F.dayofmonth(ts).alias("day"))
+
+
+def _pts(point: Column) -> Column:
+    return F.struct(F.array(point).alias("dataPoints"))
+
+
+def _s(c) -> Column:
+    return c.cast("string")
+
+
+def wearable_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of wearable devices with the device timezone."""
+    dev = devices(spark, sf_dir).where(F.col("device_type") == "wearable") \
+        .select("device_id", "timezone")
+    return readings(spark, sf_dir).join(dev, "device_id")
+
+
+def wearable_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ingests of wearable devices: one JSON payload per event.
+
+    view     -> steps (interval) + active-minutes (list; absent when k%5=0)
+    click    -> heart-rate (sample; +05:30 offset when k%3=0)
+                + respiratory-rate-sleep-summary (null / absent stage keys)
+    purchase -> active-zone-minutes (tag absent when k%4=3) + exercise
+                + calories-in-heart-rate-zone (empty dataPoints, civil-date rollup)
+    signup   -> daily-oxygen-saturation (date absent when event_id%997=0,
+                upper bound null when k even) + daily-heart-rate-variability
+                + daily-heart-rate-zones (second zone without type) + profile
+    error    -> activity-level + sleep (2 stages) + sedentary-period (dropped)
+                + weight (unmapped, k even) + floors (empty) + mystery-metric
+                (unrecognised, k%3=0) + distance (null section)
+    """
+    e = wearable_events(spark, sf_dir)
+    ts, k, v, t = F.col("recorded_at"), F.col("k"), F.col("value"), F.col("data_type")
+    jnull = F.lit(_JSON_NULL)
+    level = F.element_at(F.array(*[F.lit(x) for x in ["SEDENTARY", "LIGHT", "MODERATE", "VERY"]]),
+                         (k % 4 + 1).cast("int"))
+    zone = F.when(k % 4 == 0, "FAT_BURN").when(k % 4 == 1, "CARDIO").when(k % 4 == 2, "PEAK")
+    date = F.when(F.col("event_id") % 997 != 0, _ymd(ts))
+    when = lambda typ, c: F.when(t == typ, c)
+
+    payload = F.struct(
+        when("view", _pts(F.struct(F.struct(
+            _interval(ts, 1).alias("interval"), _s(k).alias("count")).alias("steps")))).alias("steps"),
+        when("view", _pts(F.struct(F.struct(
+            _interval(ts, 1).alias("interval"),
+            F.when(k % 5 != 0, F.array(
+                F.struct(F.lit("LIGHT").alias("activityLevel"), _s(k).alias("activeMinutes")),
+                F.struct(F.lit("MODERATE").alias("activityLevel"), _s(v).alias("activeMinutes"))))
+            .alias("activeMinutesByActivityLevel")).alias("activeMinutes")))).alias("active-minutes"),
+        when("click", _pts(F.struct(F.struct(
+            F.struct(F.when(k % 3 == 0, _iso_ist(ts)).otherwise(_iso_z(ts)).alias("physicalTime"))
+            .alias("sampleTime"),
+            _s(v).alias("beatsPerMinute")).alias("heartRate")))).alias("heart-rate"),
+        when("click", _pts(F.struct(F.struct(
+            F.struct(_iso_z(ts).alias("physicalTime")).alias("sampleTime"),
+            F.struct(v.alias("breathsPerMinute"), (k / 10.0).alias("standardDeviation"),
+                     jnull.alias("signalToNoise")).alias("deepSleepStats"),
+            F.struct((v + 1).alias("breathsPerMinute")).alias("fullSleepStats"),
+            F.struct(F.lit(None).cast("string").alias("absent")).alias("lightSleepStats"))
+            .alias("respiratoryRateSleepSummary")))).alias("respiratory-rate-sleep-summary"),
+        when("purchase", _pts(F.struct(F.struct(
+            _interval(ts, 1).alias("interval"), zone.alias("heartRateZone"),
+            _s(k).alias("activeZoneMinutes")).alias("activeZoneMinutes")))).alias("active-zone-minutes"),
+        when("purchase", _pts(F.struct(F.struct(
+            _interval(ts, 45).alias("interval"), F.lit("WALKING").alias("exerciseType"),
+            F.lit("Walk").alias("displayName"),
+            F.struct(v.alias("caloriesKcal"), (k * 1000).alias("distanceMillimeters"),
+                     _s(k * 10).alias("steps"), F.lit(0.8).alias("averagePaceSecondsPerMeter"),
+                     _s(k + 60).alias("averageHeartRateBeatsPerMinute"),
+                     F.struct(F.concat(_s(k * 60), F.lit("s")).alias("lightTime"),
+                              F.lit("60s").alias("moderateTime")).alias("heartRateZoneDurations"))
+            .alias("metricsSummary")).alias("exercise")))).alias("exercise"),
+        when("purchase", F.struct(
+            F.array().cast("array<string>").alias("dataPoints"),
+            F.array(F.struct(
+                F.struct(_ymd(ts).alias("date")).alias("civilStartTime"),
+                F.struct(F.array(
+                    F.struct(F.lit("PEAK").alias("heartRateZone"), v.alias("kcal")),
+                    F.struct(F.lit("CARDIO").alias("heartRateZone"), k.cast("double").alias("kcal"))
+                ).alias("caloriesInHeartRateZones")).alias("caloriesInHeartRateZone")
+            )).alias("rollupDataPoints"))).alias("calories-in-heart-rate-zone"),
+        when("signup", _pts(F.struct(F.struct(
+            date.alias("date"), v.alias("averagePercentage"), (v - 1).alias("lowerBoundPercentage"),
+            F.when(k % 2 == 0, jnull).otherwise(_s(v + 1)).alias("upperBoundPercentage"),
+            (k / 10.0).alias("standardDeviationPercentage")).alias("dailyOxygenSaturation"))))
+        .alias("daily-oxygen-saturation"),
+        when("signup", _pts(F.struct(F.struct(
+            _ymd(ts).alias("date"), v.alias("averageHeartRateVariabilityMilliseconds"),
+            _s(k).alias("nonRemHeartRateBeatsPerMinute"),
+            F.when(k % 3 != 0, k / 7.0).alias("entropy")).alias("dailyHeartRateVariability"))))
+        .alias("daily-heart-rate-variability"),
+        when("signup", _pts(F.struct(F.struct(
+            _ymd(ts).alias("date"),
+            F.array(F.struct(F.lit("LIGHT").alias("heartRateZoneType"), F.lit("90").alias("minBeatsPerMinute"),
+                             _s(k + 90).alias("maxBeatsPerMinute")),
+                    F.struct(F.lit(None).cast("string").alias("heartRateZoneType"),
+                             _s(k).alias("minBeatsPerMinute"), jnull.alias("maxBeatsPerMinute")))
+            .alias("heartRateZones")).alias("dailyHeartRateZones")))).alias("daily-heart-rate-zones"),
+        when("signup", F.struct(
+            (F.lit(20) + k % 50).alias("age"),
+            F.struct((F.lit(2020) + k % 4).alias("year"), (F.lit(1) + k % 12).alias("month"),
+                     F.when(k % 4 != 0, F.lit(1) + k % 28).alias("day")).alias("membershipStartDate"),
+            (F.lit(700) + k).alias("userConfiguredWalkingStrideLengthMm"),
+            (F.lit(900) + k).alias("userConfiguredRunningStrideLengthMm"))).alias("profile"),
+        when("error", _pts(F.struct(F.struct(
+            _interval(ts, 1).alias("interval"), level.alias("activityLevelType")).alias("activityLevel"))))
+        .alias("activity-level"),
+        when("error", _pts(F.struct(F.struct(
+            _interval(ts, 480).alias("interval"), F.lit("STAGES").alias("type"),
+            F.struct((k % 5 == 0).alias("nap")).alias("metadata"),
+            F.struct(F.lit("480").alias("minutesInSleepPeriod"), _s(k % 10).alias("minutesAfterWakeUp"),
+                     _s(k % 20).alias("minutesToFallAsleep"), _s(k + 400).alias("minutesAsleep"),
+                     _s(80 - k % 80).alias("minutesAwake")).alias("summary"),
+            F.array(F.struct(_iso_z(ts).alias("startTime"),
+                             _iso_z(ts + F.expr("INTERVAL 60 MINUTES")).alias("endTime"),
+                             F.lit("LIGHT").alias("type")),
+                    F.struct(_iso_z(ts + F.expr("INTERVAL 60 MINUTES")).alias("startTime"),
+                             _iso_z(ts + F.expr("INTERVAL 180 MINUTES")).alias("endTime"),
+                             F.lit("DEEP").alias("type"))).alias("stages")).alias("sleep"))))
+        .alias("sleep"),
+        when("error", _pts(F.struct(F.struct(_interval(ts, 30).alias("interval")).alias("sedentaryPeriod"))))
+        .alias("sedentary-period"),
+        F.when((t == "error") & (k % 2 == 0), _pts(F.struct(F.struct(
+            F.struct(_iso_z(ts).alias("physicalTime")).alias("sampleTime"),
+            _s(k * 1000).alias("weightGrams")).alias("weight")))).alias("weight"),
+        when("error", F.struct(F.array().cast("array<string>").alias("dataPoints"))).alias("floors"),
+        F.when((t == "error") & (k % 3 == 0), _pts(F.struct(F.struct(
+            F.lit(None).cast("string").alias("absent")).alias("mysteryMetric")))).alias("mystery-metric"),
+        when("error", jnull).alias("distance"),
+    )
+    text = F.regexp_replace(F.to_json(payload), f'"{_JSON_NULL}"', "null")
+    method = F.element_at(F.array(*[F.lit(x) for x in ["api_auto", "api_manual", "test_script"]]),
+                          (k % 3 + 1).cast("int"))
+    return e.select(F.col("event_id").alias("ingest_id"), F.lit("wearable").alias("device_type"),
+                    "device_id", method.alias("ingest_method"),
+                    (ts + F.expr("INTERVAL 1 HOUR")).alias("pulled_at"),
+                    text.alias("payload"), "timezone")

@@ -100,3 +100,111 @@ file_index AS (
   SELECT file_key, device_id, CAST(dates[1] AS TIMESTAMP) AS start_date, CAST(dates[-1] AS TIMESTAMP) AS end_date
   FROM file_keys
 )"""
+
+# Wearable events and the rows their payloads must normalise to.
+WEV = """
+wev AS (
+  SELECT e.event_id, e.user_id AS device_id, e.event_type, e.ts, e.value,
+         CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k, d.timezone,
+         CASE WHEN d.timezone IS NOT NULL
+              THEN (CAST(CAST(e.ts AS DATE) AS TIMESTAMP) AT TIME ZONE d.timezone) AT TIME ZONE 'UTC' END AS d_start,
+         CASE WHEN d.timezone IS NOT NULL
+              THEN (CAST(CAST(e.ts AS DATE) + 1 AS TIMESTAMP) AT TIME ZONE d.timezone) AT TIME ZONE 'UTC' END AS d_end,
+         CASE WHEN d.timezone IS NULL THEN 'daily grain: device has no timezone' END AS d_err
+  FROM events e JOIN devices d ON e.user_id = d.device_id
+  WHERE d.device_type = 'wearable'
+)"""
+
+W_POINTS = """
+w_points AS (
+  SELECT event_id AS ingest_id, device_id, t.data_type, 0 AS point_pos
+  FROM wev, (VALUES ('view', 'steps'), ('view', 'active-minutes'), ('click', 'heart-rate'),
+                    ('click', 'respiratory-rate-sleep-summary'), ('purchase', 'active-zone-minutes'),
+                    ('purchase', 'exercise'), ('purchase', 'calories-in-heart-rate-zone'),
+                    ('signup', 'daily-oxygen-saturation'), ('signup', 'daily-heart-rate-variability'),
+                    ('signup', 'daily-heart-rate-zones'), ('error', 'activity-level'), ('error', 'sleep'),
+                    ('error', 'sedentary-period'), ('error', 'weight'), ('error', 'mystery-metric')) t(et, data_type)
+  WHERE wev.event_type = t.et
+    AND NOT (t.data_type = 'weight' AND k % 2 <> 0)
+    AND NOT (t.data_type = 'mystery-metric' AND k % 3 <> 0)
+)"""
+
+_IV = "ts AS recorded_at, ts + INTERVAL 1 MINUTE AS ended_at"
+_NOERR = "CAST(NULL AS VARCHAR) AS error"
+_ZONE = "CASE k % 4 WHEN 0 THEN 'FAT_BURN' WHEN 1 THEN 'CARDIO' WHEN 2 THEN 'PEAK' END"
+_LEVEL = "CASE k % 4 WHEN 0 THEN 'SEDENTARY' WHEN 1 THEN 'LIGHT' WHEN 2 THEN 'MODERATE' ELSE 'VERY' END"
+_OXY_SPAN = ("CASE WHEN event_id % 997 <> 0 THEN d_start END AS recorded_at, "
+             "CASE WHEN event_id % 997 <> 0 THEN d_end END AS ended_at, "
+             "CASE WHEN event_id % 997 = 0 THEN 'daily grain: no usable date at $.dailyOxygenSaturation.date' "
+             "ELSE d_err END AS error")
+_DAY_SPAN = "d_start AS recorded_at, d_end AS ended_at, d_err AS error"
+
+W_ITEMS = f"""
+w_items AS (
+  SELECT 'scalar' AS kind, device_id, 'steps' AS data_type, 'interval' AS grain, {_IV},
+         'steps' AS metric, CAST(NULL AS VARCHAR) AS tag, CAST(k AS DOUBLE) AS value_numeric,
+         event_id AS ingest_id, {_NOERR} FROM wev WHERE event_type = 'view'
+  UNION ALL
+  SELECT 'list_fanout', device_id, 'active-minutes', 'interval', {_IV}, 'active_minutes', t.tag,
+         CASE t.tag WHEN 'LIGHT' THEN CAST(k AS DOUBLE) ELSE value END, event_id, {_NOERR}
+  FROM wev, (VALUES ('LIGHT'), ('MODERATE')) t(tag) WHERE event_type = 'view' AND k % 5 <> 0
+  UNION ALL
+  SELECT 'scalar', device_id, 'heart-rate', 'sample', ts, CAST(NULL AS TIMESTAMP), 'heart_rate_bpm', NULL,
+         value, event_id, {_NOERR} FROM wev WHERE event_type = 'click'
+  UNION ALL
+  SELECT 'respiratory', device_id, 'respiratory-rate-sleep-summary', 'sample', ts, CAST(NULL AS TIMESTAMP),
+         t.metric, t.tag,
+         CASE t.metric WHEN 'respiratory_rate_stddev' THEN k / 10.0::DOUBLE
+                       WHEN 'respiratory_rate_snr' THEN NULL
+                       ELSE CASE t.tag WHEN 'deep' THEN value ELSE value + 1 END END,
+         event_id, {_NOERR}
+  FROM wev, (VALUES ('respiratory_rate_brpm', 'deep'), ('respiratory_rate_stddev', 'deep'),
+                    ('respiratory_rate_snr', 'deep'), ('respiratory_rate_brpm', 'full')) t(metric, tag)
+  WHERE event_type = 'click'
+  UNION ALL
+  SELECT 'tagged_scalar', device_id, 'active-zone-minutes', 'interval', {_IV}, 'active_zone_minutes',
+         {_ZONE}, CAST(k AS DOUBLE), event_id, {_NOERR} FROM wev WHERE event_type = 'purchase'
+  UNION ALL
+  SELECT 'list_fanout', device_id, 'calories-in-heart-rate-zone', 'daily', {_DAY_SPAN.replace(', d_err AS error', '')},
+         'calories_in_hr_zone_kcal', t.tag, CASE t.tag WHEN 'PEAK' THEN value ELSE CAST(k AS DOUBLE) END,
+         event_id, d_err
+  FROM wev, (VALUES ('PEAK'), ('CARDIO')) t(tag) WHERE event_type = 'purchase'
+  UNION ALL
+  SELECT 'tag_map', device_id, 'daily-oxygen-saturation', 'daily',
+         CASE WHEN event_id % 997 <> 0 THEN d_start END, CASE WHEN event_id % 997 <> 0 THEN d_end END,
+         'oxygen_saturation_pct', t.tag,
+         CASE t.tag WHEN 'avg' THEN value WHEN 'lower' THEN value - 1 WHEN 'upper' THEN value + 1
+                    ELSE k / 10.0::DOUBLE END,
+         event_id,
+         CASE WHEN event_id % 997 = 0 THEN 'daily grain: no usable date at $.dailyOxygenSaturation.date'
+              ELSE d_err END
+  FROM wev, (VALUES ('avg'), ('lower'), ('upper'), ('stddev')) t(tag)
+  WHERE event_type = 'signup' AND NOT (t.tag = 'upper' AND k % 2 = 0)
+  UNION ALL
+  SELECT 'field_map', device_id, 'daily-heart-rate-variability', 'daily', d_start, d_end, t.metric, NULL,
+         CASE t.metric WHEN 'hrv_avg_nightly_ms' THEN value WHEN 'hrv_non_rem_hr_bpm' THEN CAST(k AS DOUBLE)
+                       ELSE k / 7.0::DOUBLE END,
+         event_id, d_err
+  FROM wev, (VALUES ('hrv_avg_nightly_ms'), ('hrv_non_rem_hr_bpm'), ('hrv_entropy')) t(metric)
+  WHERE event_type = 'signup' AND NOT (t.metric = 'hrv_entropy' AND k % 3 = 0)
+  UNION ALL
+  SELECT 'hr_zones', device_id, 'daily-heart-rate-zones', 'daily', d_start, d_end, 'hr_zone_bpm', t.tag,
+         CASE t.tag WHEN 'LIGHT_min' THEN 90.0 WHEN 'LIGHT_max' THEN CAST(90 + k AS DOUBLE)
+                    WHEN 'None_min' THEN CAST(k AS DOUBLE) END,
+         event_id, d_err
+  FROM wev, (VALUES ('LIGHT_min'), ('LIGHT_max'), ('None_min'), ('None_max')) t(tag)
+  WHERE event_type = 'signup'
+  UNION ALL
+  SELECT 'categorical', device_id, 'activity-level', 'interval', {_IV}, 'activity_level', {_LEVEL}, NULL,
+         event_id, {_NOERR} FROM wev WHERE event_type = 'error'
+)"""
+
+W_READINGS = """
+w_readings AS (
+  SELECT kind, device_id, data_type, grain, recorded_at, ended_at, metric, tag, value_numeric,
+         CASE WHEN value_numeric IS NULL AND tag IS NOT NULL THEN tag END AS value_text, ingest_id, error
+  FROM w_items
+)"""
+
+READINGS_COLS = ("device_id, data_type, grain, recorded_at, ended_at, metric, tag, "
+                 "round(value_numeric, 6) AS value_numeric, value_text, ingest_id, error")

@@ -19,12 +19,23 @@ from senslake.session import get_session  # noqa: E402
 from senslake.sources.tables import TABLES  # noqa: E402
 
 
+def _cell(v):
+    try:
+        if v is None or pd.isna(v):
+            return None
+    except (TypeError, ValueError):
+        pass
+    if isinstance(v, float):
+        return round(v, 6)
+    if hasattr(v, "isoformat"):
+        return pd.Timestamp(v).isoformat()
+    return str(v)
+
+
 def _norm(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
-        df[c] = df[c].map(lambda v: None if v is None or (isinstance(v, float) and v != v)
-                          else (round(v, 6) if isinstance(v, float) else
-                                (pd.Timestamp(v).isoformat() if hasattr(v, "isoformat") else str(v))))
+        df[c] = df[c].map(_cell)
         df[c] = df[c].astype(str)
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
