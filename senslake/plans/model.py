@@ -363,8 +363,10 @@ def wearable_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         when("error", jnull).alias("distance"),
     )
     text = F.regexp_replace(F.to_json(payload), f'"{_JSON_NULL}"', "null")
-    method = F.element_at(F.array(*[F.lit(x) for x in ["api_auto", "api_manual", "test_script"]]),
-                          (k % 3 + 1).cast("int"))
+    # Every 17th pull carries an ingest method outside the allowed set.
+    method = F.when(k % 17 == 0, F.lit("cron")).otherwise(
+        F.element_at(F.array(*[F.lit(x) for x in ["api_auto", "api_manual", "test_script"]]),
+                     (k % 3 + 1).cast("int")))
     return e.select(F.col("event_id").alias("ingest_id"), F.lit("wearable").alias("device_type"),
                     "device_id", method.alias("ingest_method"),
                     (ts + F.expr("INTERVAL 1 HOUR")).alias("pulled_at"),

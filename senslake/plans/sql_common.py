@@ -208,3 +208,17 @@ w_readings AS (
 
 READINGS_COLS = ("device_id, data_type, grain, recorded_at, ended_at, metric, tag, "
                  "round(value_numeric, 6) AS value_numeric, value_text, ingest_id, error")
+
+W_RAW = """
+w_raw AS (
+  SELECT event_id AS ingest_id, 'wearable' AS device_type, device_id,
+         CASE WHEN k % 17 = 0 THEN 'cron' WHEN k % 3 = 0 THEN 'api_auto' WHEN k % 3 = 1 THEN 'api_manual'
+              ELSE 'test_script' END AS ingest_method,
+         ts + INTERVAL 1 HOUR AS pulled_at
+  FROM wev
+)"""
+
+W_FAILED = """
+w_failed AS (
+  SELECT device_id, min(error) AS error_message FROM w_readings WHERE error IS NOT NULL GROUP BY 1
+)"""
