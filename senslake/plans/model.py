@@ -371,3 +371,72 @@ def wearable_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "device_id", method.alias("ingest_method"),
                     (ts + F.expr("INTERVAL 1 HOUR")).alias("pulled_at"),
                     text.alias("payload"), "timezone")
+
+
+def air_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of air-sensor devices with timezone and MAC."""
+    dev = devices(spark, sf_dir).where(F.col("device_type") == "air") \
+        .select("device_id", "timezone", "mac")
+    return readings(spark, sf_dir).join(dev, "device_id")
+
+
+def _coord(device_id, mult: int, span: int, k) -> Column:
+    return F.round((device_id * mult % span) - span / 2 + k / 100.0, 4)
+
+
+def air_record(e_ts="recorded_at") -> Column:
+    """One air-sensor record from an event row (see :func:`air_raw`)."""
+    ts, k, v = F.col(e_ts), F.col("k"), F.col("value")
+    tz = F.col("timezone")
+    local = F.from_utc_timestamp(ts.cast("timestamp"), F.coalesce(tz, F.lit("UTC"))).cast("timestamp_ntz")
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    date = (F.when(k % 3 == 0, F.concat(F.date_format(ts, fmt), F.lit("Z")))
+            .when(k % 3 == 1, F.concat(F.date_format(ts + F.expr("INTERVAL '5:30' HOUR TO MINUTE"), fmt),
+                                       F.lit("+05:30")))
+            .otherwise(F.date_format(local, fmt)))
+    lat = _coord(F.col("device_id"), 1, 170, k)
+    lon = _coord(F.col("device_id"), 7, 350, k)
+    lat = F.when(k % 10 == 0, F.lit(None)).when(k % 10 == 1, F.lit(0.0)).when(k % 10 == 2, F.lit(0.0)) \
+        .otherwise(lat)
+    lon = F.when(k % 10 == 1, F.lit(0.0)).otherwise(lon)
+    fields = [
+        ("date", date), ("lat", lat.cast("double")), ("lon", lon.cast("double")), ("aqs", k),
+        ("pm05_num", F.when(k % 4 != 0, k * 10)), ("pm1_num", k * 5), ("pm10_num", k * 2),
+        ("pm25_num", k * 3), ("voc_index", k + 1), ("nox_index", k + 2), ("co2", F.lit(400) + k),
+        ("battery", F.lit(100) - k), ("altitude", F.lit(10) + k), ("position_error", k % 7),
+        ("satellites_fixed", F.when(k % 5 != 0, k % 12)), ("satellites_in_view", k % 12 + 3),
+        ("pm1", v / 3), ("pm25", v), ("pm10", v * 1.5), ("pm_size", F.when(k % 6 != 0, k / 100.0)),
+        ("t", v / 10), ("h", k.cast("double")), ("p", F.lit(1000.0) + k / 10.0), ("voc", k / 1000.0),
+        ("charging", k % 3 == 0), ("recently_charged", k % 3 == 1), ("motion", k % 2 == 0)]
+    return F.named_struct(*[x for name, c in fields for x in (F.lit(name), c)])
+
+
+# Air payloads hold at most this many records (bounded payload size).
+AIR_BATCH = 64
+
+
+def air_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ingests of air devices: payload ``{mac, merged_data:[record]}`` of
+    up to 64 records per (device, event_id // 64) -- a bounded group. Dates
+    are written with 'Z', '+05:30' or as offset-less local time; coordinates
+    include missing, (0,0) and one-axis-zero cases; every 13th record is
+    repeated identically. Every 11th device reports a MAC unknown to the
+    registry."""
+    e = air_events(spark, sf_dir)
+    rec = air_record()
+    copies = F.when(F.col("k") % 13 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = e.select("device_id", "timezone", "mac", "event_id", "recorded_at",
+                    (F.col("event_id") / AIR_BATCH).cast("long").alias("_batch"),
+                    F.explode(copies).alias("_copy"), rec.alias("rec"))
+    g = rows.groupBy("device_id", "_batch").agg(
+        F.first("timezone").alias("timezone"), F.first("mac").alias("mac"),
+        F.min("event_id").alias("ingest_id"), F.max("recorded_at").alias("_last"),
+        F.sort_array(F.collect_list(F.struct("recorded_at", "event_id", "_copy", "rec"))).alias("_recs"))
+    mac = F.when(F.col("device_id") % 11 == 0, F.concat(F.lit("FF:"), F.substring("mac", 4, 14))) \
+        .otherwise(F.col("mac"))
+    payload = F.to_json(F.struct(mac.alias("mac"),
+                                 F.transform("_recs", lambda x: x["rec"]).alias("merged_data")))
+    return g.select("ingest_id", F.lit("air").alias("device_type"), "device_id",
+                    F.lit("api_auto").alias("ingest_method"),
+                    (F.col("_last") + F.expr("INTERVAL 1 HOUR")).alias("pulled_at"),
+                    payload.alias("payload"), "timezone")

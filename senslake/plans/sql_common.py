@@ -222,3 +222,38 @@ W_FAILED = """
 w_failed AS (
   SELECT device_id, min(error) AS error_message FROM w_readings WHERE error IS NOT NULL GROUP BY 1
 )"""
+
+AEV = """
+aev AS (
+  SELECT e.event_id, e.user_id AS device_id, e.ts, e.value,
+         CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k, d.timezone, d.mac
+  FROM events e JOIN devices d ON e.user_id = d.device_id WHERE d.device_type = 'air'
+),
+arec AS (
+  SELECT a.*, c.copy, a.event_id // 64 AS batch,
+         min(a.event_id) OVER (PARTITION BY a.device_id, a.event_id // 64) AS ingest_id,
+         CAST(row_number() OVER (PARTITION BY a.device_id, a.event_id // 64 ORDER BY a.ts, a.event_id, c.copy) - 1
+              AS INTEGER) AS point_pos,
+         max(a.ts) OVER (PARTITION BY a.device_id, a.event_id // 64) + INTERVAL 1 HOUR AS pulled_at,
+         CASE WHEN k % 3 = 0 THEN 'Z' WHEN k % 3 = 1 THEN '+05:30' ELSE 'local' END AS date_form,
+         CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 IN (1, 2) THEN 0.0::DOUBLE
+              ELSE round((device_id * 1 % 170) - 85.0 + k / 100.0::DOUBLE, 4) END AS latitude,
+         CASE WHEN k % 10 = 1 THEN 0.0::DOUBLE
+              ELSE round((device_id * 7 % 350) - 175.0 + k / 100.0::DOUBLE, 4) END AS longitude,
+         k AS aqs, value / 3 AS pm1, value AS pm25, value * 1.5 AS pm10,
+         CASE WHEN k % 6 <> 0 THEN k / 100.0::DOUBLE END AS pm_size,
+         CASE WHEN k % 4 <> 0 THEN k * 10 END AS pm05_num, k * 5 AS pm1_num, k * 2 AS pm10_num,
+         k * 3 AS pm25_num, value / 10 AS temperature, CAST(k AS DOUBLE) AS humidity,
+         1000.0 + k / 10.0::DOUBLE AS pressure, k / 1000.0::DOUBLE AS voc, k + 1 AS voc_index,
+         k + 2 AS nox_index, 400 + k AS co2, 100 - k AS battery, k % 3 = 0 AS charging,
+         k % 3 = 1 AS recently_charged, k % 2 = 0 AS motion, 10 + k AS altitude, k % 7 AS position_error,
+         CASE WHEN k % 5 <> 0 THEN k % 12 END AS satellites_fixed, k % 12 + 3 AS satellites_in_view
+  FROM aev a, (VALUES (0), (1)) c(copy) WHERE c.copy = 0 OR a.k % 13 = 0
+)"""
+
+AIR_SENSORS = ("aqs, round(pm1, 6) AS pm1, round(pm25, 6) AS pm25, round(pm10, 6) AS pm10, "
+               "round(pm_size, 6) AS pm_size, pm05_num, pm1_num, pm10_num, pm25_num, "
+               "round(temperature, 6) AS temperature, round(humidity, 6) AS humidity, "
+               "round(pressure, 6) AS pressure, round(voc, 6) AS voc, voc_index, nox_index, co2, battery, "
+               "charging, recently_charged, motion, altitude, position_error, satellites_fixed, "
+               "satellites_in_view")
