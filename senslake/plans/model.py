@@ -440,3 +440,73 @@ def air_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("api_auto").alias("ingest_method"),
                     (F.col("_last") + F.expr("INTERVAL 1 HOUR")).alias("pulled_at"),
                     payload.alias("payload"), "timezone")
+
+
+# The air sensor's CSV export header, in export order.
+CSV_HEADER = ["Date (UTC+05:30)", "AQS", "PM1.0 (µg/m³)", "PM2.5 (µg/m³)", "PM10 (µg/m³)",
+              "Temperature (°C)", "Humidity (%)", "Pressure (hPa)", "TVOC Index", "TVOC (ppm)",
+              "NOx Index", "CO2 (ppm)", "Latitude", "Longitude", "Altitude (m)", "Position Error (m)",
+              "Battery (%)", "Charging", "Motion", "User Notes"]
+
+# Files hold at most this many rows (bounded file size).
+CSV_BATCH = 256
+
+
+def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV exports of air devices as (file_name, content), built from events.
+
+    One file per (device, event_id // 256), named ``<MAC>_<first>_<last>.csv``
+    (every 9th device's files are misnamed ``export_<id>.csv``); odd devices
+    export Latitude/Longitude in swapped column order. Rows carry local
+    +05:30 time to the second; PM10 blank when k%8=0, temperature 'nan' when
+    k%9=0, humidity 'n/a' when k%11=0; notes with commas when k%4=0; short
+    rows (last 3 cells missing) when k%19=0; a blank line after k%23=0.
+    A re-export ``..._v2.csv`` repeats rows with k%29=0 identically and rows
+    with k%31=0 with PM2.5 + 1 (a conflict).
+    """
+    e = air_events(spark, sf_dir)
+    ts, k, v = F.col("recorded_at"), F.col("k"), F.col("value")
+    rec = air_record()
+    local = F.date_format(ts + F.expr("INTERVAL '5:30' HOUR TO MINUTE"), "yyyy-MM-dd HH:mm:ss")
+    num = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    charging = F.when(k % 3 == 0, "yes").when(k % 3 == 1, "cd").otherwise("no")
+    swapped = F.col("device_id") % 2 == 1
+
+    def line(pm25):
+        lat, lon = num(rec["lat"]), num(rec["lon"])
+        cells = [local, num(k), num(v / 3), num(pm25), F.when(k % 8 == 0, "").otherwise(num(v * 1.5)),
+                 F.when(k % 9 == 0, "nan").otherwise(num(v / 10)),
+                 F.when(k % 11 == 0, "n/a").otherwise(num(k.cast("double"))),
+                 num(F.lit(1000.0) + k / 10.0), num(k + 1), num(k / 1000.0), num(k + 2), num(F.lit(400) + k),
+                 F.when(swapped, lon).otherwise(lat), F.when(swapped, lat).otherwise(lon),
+                 num(F.lit(10) + k), num(k % 7), num(F.lit(100) - k)]
+        tail = [charging, F.when(k % 2 == 0, "yes").otherwise("no"),
+                F.when(k % 4 == 0, "checked, ok, moved").otherwise("")]
+        full = F.concat_ws(",", *cells, *tail)
+        short = F.concat_ws(",", *cells)
+        body = F.when(k % 19 == 0, short).otherwise(full)
+        return F.when(k % 23 == 0, F.concat(body, F.lit("\n"))).otherwise(body)
+
+    batch = (F.col("event_id") / CSV_BATCH).cast("long")
+    main = e.select("device_id", "mac", batch.alias("_b"), F.lit("").alias("_v"), "recorded_at",
+                    line(v).alias("_line"))
+    again = e.where((k % 29 == 0) | (k % 31 == 0)).select(
+        "device_id", "mac", batch.alias("_b"), F.lit("_v2").alias("_v"), "recorded_at",
+        line(F.when(k % 31 == 0, v + 1).otherwise(v)).alias("_line"))
+    rows = main.unionByName(again)
+    g = rows.groupBy("device_id", "mac", "_b", "_v").agg(
+        F.min("recorded_at").alias("_t0"), F.max("recorded_at").alias("_t1"),
+        F.sort_array(F.collect_list(F.struct("recorded_at", "_line"))).alias("_rows"))
+    hdr = lambda order: "\ufeff" + ",".join(order)
+    swapped_hdr = list(CSV_HEADER)
+    i, j = swapped_hdr.index("Latitude"), swapped_hdr.index("Longitude")
+    swapped_hdr[i], swapped_hdr[j] = swapped_hdr[j], swapped_hdr[i]
+    header = F.when(F.col("device_id") % 2 == 1, F.lit(hdr(swapped_hdr))).otherwise(F.lit(hdr(CSV_HEADER)))
+    mac12 = F.regexp_replace("mac", ":", "")
+    name = F.when(F.col("device_id") % 9 == 0,
+                  F.concat(F.lit("export_"), F.col("device_id").cast("string"), F.lit("_"), F.col("_b").cast("string"),
+                           F.col("_v"), F.lit(".csv"))) \
+        .otherwise(F.concat(mac12, F.lit("_"), F.date_format("_t0", "dd-MMM-yyyy"), F.lit("_"),
+                            F.date_format("_t1", "dd-MMM-yyyy"), F.col("_v"), F.lit(".csv")))
+    content = F.concat(header, F.lit("\n"), F.concat_ws("\n", F.transform("_rows", lambda r: r["_line"])))
+    return g.select(name.alias("file_name"), content.alias("content"))

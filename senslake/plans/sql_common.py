@@ -257,3 +257,41 @@ AIR_SENSORS = ("aqs, round(pm1, 6) AS pm1, round(pm25, 6) AS pm25, round(pm10, 6
                "round(pressure, 6) AS pressure, round(voc, 6) AS voc, voc_index, nox_index, co2, battery, "
                "charging, recently_charged, motion, altitude, position_error, satellites_fixed, "
                "satellites_in_view")
+
+CSV_ROWS = """
+csv_src AS (
+  SELECT a.*, v.ver, a.event_id // 256 AS batch,
+         CASE WHEN v.ver = '_v2' AND a.k % 31 = 0 THEN a.value + 1 ELSE a.value END AS pm25_v
+  FROM aev a, (VALUES (''), ('_v2')) v(ver)
+  WHERE v.ver = '' OR a.k % 29 = 0 OR a.k % 31 = 0
+),
+csv_named AS (
+  SELECT *,
+         CASE WHEN device_id % 9 = 0
+              THEN 'export_' || CAST(device_id AS VARCHAR) || '_' || CAST(batch AS VARCHAR) || ver || '.csv'
+              ELSE replace(mac, ':', '') || '_'
+                   || strftime(min(ts) OVER (PARTITION BY device_id, batch, ver), '%d-%b-%Y') || '_'
+                   || strftime(max(ts) OVER (PARTITION BY device_id, batch, ver), '%d-%b-%Y') || ver || '.csv'
+         END AS file_name
+  FROM csv_src
+),
+csv_recs AS (
+  SELECT file_name, device_id, ver, date_trunc('second', ts) AS recorded_at,
+         k AS aqs, value / 3 AS pm1, pm25_v AS pm25, CASE WHEN k % 8 <> 0 THEN value * 1.5 END AS pm10,
+         CASE WHEN k % 9 <> 0 THEN value / 10 END AS temperature,
+         CASE WHEN k % 11 <> 0 THEN CAST(k AS DOUBLE) END AS humidity,
+         1000.0 + k / 10.0::DOUBLE AS pressure, k / 1000.0::DOUBLE AS voc, k + 1 AS voc_index, k + 2 AS nox_index,
+         400 + k AS co2, 100 - k AS battery, 10 + k AS altitude, k % 7 AS position_error,
+         CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 IN (1, 2) THEN 0.0::DOUBLE
+              ELSE round((device_id * 1 % 170) - 85.0 + k / 100.0::DOUBLE, 4) END AS latitude,
+         CASE WHEN k % 10 = 1 THEN 0.0::DOUBLE
+              ELSE round((device_id * 7 % 350) - 175.0 + k / 100.0::DOUBLE, 4) END AS longitude,
+         k % 19 <> 0 AND k % 3 = 0 AS charging, k % 19 <> 0 AND k % 3 = 1 AS recently_charged,
+         k % 19 <> 0 AND k % 2 = 0 AS motion
+  FROM csv_named
+)"""
+
+CSV_FIELDS = ("aqs, round(pm1, 6) AS pm1, round(pm25, 6) AS pm25, round(pm10, 6) AS pm10, "
+              "round(temperature, 6) AS temperature, round(humidity, 6) AS humidity, "
+              "round(pressure, 6) AS pressure, voc_index, round(voc, 6) AS voc, nox_index, co2, "
+              "latitude, longitude, altitude, position_error, battery")
