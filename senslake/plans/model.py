@@ -507,6 +507,7 @@ def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.concat(F.lit("export_"), F.col("device_id").cast("string"), F.lit("_"), F.col("_b").cast("string"),
                            F.col("_v"), F.lit(".csv"))) \
         .otherwise(F.concat(mac12, F.lit("_"), F.date_format("_t0", "dd-MMM-yyyy"), F.lit("_"),
-                            F.date_format("_t1", "dd-MMM-yyyy"), F.col("_v"), F.lit(".csv")))
+                            F.date_format("_t1", "dd-MMM-yyyy"), F.lit("_p"), F.col("_b").cast("string"),
+                            F.col("_v"), F.lit(".csv")))
     content = F.concat(header, F.lit("\n"), F.concat_ws("\n", F.transform("_rows", lambda r: r["_line"])))
     return g.select(name.alias("file_name"), content.alias("content"))

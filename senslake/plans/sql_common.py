@@ -271,7 +271,8 @@ csv_named AS (
               THEN 'export_' || CAST(device_id AS VARCHAR) || '_' || CAST(batch AS VARCHAR) || ver || '.csv'
               ELSE replace(mac, ':', '') || '_'
                    || strftime(min(ts) OVER (PARTITION BY device_id, batch, ver), '%d-%b-%Y') || '_'
-                   || strftime(max(ts) OVER (PARTITION BY device_id, batch, ver), '%d-%b-%Y') || ver || '.csv'
+                   || strftime(max(ts) OVER (PARTITION BY device_id, batch, ver), '%d-%b-%Y') || '_p' || CAST(batch AS VARCHAR)
+                   || ver || '.csv'
          END AS file_name
   FROM csv_src
 ),
