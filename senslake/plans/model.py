@@ -511,3 +511,44 @@ def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.col("_v"), F.lit(".csv")))
     content = F.concat(header, F.lit("\n"), F.concat_ws("\n", F.transform("_rows", lambda r: r["_line"])))
     return g.select(name.alias("file_name"), content.alias("content"))
+
+
+# Registry documents hold at most this many devices (bounded document size).
+REGISTRY_BATCH = 100
+
+
+def device_registry_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device registry documents, as the study's config files hold them:
+    ``{"wearable_devices": [..], "air_devices": [..], "version": ..}`` per
+    (site, custkey // 100). Every 97th entry lacks its id (malformed); every
+    5th writes its start date under the key ``Start_date``; every 4th has no
+    start date."""
+    d = devices(spark, sf_dir)
+    start = F.when(F.col("device_id") % 4 != 0,
+                   F.date_add(F.lit("2024-01-01").cast("date"), (F.col("device_id") % 7).cast("int")))
+    entry = F.to_json(F.struct(
+        F.when(F.col("device_id") % 97 != 0, F.col("device_id").cast("string")).alias("id"),
+        F.col("device_type").alias("type"), "site", "timezone",
+        F.when(F.col("device_id") % 5 != 0, start.cast("string")).alias("start_date"),
+        F.when(F.col("device_id") % 5 == 0, start.cast("string")).alias("Start_date"),
+        F.col("mac").alias("mac")))
+    g = d.groupBy("site", (F.col("device_id") / REGISTRY_BATCH).cast("long").alias("_b")).agg(
+        F.collect_list(F.when(F.col("device_type") == "wearable", entry)).alias("w"),
+        F.collect_list(F.when(F.col("device_type") == "air", entry)).alias("a"))
+    doc = F.concat(F.lit('{"version": 1, "wearable_devices": ['), F.array_join("w", ","),
+                   F.lit('], "air_devices": ['), F.array_join("a", ","), F.lit("]}"))
+    return g.select(F.concat_ws("-", "site", "_b").alias("doc_id"), doc.alias("doc"))
+
+
+def participant_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Participant registry documents with nested device assignments."""
+    a = assignments(spark, sf_dir)
+    g = a.groupBy("participant_id").agg(
+        F.min("assigned_from").alias("enrolled_at"),
+        F.collect_list(F.struct(F.col("device_id").cast("string").alias("device_id"),
+                                F.col("assigned_from").cast("string").alias("assigned_from"),
+                                F.col("assigned_until").cast("string").alias("assigned_until")))
+        .alias("device_assignments"))
+    return g.select("participant_id", F.to_json(F.struct(
+        F.col("participant_id").alias("id"), F.col("enrolled_at").cast("string").alias("enrolled_at"),
+        "device_assignments"), {"ignoreNullFields": "false"}).alias("doc"))
