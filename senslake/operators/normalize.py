@@ -34,9 +34,10 @@ def vget(path: str, typ: str = "string", v: str | Column = _P) -> Column:
     return F.try_variant_get(F.col(v) if isinstance(v, str) else v, path, typ)
 
 
-def _item(metric, tag, value) -> Column:
+def _item(metric, tag, value, keep=None) -> Column:
     metric = F.lit(metric) if isinstance(metric, str) else metric
-    return F.struct(metric.alias("metric"), tag.alias("tag"), value.alias("value_raw"))
+    keep = F.lit(True) if keep is None else keep
+    return F.struct(metric.alias("metric"), tag.alias("tag"), value.alias("value_raw"), keep.alias("keep"))
 
 
 def _present(path: str, v=_P) -> Column:
@@ -44,9 +45,22 @@ def _present(path: str, v=_P) -> Column:
     return vget(path, "variant", v).isNotNull()
 
 
-def _kind_items(data_type: str, rule: dict) -> Column:
-    """PRJ3-8: the readings one point of a registry type produces."""
+# Kinds whose rows come from a list inside the point (one row per element).
+_LIST_TYPES = [t for t, r in WEARABLE_REGISTRY.items() if r["kind"] == "list_fanout"] + ["daily-heart-rate-zones"]
+
+
+def _fixed_items(data_type: str) -> Column:
+    """PRJ3-5, PRJ7-8, PRJ10: a fixed-size array per point; ``keep`` marks
+    the elements that become rows (no lambda functions: the whole
+    expression stays in generated code)."""
     n = f"$.{camel(data_type)}"
+    if data_type == "respiratory-rate-sleep-summary":           # PRJ10: only absent keys skipped
+        n = "$.respiratoryRateSleepSummary"
+        return F.array(*[_item(metric, F.lit(tag), vget(f"{n}.{stage}.{field}"),
+                               _present(f"{n}.{stage}.{field}"))
+                         for stage, tag in RESPIRATORY_STAGES.items()
+                         for field, metric in RESPIRATORY_FIELDS.items()])
+    rule = WEARABLE_REGISTRY[data_type]
     kind = rule["kind"]
     if kind == "scalar":                                           # PRJ3
         return F.array(_item(rule["metric"], _null_s(), vget(f"{n}.{rule['value_field']}")))
@@ -55,60 +69,57 @@ def _kind_items(data_type: str, rule: dict) -> Column:
     if kind == "tagged_scalar":                                    # PRJ5
         return F.array(_item(rule["metric"], vget(f"{n}.{rule['tag_field']}"),
                              vget(f"{n}.{rule['value_field']}")))
-    if kind == "list_fanout":                                      # PRJ6
-        items = vget(f"{n}.{rule['list_field']}", "array<variant>")
-        return F.transform(F.coalesce(items, F.array().cast("array<variant>")),
-                           lambda x: _item(rule["metric"], vget(f"$.{rule['tag_field']}", v=x),
-                                           vget(f"$.{rule['value_field']}", v=x)))
     if kind == "tag_map":                                          # PRJ7: nulls skipped
-        arr = F.array(*[_item(rule["metric"], F.lit(tag), vget(f"{n}.{field}"))
-                        for field, tag in rule["tag_map"].items()])
-        return F.filter(arr, lambda x: x["value_raw"].isNotNull())
+        cells = [(F.lit(tag), vget(f"{n}.{field}")) for field, tag in rule["tag_map"].items()]
+        return F.array(*[_item(rule["metric"], tag, v, v.isNotNull()) for tag, v in cells])
     if kind == "field_map":                                        # PRJ8: nulls skipped
-        arr = F.array(*[_item(metric, _null_s(), vget(f"{n}.{field}"))
-                        for field, metric in rule["fields"].items()])
-        return F.filter(arr, lambda x: x["value_raw"].isNotNull())
-    raise ValueError(f"unknown kind {kind}")
+        cells = [(metric, vget(f"{n}.{field}")) for field, metric in rule["fields"].items()]
+        return F.array(*[_item(metric, _null_s(), v, v.isNotNull()) for metric, v in cells])
+    raise ValueError(f"no fixed items for {data_type}")
 
 
-def _hr_zone_items() -> Column:
-    """PRJ9: per zone a ``<ZONE>_min`` and ``<ZONE>_max`` row; null bounds
-    kept; a zone without a type is named 'None'."""
-    zones = F.coalesce(vget("$.dailyHeartRateZones.heartRateZones", "array<variant>"),
-                       F.array().cast("array<variant>"))
+def _list_of(data_type: str) -> Column:
+    """The list a list-kind point fans out over (absent -> null)."""
+    if data_type == "daily-heart-rate-zones":
+        return vget("$.dailyHeartRateZones.heartRateZones", "array<variant>")
+    rule = WEARABLE_REGISTRY[data_type]
+    return vget(f"$.{camel(data_type)}.{rule['list_field']}", "array<variant>")
 
-    def per_zone(z):
-        name = F.coalesce(vget("$.heartRateZoneType", v=z), F.lit("None"))
-        return F.array(*[_item("hr_zone_bpm", F.concat(name, F.lit(f"_{suffix}")), vget(f"$.{bound}", v=z))
-                         for bound, suffix in HR_ZONE_BOUNDS.items()])
-    return F.flatten(F.transform(zones, per_zone))
 
-
-def _respiratory_items() -> Column:
-    """PRJ10: 4 stages x 3 metrics, tag = stage; only absent keys skipped."""
-    n = "$.respiratoryRateSleepSummary"
-    cells = []
-    for stage_key, tag in RESPIRATORY_STAGES.items():
-        for field, metric in RESPIRATORY_FIELDS.items():
-            path = f"{n}.{stage_key}.{field}"
-            cells.append(F.struct(_present(path).alias("_has"), F.lit(metric).alias("metric"),
-                                  F.lit(tag).alias("tag"), vget(path).alias("value_raw")))
-    kept = F.filter(F.array(*cells), lambda x: x["_has"])
-    return F.transform(kept, lambda x: _item(x["metric"], x["tag"], x["value_raw"]))
+def _list_item_rows(data_type: str, item: Column) -> Column:
+    """PRJ6 / PRJ9: the rows one list element produces."""
+    if data_type == "daily-heart-rate-zones":                  # PRJ9: null bounds kept
+        name = F.coalesce(vget("$.heartRateZoneType", v=item), F.lit("None"))
+        return F.array(*[_item("hr_zone_bpm", F.concat(name, F.lit(f"_{suffix}")), vget(f"$.{bound}", v=item))
+                         for bound, suffix in HR_ZONE_BOUNDS.items()])
+    rule = WEARABLE_REGISTRY[data_type]                          # PRJ6
+    return F.array(_item(rule["metric"], vget(f"$.{rule['tag_field']}", v=item),
+                         vget(f"$.{rule['value_field']}", v=item)))
 
 
-def readings_items() -> Column:
-    """The per-point readings array for every readings-producing type."""
+def _case(pairs) -> Column:
     expr = None
-    cases = [(t, _kind_items(t, r)) for t, r in WEARABLE_REGISTRY.items()]
-    cases += [("daily-heart-rate-zones", _hr_zone_items()),
-              ("respiratory-rate-sleep-summary", _respiratory_items())]
-    for t, items in cases:
+    for t, c in pairs:
         cond = F.col("data_type") == t
-        expr = F.when(cond, items) if expr is None else expr.when(cond, items)
+        expr = F.when(cond, c) if expr is None else expr.when(cond, c)
     return expr
 
 
+def readings_items() -> Column:
+    """Fixed-shape readings array per point (non-list kinds)."""
+    fixed = [t for t in WEARABLE_REGISTRY if t not in _LIST_TYPES] + ["respiratory-rate-sleep-summary"]
+    return _case([(t, _fixed_items(t)) for t in fixed])
+
+
+def list_items() -> Column:
+    return _case([(t, _list_of(t)) for t in _LIST_TYPES])
+
+
+def list_item_rows(item: Column) -> Column:
+    empty = F.array().cast("array<struct<metric:string,tag:string,value_raw:string,keep:boolean>>")
+    return _case([(t, F.when(item.isNull(), empty).otherwise(_list_item_rows(t, item))) for t in _LIST_TYPES])
+
+
 def _grain_of(data_type: str) -> tuple[str, str]:
     if data_type in WEARABLE_REGISTRY:
         r = WEARABLE_REGISTRY[data_type]
@@ -141,13 +152,20 @@ def time_span(data_type: str, tz: Column) -> Column:
                     end.alias("ended_at"), err.alias("error"))
 
 
-def time_spans(tz: Column) -> Column:
-    expr = None
+def time_spans(tz: Column) -> dict:
+    """Per-type CASEs for grain, recorded_at, ended_at and error.
+
+    Four separate columns rather than one struct: a struct CASE read field
+    by field after the explode would be re-evaluated once per field.
+    """
+    parts = {"grain": None, "recorded_at": None, "ended_at": None, "error": None}
     for t in [*WEARABLE_REGISTRY, "daily-heart-rate-zones", "respiratory-rate-sleep-summary"]:
         cond = F.col("data_type") == t
         span = time_span(t, tz)
-        expr = F.when(cond, span) if expr is None else expr.when(cond, span)
-    return expr
+        for name in parts:
+            c = span[name]
+            parts[name] = F.when(cond, c) if parts[name] is None else parts[name].when(cond, c)
+    return parts
 
 
 def route(data_type: Column) -> Column:
@@ -174,16 +192,25 @@ def readings(points: DataFrame, tz: str = "timezone") -> DataFrame:
     tz_c = F.col(tz)
     producing = [*WEARABLE_REGISTRY, "daily-heart-rate-zones", "respiratory-rate-sleep-summary"]
     p = points.where(F.col("data_type").isin(producing))
-    x = p.select("device_id", "data_type", "ingest_id", "pulled_at", "point_pos",
-                 time_spans(tz_c).alias("_t"), F.explode(readings_items()).alias("_r"))
+    spans = time_spans(tz_c)
+    # Spans are computed once per point, before any explode.
+    base = p.select("device_id", "data_type", "ingest_id", "pulled_at", "point_pos", "point",
+                    *[c.alias(f"_t_{n}") for n, c in spans.items()])
+    t_cols = [f"_t_{n}" for n in spans]
+    keys = ["device_id", "data_type", "ingest_id", "pulled_at", "point_pos", *t_cols]
+    step = base.select(*keys, "point", readings_items().alias("_fixed"),
+                       F.explode_outer(list_items()).alias("_item"))
+    rows = F.when(F.col("data_type").isin(_LIST_TYPES), list_item_rows(F.col("_item"))) \
+        .otherwise(F.col("_fixed"))
+    x = step.select(*keys, F.explode(rows).alias("_r")).where(F.col("_r.keep"))
     value = F.col("_r.value_raw").try_cast("double")
     bad = F.col("_r.value_raw").isNotNull() & value.isNull()
-    err = F.coalesce(F.col("_t.error"),
+    err = F.coalesce(F.col("_t_error"),
                      F.when(bad, F.concat(F.lit("non-numeric value: "), F.col("_r.value_raw"))))
     tag = F.col("_r.tag")
     return x.select(
-        "device_id", "data_type", F.col("_t.grain").alias("grain"),
-        F.col("_t.recorded_at").alias("recorded_at"), F.col("_t.ended_at").alias("ended_at"),
+        "device_id", "data_type", F.col("_t_grain").alias("grain"),
+        F.col("_t_recorded_at").alias("recorded_at"), F.col("_t_ended_at").alias("ended_at"),
         F.col("_r.metric").alias("metric"), tag.alias("tag"), value.alias("value_numeric"),
         value_text(value, tag).alias("value_text"),
         "ingest_id", "pulled_at", "point_pos", err.alias("error"))

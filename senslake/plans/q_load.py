@@ -12,6 +12,7 @@ from senslake.plans.registry import query, rounded
 from senslake.plans.sql_common import (DEVICES, READINGS_COLS, W_FAILED, W_ITEMS, W_POINTS, W_RAW,
                                        W_READINGS, WEV, with_)
 from senslake.registry import INGEST_METHODS
+from senslake.session import reuse
 from senslake.sinks import load as L
 
 _W = with_(DEVICES, WEV, W_ITEMS, W_READINGS, W_FAILED, W_RAW)
@@ -80,7 +81,7 @@ def snk2_upsert_readings(spark, sf_dir):
     table loaded by a first pull (before Jan 16): new keys inserted, existing
     keys replaced, null tags matched null-safe, in-batch duplicates resolved
     by latest pull then position. Failed devices load nothing."""
-    r = readings(spark, sf_dir)
+    r = reuse(readings(spark, sf_dir))
     failed = L.failed_devices(r)
     ok = L.isolate(r, failed).drop("error")
     cols = [*_TABLE, "pulled_at", "point_pos"]
@@ -138,7 +139,7 @@ WHERE event_type = 'error' AND device_id NOT IN (SELECT device_id FROM w_failed)
 """)
 def jn1_stage_session(spark, sf_dir):
     """Stages resolved to their loaded parent session (device, session start)."""
-    pts = points(spark, sf_dir)
+    pts = reuse(points(spark, sf_dir))
     r = N.readings(pts)
     sessions = N.sleep_sessions(pts)
     stages = N.sleep_stages(pts)
@@ -207,8 +208,9 @@ FROM parsed FULL OUTER JOIN stored USING (device_id)
 """)
 def jn11_expected_vs_stored(spark, sf_dir):
     """Parser rows vs stored rows per device (dedup and failures make 'less')."""
-    r = readings(spark, sf_dir)
-    stored = _batch(spark, sf_dir)["readings"]
+    b = _batch(spark, sf_dir)
+    r = b["parsed_readings"]
+    stored = b["readings"]
     return L.expected_vs_stored(r, stored, ["device_id"])
 
 

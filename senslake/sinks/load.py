@@ -175,12 +175,14 @@ def load_wearable_batch(spark: SparkSession, raw: DataFrame, tz: DataFrame | Non
 
     if "timezone" not in raw.columns:
         raw = raw.join(maybe_broadcast(tz), "device_id", "left")
-    pts = payloads.wearable_points(raw)
-    readings = N.readings(pts)
+    from senslake.session import reuse
+
+    pts = reuse(payloads.wearable_points(raw))
+    readings = reuse(N.readings(pts))
     sessions = N.sleep_sessions(pts)
     stages = N.sleep_stages(pts)
     exercise = N.exercise_sessions(pts)
-    failed = failed_devices(readings, sessions, stages, exercise)
+    failed = reuse(failed_devices(readings, sessions, stages, exercise))
     ok = lambda t: isolate(t, failed).drop("error")
     spec = TABLES
     out = {
@@ -191,6 +193,7 @@ def load_wearable_batch(spark: SparkSession, raw: DataFrame, tz: DataFrame | Non
                                             spec["exercise_sessions"].order),
         "profile": isolate(N.profile(payloads.wearable_profile(raw)), failed),
         "failed": failed,
+        "parsed_readings": readings,
     }
     resolved, rejected = resolve_stages(ok(stages), out["sleep_sessions"])
     out["sleep_stages"] = latest_per_key(resolved.drop("device_id", "session_started_at"),
