@@ -1,6 +1,6 @@
 """Import every query module so its ``@query`` registrations run."""
 
-from senslake.plans import q_air, q_csv, q_files, q_load, q_stats, q_study, q_wearable  # noqa: F401
+from senslake.plans import q_air, q_csv, q_files, q_legacy, q_load, q_stats, q_study, q_wearable  # noqa: F401
 from senslake.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["QUERIES", "ORACLE_SQL"]

@@ -552,3 +552,31 @@ def participant_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("participant_id", F.to_json(F.struct(
         F.col("participant_id").alias("id"), F.col("enrolled_at").cast("string").alias("enrolled_at"),
         "device_assignments"), {"ignoreNullFields": "false"}).alias("doc"))
+
+
+def legacy_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legacy multi-sensor export rows of air devices: ``timestamp`` (ISO,
+    'Z'), ``device`` and a JSON blob ``data`` with nested sensor groups
+    (pm / dht / bme / gas / gps / sys / net). Every 50th blob is not JSON."""
+    e = air_events(spark, sf_dir)
+    rec = air_record()
+    k, v = F.col("k"), F.col("value")
+    blob = F.to_json(F.struct(
+        F.struct((v / 3).alias("pm1_0_atm_ug_m3"), v.alias("pm2_5_atm_ug_m3"),
+                 (v * 1.5).alias("pm10_atm_ug_m3"), (k * 7).alias("pm0_3_um_count"),
+                 (k * 3).alias("pm2_5_um_count"), (k * 2).alias("pm10_um_count"),
+                 (v * 1.1).alias("pm2_5_cf1")).alias("pm"),
+        F.struct((v / 10).alias("temp_c"), k.alias("hum_pct")).alias("dht"),
+        F.struct((F.lit(1000.0) + k / 10.0).alias("press_hpa")).alias("bme"),
+        F.struct((k / 1000.0).alias("tvoc_ppm"), (k + 2).alias("nox_index")).alias("gas"),
+        F.struct(rec["lat"].alias("lat"), rec["lon"].alias("lon"), (F.lit(10) + k).alias("alt_m"),
+                 (k % 12 + 3).alias("sat_view"), (k % 12).alias("sat_fix"),
+                 (k % 7).alias("position_err")).alias("gps"),
+        F.struct((k / 2.0).alias("cpu_pct"), (F.lit(40.0) + k / 10.0).alias("cpu_temp"),
+                 (k / 100.0).alias("load_1"), F.lit(512).alias("mem_total")).alias("sys"),
+        F.struct(F.concat(F.lit("10.0.0."), (F.col("device_id") % 250).cast("string")).alias("local_ip"))
+        .alias("net")), {"ignoreNullFields": "false"})
+    return e.select(
+        F.concat(F.date_format("recorded_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("timestamp"),
+        F.col("device_id").cast("string").alias("device"),
+        F.when(k % 50 == 0, F.lit("not json")).otherwise(blob).alias("data"))

@@ -296,3 +296,30 @@ CSV_FIELDS = ("aqs, round(pm1, 6) AS pm1, round(pm25, 6) AS pm25, round(pm10, 6)
               "round(temperature, 6) AS temperature, round(humidity, 6) AS humidity, "
               "round(pressure, 6) AS pressure, voc_index, round(voc, 6) AS voc, nox_index, co2, "
               "latitude, longitude, altitude, position_error, battery")
+
+LEGACY = """
+leg AS (
+  SELECT CAST(device_id AS VARCHAR) AS device, ts AS datetime, k % 50 <> 0 AS ok, device_id, k, value,
+         CASE WHEN k % 50 = 0 THEN NULL WHEN k % 10 = 0 THEN NULL WHEN k % 10 IN (1, 2) THEN 0.0::DOUBLE
+              ELSE round((device_id * 1 % 170) - 85.0 + k / 100.0::DOUBLE, 4) END AS latitude,
+         CASE WHEN k % 50 = 0 THEN NULL WHEN k % 10 = 1 THEN 0.0::DOUBLE
+              ELSE round((device_id * 7 % 350) - 175.0 + k / 100.0::DOUBLE, 4) END AS longitude
+  FROM aev
+),
+cells AS (
+  SELECT cell_lat, cell_lon, arg_min(tz, (-n, tz)) AS timezone FROM (
+    SELECT floor(lat / 1.0) AS cell_lat, floor(lon / 1.0) AS cell_lon, timezone AS tz, count(*) AS n
+    FROM (SELECT timezone,
+                 CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 IN (1, 2) THEN 0.0::DOUBLE
+                      ELSE round((device_id * 1 % 170) - 85.0 + k / 100.0::DOUBLE, 4) END AS lat,
+                 CASE WHEN k % 10 = 1 THEN 0.0::DOUBLE
+                      ELSE round((device_id * 7 % 350) - 175.0 + k / 100.0::DOUBLE, 4) END AS lon
+          FROM aev)
+    WHERE timezone IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL AND NOT (lat = 0 AND lon = 0)
+    GROUP BY 1, 2, 3) GROUP BY 1, 2
+),
+leg_tz AS (
+  SELECT l.*, c.timezone FROM leg l LEFT JOIN cells c
+    ON l.latitude IS NOT NULL AND l.longitude IS NOT NULL AND NOT (l.latitude = 0 AND l.longitude = 0)
+   AND floor(l.latitude / 1.0) = c.cell_lat AND floor(l.longitude / 1.0) = c.cell_lon
+)"""
