@@ -22,8 +22,8 @@ GROUP BY device_id
 def src9_raw_scan(spark, sf_dir):
     """Raw ingests of one device type pulled since a time (partition and
     min/max pruning on a landed table)."""
-    raw = model.air_raw(spark, sf_dir).unionByName(
-        model.wearable_raw(spark, sf_dir).select(*model.air_raw(spark, sf_dir).columns))
+    air = model.air_raw(spark, sf_dir)
+    raw = air.unionByName(model.wearable_raw(spark, sf_dir).select(*air.columns))
     r = payloads.raw_by_device(raw, device_type="air", since="2024-01-15")
     return r.groupBy("device_id").agg(F.count("*").alias("ingests"), F.max("pulled_at").alias("last_pull"))
 

@@ -41,9 +41,9 @@ def str1_available_now_ingest(spark, sf_dir):
 
 @query("str2_repull_upsert")
 def str2_repull_upsert(spark, sf_dir):
-    """Pulls spread over several micro-batches (2 files each) with a repeated
+    """Pulls spread over several micro-batches (4 files each) with a repeated
     pull: keys written in several batches keep their latest version."""
-    base = _replay(spark, sf_dir, max_files=2)
+    base = _replay(spark, sf_dir, max_files=4)
     r = spark.read.parquet(f"{base}/out/readings")
     return r.groupBy("device_id", "data_type", "recorded_at", "metric", "tag").agg(
         F.count("*").alias("versions"), F.max("batch_id").alias("last_batch"))
@@ -52,7 +52,7 @@ def str2_repull_upsert(spark, sf_dir):
 @query("str3_resume_point")
 def str3_resume_point(spark, sf_dir):
     """Latest successful batch per device from the streamed run log."""
-    base = _replay(spark, sf_dir, max_files=2)
+    base = _replay(spark, sf_dir, max_files=4)
     return ingest.last_success(spark, f"{base}/out")
 
 
@@ -60,6 +60,6 @@ def str3_resume_point(spark, sf_dir):
 def str4_batch_isolation(spark, sf_dir):
     """Per micro-batch run log: failed devices of a batch load nothing from
     that batch, other batches are unaffected."""
-    base = _replay(spark, sf_dir, max_files=2)
+    base = _replay(spark, sf_dir, max_files=4)
     log = spark.read.parquet(f"{base}/out/run_log")
     return log.groupBy("batch_id", "status").agg(F.count("*").alias("devices"))

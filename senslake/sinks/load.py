@@ -177,6 +177,7 @@ def load_wearable_batch(spark: SparkSession, raw: DataFrame, tz: DataFrame | Non
         raw = raw.join(maybe_broadcast(tz), "device_id", "left")
     from senslake.session import reuse
 
+    raw = reuse(raw)
     pts = reuse(payloads.wearable_points(raw))
     readings = reuse(N.readings(pts))
     sessions = N.sleep_sessions(pts)

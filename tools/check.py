@@ -69,6 +69,7 @@ def main() -> int:
             bad += 1
             continue
         ts = time.time() - t0
+        spark.catalog.clearCache()
         if name not in sqls:
             print(f"ROWS {name}: {len(sdf)} rows (no oracle) {ts:.1f}s")
             continue
