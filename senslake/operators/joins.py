@@ -70,17 +70,18 @@ def join_null_safe(a: DataFrame, b: DataFrame, on, how: str) -> DataFrame:
 
 def interval_join(readings: DataFrame, periods: DataFrame, device: str = "device_id",
                   ts: str = "recorded_at", start: str = "assigned_from",
-                  until: str = "assigned_until") -> DataFrame:
+                  until: str = "assigned_until", how: str = "inner") -> DataFrame:
     """JN7: attach the period(s) valid at each reading: same device and
-    ``start <= date(ts) < until`` (null until = open). Readings outside every
-    period get no row here; use a left join on the result for nulls.
+    ``start <= date(ts) < until`` (null until = open). With ``how='inner'``
+    readings outside every period get no row; ``how='left'`` keeps them with
+    a null period in the same single join.
 
     An equi-join on the device plus a range predicate: the planner hashes on
-    the device and checks the range per match; the period table is small per
-    device, so no cross product forms.
+    the device and checks the range per match; a device has a handful of
+    periods, so no cross product forms.
     """
     p = periods.withColumnRenamed(device, "_pdev")
     d = F.to_date(F.col(ts))
     cond = ((F.col(device) == F.col("_pdev")) & (d >= F.col(start))
             & (F.col(until).isNull() | (d < F.col(until))))
-    return readings.join(maybe_broadcast(p), cond, "inner").drop("_pdev")
+    return readings.join(maybe_broadcast(p), cond, how).drop("_pdev")

@@ -67,8 +67,7 @@ def jn7_reading_participant(spark, sf_dir):
     day; readings between assignments get no participant."""
     r = model.readings(spark, sf_dir).select("event_id", "device_id", "recorded_at")
     a = model.assignments(spark, sf_dir)
-    hit = interval_join(r, a).select("event_id", "participant_id")
-    return r.join(hit, "event_id", "left").select("event_id", "device_id", "participant_id")
+    return interval_join(r, a, how="left").select("event_id", "device_id", "participant_id")
 
 
 @query("jn8_registered_vs_delivered", sql=with_(DEVICES) + """
