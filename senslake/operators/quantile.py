@@ -1,0 +1,119 @@
+"""Exact quantiles (linear interpolation) that stay balanced under skew.
+
+``percentile`` keeps every distinct value of a group in one reducer's
+buffer: a group holding a third of the data would sit in one task. Here:
+
+1. pre-aggregate (group, value) -> count (map-side combine);
+2. range-partition those pairs by (group, value): a hot group is split over
+   many partitions by sampling, like a global sort;
+3. per partition and group, running counts; per-group offsets of each
+   partition come from a small (partition, group) total table;
+4. the rank positions needed per group (2 per quantile) form a table of
+   size groups x 2q, joined to the rank intervals with a range condition
+   (broadcast when within the size limit).
+
+Interpolation follows ``percentile``: for position h = (n - 1) q,
+``(ceil(h) - h) * v[floor(h)] + (h - floor(h)) * v[ceil(h)]``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from senslake.operators.joins import maybe_broadcast
+
+
+def exact_quantiles(df: DataFrame, keys, value: str, qs, names=None,
+                    partitions: int | None = None) -> DataFrame:
+    """(keys..., n, <name per q>) for the non-null, non-NaN values of ``value``."""
+    keys = list(keys)
+    names = list(names) if names else [f"q{int(q * 100)}" for q in qs]
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    v = F.col(value)
+    base = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.cast("double").alias("_v"))
+    vc = base.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
+    ranged = vc.repartitionByRange(parts, *keys, "_v").withColumn("_pid", F.spark_partition_id())
+
+    # Running count inside each (partition, group) slice.
+    w_local = (Window.partitionBy("_pid", *keys).orderBy("_v")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.withColumn("_cum", F.sum("_c").over(w_local))
+
+    # Offset of each slice within its group (small table: groups x partitions).
+    totals = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_pc"))
+    w_off = Window.partitionBy(*keys).orderBy("_pid")
+    offs = totals.withColumn("_off", F.sum("_pc").over(w_off) - F.col("_pc")) \
+        .withColumn("n", F.sum("_pc").over(Window.partitionBy(*keys))).drop("_pc")
+
+    ranks = (local.join(maybe_broadcast(offs), ["_pid", *keys])
+             .select(*keys, "_v", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_lo_rank"),
+                     (F.col("_off") + F.col("_cum")).alias("_hi_rank")))
+
+    # Positions wanted per group.
+    groups = offs.select(*keys, "n").distinct()
+    pos_rows = []
+    for i, q in enumerate(qs):
+        h = (F.col("n") - 1) * F.lit(float(q))
+        pos_rows.append(F.struct(F.lit(i).alias("qi"), h.alias("h"),
+                                 F.floor(h).cast("long").alias("r"), F.lit("lo").alias("side")))
+        pos_rows.append(F.struct(F.lit(i).alias("qi"), h.alias("h"),
+                                 F.ceil(h).cast("long").alias("r"), F.lit("hi").alias("side")))
+    pos = groups.select(*keys, "n", F.explode(F.array(*pos_rows)).alias("p")).select(*keys, "n", "p.*")
+
+    # Rename the position side's keys: both sides share lineage (self-join).
+    ren = {k: f"_pk{i}" for i, k in enumerate(keys)}
+    p = pos.select(*[F.col(k).alias(ren[k]) for k in keys], "n", "qi", "h", F.col("r").alias("_r"), "side")
+    on = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(ren[k]))
+        on = c if on is None else on & c
+    on = on & (F.col("_lo_rank") <= F.col("_r")) & (F.col("_r") < F.col("_hi_rank"))
+    hit = ranks.join(maybe_broadcast(p), on).select(*keys, "n", "qi", "h", "side", "_v")
+    per_q = hit.groupBy(*keys, "n", "qi", "h").agg(
+        F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("_vhi"))
+    lo, hi, h = F.floor("h"), F.ceil("h"), F.col("h")
+    val = F.when(lo == hi, F.col("_vlo")).otherwise(
+        (hi - h) * F.col("_vlo") + (h - lo) * F.col("_vhi"))
+    return (per_q.groupBy(*keys, "n")
+            .pivot("qi", list(range(len(qs))))
+            .agg(F.first(val))
+            .select(*keys, "n", *[F.col(str(i)).alias(nm) for i, nm in enumerate(names)]))
+
+
+# Groups with more rows than this go through the balanced path.
+HOT_GROUP_ROWS = 5_000_000
+
+
+def hot_groups(df: DataFrame, keys, threshold: int | None = None) -> DataFrame:
+    """Keys of groups with more than ``threshold`` rows. At most
+    rows / threshold groups qualify, so the result is safe to broadcast."""
+    spark = df.sparkSession
+    t = threshold or int(spark.conf.get("senslake.quantile.hotGroupRows", str(HOT_GROUP_ROWS)))
+    return df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > t).select(*keys)
+
+
+def quantiles(df: DataFrame, keys, value: str, qs, names, threshold: int | None = None) -> DataFrame:
+    """Exact quantiles per group: the built-in ``percentile`` for ordinary
+    groups (one aggregate), the balanced path for hot groups only."""
+    keys = list(keys)
+    v = F.col(value)
+    clean = df.where(v.isNotNull() & ~F.isnan(v))
+    arr = F.percentile(v, F.array(*[F.lit(float(q)) for q in qs]))
+
+    def by_percentile(d):
+        return d.groupBy(*keys).agg(F.count(v).alias("n"), arr.alias("_q")).select(
+            *keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
+
+    # The hot-key table is small (<= rows / threshold); probe it once and
+    # skip the balanced branch entirely when no group is hot.
+    from senslake.session import reuse
+    hot = reuse(hot_groups(clean, keys, threshold))
+    if hot.isEmpty():
+        return by_percentile(clean)
+    hot = F.broadcast(hot)
+    cold_q = by_percentile(clean.join(hot, keys, "left_anti"))
+    hot_q = exact_quantiles(clean.join(hot, keys, "left_semi"), keys, value, qs, names)
+    return cold_q.unionByName(hot_q)

@@ -15,23 +15,39 @@ from senslake.functions.text import label_split
 _TIME_COLUMNS = ("datetime", "date", "time")
 
 
-def global_range(long_df: DataFrame, keys=("df", "device_id", "column")) -> DataFrame:
+def global_range(long_df: DataFrame, keys=("df", "device_id", "column"),
+                 method: str = "auto") -> DataFrame:
     """AGG2: n, min, q25, median, mean, q75, max of non-null values.
 
     Rows with a null datetime are dropped first; all-null columns produce no
-    row (a group only exists when it has a value). Quantiles use exact linear
-    interpolation (``percentile``), whose buffer is a value -> count map, so
-    it grows with distinct values per group, not rows.
+    row (a group only exists when it has a value). Quantiles are exact with
+    linear interpolation. ``auto`` (default) uses the built-in aggregate for
+    ordinary groups and the balanced path of
+    :func:`senslake.operators.quantile.exact_quantiles` for hot groups (more
+    rows than ``senslake.quantile.hotGroupRows``); ``distributed`` sends
+    every group through the balanced path; ``percentile`` none.
     """
+    keys = list(keys)
     v = F.col("value")
-    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (long_df.where(F.col("datetime").isNotNull() & v.isNotNull() & ~F.isnan(v))
-            .groupBy(*keys)
-            .agg(F.count(v).alias("n"), F.min(v).alias("min"), q.alias("_q"),
-                 F.avg(v).alias("mean"), F.max(v).alias("max"))
-            .select(*keys, "n", "min", F.col("_q")[0].alias("q25"),
-                    F.col("_q")[1].alias("median"), "mean",
-                    F.col("_q")[2].alias("q75"), "max"))
+    clean = long_df.where(F.col("datetime").isNotNull() & v.isNotNull() & ~F.isnan(v))
+    if method == "percentile":
+        q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        return (clean.groupBy(*keys)
+                .agg(F.count(v).alias("n"), F.min(v).alias("min"), q.alias("_q"),
+                     F.avg(v).alias("mean"), F.max(v).alias("max"))
+                .select(*keys, "n", "min", F.col("_q")[0].alias("q25"),
+                        F.col("_q")[1].alias("median"), "mean",
+                        F.col("_q")[2].alias("q75"), "max"))
+    from senslake.operators.quantile import exact_quantiles, quantiles
+    names = ["q25", "median", "q75"]
+    if method == "distributed":
+        qs = exact_quantiles(clean, keys, "value", [0.25, 0.5, 0.75], names)
+    else:
+        qs = quantiles(clean, keys, "value", [0.25, 0.5, 0.75], names)
+    basic = clean.groupBy(*keys).agg(F.count(v).alias("n"), F.min(v).alias("min"),
+                                     F.avg(v).alias("mean"), F.max(v).alias("max"))
+    return (basic.join(qs.drop("n"), keys)
+            .select(*keys, "n", "min", "q25", "median", "mean", "q75", "max"))
 
 
 def loss_report(present_long: DataFrame, table_rows: DataFrame,
@@ -94,11 +110,14 @@ def daily_mean(df: DataFrame, value_cols, keys=("df", "device_id", "column"),
 
 
 def rolling_band_summary(rolling: DataFrame, keys=("df", "column")) -> DataFrame:
-    """AGG12: median over time of roll_min / roll_median / roll_max."""
-    med = lambda c: F.percentile(F.col(c), F.lit(0.5))
-    return rolling.groupBy(*keys).agg(med("roll_min").alias("band_min"),
-                                       med("roll_median").alias("band_center"),
-                                       med("roll_max").alias("band_max"))
+    """AGG12: median over time of roll_min / roll_median / roll_max (exact,
+    skew-balanced: every group here spans all devices of a table)."""
+    from senslake.operators.quantile import quantiles
+    keys = list(keys)
+    parts = [quantiles(rolling, keys, src, [0.5], [dst]).drop("n")
+             for src, dst in (("roll_min", "band_min"), ("roll_median", "band_center"),
+                              ("roll_max", "band_max"))]
+    return parts[0].join(parts[1], keys).join(parts[2], keys)
 
 
 def duplicate_timestamps(df: DataFrame, keys, ts: str) -> DataFrame:

@@ -1,0 +1,43 @@
+"""Skew-balanced exact quantiles equal the built-in percentile."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from senslake.operators.quantile import exact_quantiles
+
+
+def test_exact_quantiles_hot_group(spark):
+    rng = np.random.default_rng(3)
+    hot = [("hot", float(x)) for x in rng.normal(size=3000).round(3)]
+    cold = [(f"g{i % 7}", float(x)) for i, x in enumerate(rng.exponential(size=200).round(2))]
+    one = [("single", 5.0)]
+    df = spark.createDataFrame(hot + cold + one + [("hot", None)], "g string, value double")
+    qs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "value", qs, partitions=6).collect()}
+    want = (df.where(F.col("value").isNotNull()).groupBy("g")
+            .agg(F.count("value").alias("n"), F.percentile("value", F.array(*[F.lit(q) for q in qs])).alias("p"))
+            .collect())
+    assert len(got) == len(want)
+    for w in want:
+        g = got[w.g]
+        assert g.n == w.n
+        for i, q in enumerate(qs):
+            assert abs(g[f"q{int(q * 100)}"] - w.p[i]) < 1e-9
+
+
+def test_hot_group_spans_partitions(spark):
+    df = spark.range(20000).select(F.lit("hot").alias("g"), (F.col("id") % 5000).cast("double").alias("value"))
+    vc = df.groupBy("g", "value").count().repartitionByRange(8, "g", "value")
+    assert vc.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    r = exact_quantiles(df, ["g"], "value", [0.5], ["median"], partitions=8).first()
+    assert r.median == 2499.5
+
+
+def test_auto_split_hot_and_cold_groups(spark):
+    from senslake.operators.quantile import quantiles
+    df = spark.range(3000).select(F.when(F.col("id") < 2500, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 5))
+                                  .alias("g"), (F.col("id") % 997).cast("double").alias("value"))
+    got = {r.g: (r.n, r.med) for r in quantiles(df, ["g"], "value", [0.5], ["med"], threshold=1000).collect()}
+    want = {r.g: (r.n, r.med) for r in df.groupBy("g").agg(
+        F.count("value").alias("n"), F.percentile("value", 0.5).alias("med")).collect()}
+    assert got == want
