@@ -32,12 +32,31 @@ from senslake.functions.time import duration_us
 _OUT = ["roll_min", "roll_max", "roll_mean", "roll_median"]
 
 
+# Series with more rows than this take the chunked plan under method="auto".
+HOT_SERIES_ROWS = 200_000
+
+
 def rolling_range(df: DataFrame, window: str = "10D", keys=("df", "device_id", "column"),
-                  ts: str = "datetime", value: str = "value", method: str = "native",
-                  chunk: str | None = None) -> DataFrame:
+                  ts: str = "datetime", value: str = "value", method: str = "auto",
+                  chunk: str | None = None, hot_rows: int | None = None) -> DataFrame:
+    """``auto``: native window for ordinary series, chunked plan for hot ones
+    (more than ``senslake.rolling.hotSeriesRows`` rows; their key table is
+    bounded by rows / threshold and broadcast). ``chunk`` defaults to a
+    quarter of the window in that case."""
     keys = list(keys)
     w_us = duration_us(window)
     base = df.where(F.col(ts).isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value)))
+    if method == "auto":
+        from senslake.session import reuse
+        spark = df.sparkSession
+        t = hot_rows or int(spark.conf.get("senslake.rolling.hotSeriesRows", str(HOT_SERIES_ROWS)))
+        hot = reuse(base.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > t).select(*keys))
+        if hot.isEmpty():
+            return _native(base, w_us, keys, ts, value)
+        hot = F.broadcast(hot)
+        c_us = duration_us(chunk) if chunk else max(w_us // 4, 1)
+        return (_native(base.join(hot, keys, "left_anti"), w_us, keys, ts, value)
+                .unionByName(_chunked(base.join(hot, keys, "left_semi"), w_us, c_us, keys, ts, value)))
     if method == "native":
         return _native(base, w_us, keys, ts, value)
     if method == "chunked":

@@ -60,3 +60,17 @@ def test_label_split(spark):
     df = spark.createDataFrame([("pm25_dev1",), ("temp",), ("a_b_c",)], "column string")
     got = {(r.column, r.base_column, r.device_label) for r in stats.with_labels(df).collect()}
     assert got == {("pm25_dev1", "pm25", "dev1"), ("temp", "temp", ""), ("a_b_c", "a_b", "c")}
+
+
+def test_rolling_auto_routes_hot_series_to_chunks(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(minutes=7 * i), float(i % 13)) for i in range(3000)]
+    df = _long(spark, rows, device="hot").unionByName(_long(spark, rows[:50], device="cold"))
+    auto = rolling.rolling_range(df, "1D", hot_rows=1000).toPandas()
+    nat = rolling.rolling_range(df, "1D", method="native").toPandas()
+    key = ["device_id", "datetime"]
+    a = auto.sort_values(key).reset_index(drop=True)
+    b = nat.sort_values(key).reset_index(drop=True)
+    assert len(a) == len(b) == 3050
+    for c in ["roll_min", "roll_max", "roll_mean", "roll_median"]:
+        assert np.allclose(a[c], b[c])
