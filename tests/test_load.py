@@ -61,3 +61,20 @@ def test_raw_append_is_append_only(spark, tmp_dir):
     L.write_raw(raw, f"{tmp_dir}/raw")
     back = spark.read.parquet(f"{tmp_dir}/raw")
     assert back.count() == 2 and back.select("ingest_id").distinct().count() == 1
+
+
+def test_parser_registry_routes_and_reports(spark):
+    import json
+    from senslake.operators import parsers
+    p = json.dumps({"steps": {"dataPoints": [{"steps": {"interval": {"startTime": "2026-07-09T15:31:00Z",
+                                                                     "endTime": "2026-07-09T15:32:00Z"},
+                                                        "count": "3"}}]}})
+    a = json.dumps({"mac": "AA", "merged_data": [{"date": "2026-07-09T15:31:00Z", "pm25": 4.5}]})
+    raw = spark.createDataFrame(
+        [(1, "wearable", 1, "api_auto", T0, p, "UTC"), (2, "air", 2, "api_auto", T0, a, "UTC"),
+         (3, "thermostat", 3, "api_auto", T0, "{}", None)],
+        "ingest_id long, device_type string, device_id long, ingest_method string, pulled_at timestamp_ntz, "
+        "payload string, timezone string")
+    out = parsers.parse_all(raw)
+    assert out["readings"].count() == 1 and out["air_readings"].first().pm25 == 4.5
+    assert [(r.device_type, r.ingests) for r in parsers.unregistered(raw).collect()] == [("thermostat", 1)]
