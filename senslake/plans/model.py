@@ -362,7 +362,7 @@ def wearable_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("absent")).alias("mysteryMetric")))).alias("mystery-metric"),
         when("error", jnull).alias("distance"),
     )
-    text = F.regexp_replace(F.to_json(payload), f'"{_JSON_NULL}"', "null")
+    text = F.replace(F.to_json(payload), F.lit(f'"{_JSON_NULL}"'), F.lit("null"))
     # Every 17th pull carries an ingest method outside the allowed set.
     method = F.when(k % 17 == 0, F.lit("cron")).otherwise(
         F.element_at(F.array(*[F.lit(x) for x in ["api_auto", "api_manual", "test_script"]]),

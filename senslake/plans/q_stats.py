@@ -241,3 +241,23 @@ def jn3_timeline_merge(spark, sf_dir):
     tables = {t: h.where(F.col("column") == t).select("device_id", "datetime", F.col("value").alias(t))
               for t in model.EVENT_TYPES}
     return rounded(merge_on_time(tables, keys=("device_id",), how="outer"))
+
+
+@query("agg1_loss_report_union", sql=with_(HOURLY_LONG) + """
+, spine AS (SELECT count(DISTINCT datetime) AS rows FROM hourly_long)
+, present AS (SELECT "column" || '_' || device_id AS "column", count(*) AS present FROM hourly_long GROUP BY 1)
+SELECT 'merged' AS df, p."column", s.rows, s.rows - p.present AS missing_n,
+       round(CASE WHEN s.rows > 0 THEN (1.0 - (s.rows - p.present) / s.rows) * 100.0 ELSE 0.0 END, 6) AS coverage_pct
+FROM present p, spine s
+""")
+def agg1_loss_report_union(spark, sf_dir):
+    """Coverage on the merged multi-device frame: every '<type>_<device>'
+    column is measured against the union timeline of all devices (an hour
+    where only other devices reported counts as missing)."""
+    h = model.hourly_long(spark, sf_dir)
+    spine = h.agg(F.count_distinct("datetime").alias("rows")).withColumn("df", F.lit("merged"))
+    named = h.select(F.lit("merged").alias("df"),
+                     F.concat_ws("_", "column", "device_id").alias("column"), "value")
+    # The spine is a one-row table: a broadcast cross product of size 1.
+    out = stats.loss_report(named, F.broadcast(spine), keys=("df",))
+    return rounded(out)
