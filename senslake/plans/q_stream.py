@@ -20,7 +20,15 @@ from senslake.session import checkpoint_dir
 from senslake.streaming import ingest
 
 
+# One replay per (application, data dir, batch size): the queries reading the
+# same replay's outputs do not land and stream the pulls again.
+_REPLAYS: dict = {}
+
+
 def _replay(spark, sf_dir, max_files=None):
+    key = (spark.sparkContext.applicationId, sf_dir, max_files)
+    if key in _REPLAYS:
+        return _REPLAYS[key]
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     raw = model.wearable_raw(spark, sf_dir)
     # Land one pull twice to exercise the watermark dedup.
@@ -29,6 +37,7 @@ def _replay(spark, sf_dir, max_files=None):
      .write.parquet(f"{base}/landing"))
     q = ingest.start(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", max_files=max_files)
     q.awaitTermination()
+    _REPLAYS[key] = base
     return base
 
 
