@@ -116,6 +116,7 @@ def jn5_mac_device_map(spark, sf_dir):
 SELECT device_id, mac, replace(replace(upper(mac), ':', ''), '-', '') AS mac_norm FROM devices
 """)
 def scl10_mac_normalise(spark, sf_dir):
+    """MAC addresses without ':' / '-', upper case."""
     d = model.devices(spark, sf_dir)
     return d.select("device_id", "mac", normalize_mac(F.col("mac")).alias("mac_norm"))
 

@@ -44,6 +44,7 @@ def set2_distinct_rows(spark, sf_dir):
 SELECT DISTINCT device_id FROM file_index WHERE device_id IS NOT NULL
 """)
 def set3_distinct_devices(spark, sf_dir):
+    """Distinct physical device ids of the export files, sorted."""
     return cons.distinct_devices(cons.file_index(model.file_chunks(spark, sf_dir)))
 
 
@@ -82,6 +83,7 @@ SELECT file_key, device_id, start_date, end_date,
 FROM file_index
 """)
 def srt2_files_oldest_first(spark, sf_dir):
+    """Files of each device ordered by start date, unknown start last."""
     return cons.files_oldest_first(cons.file_index(model.file_chunks(spark, sf_dir)))
 
 
@@ -109,6 +111,7 @@ SELECT device_id, arg_max(file_key, (end_date, file_key)) AS latest_file, max(en
 FROM file_index WHERE end_date IS NOT NULL GROUP BY device_id
 """)
 def win5_latest_file(spark, sf_dir):
+    """Per device, the file with the greatest end date."""
     return cons.latest_file(cons.file_index(model.file_chunks(spark, sf_dir)))
 
 

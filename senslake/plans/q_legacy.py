@@ -133,6 +133,7 @@ SELECT device, datetime, round(value / 10, 6) AS temp_c, CAST(k AS BIGINT) AS hu
        round(1000.0 + k / 10.0::DOUBLE, 6) AS press_hpa FROM leg
 """))
 def prj30_weather(spark, sf_dir):
+    """Weather table: temperature, humidity, pressure by keyword rules."""
     return rounded(tables(spark, sf_dir)["weather"])
 
 
@@ -140,6 +141,7 @@ def prj30_weather(spark, sf_dir):
 SELECT device, datetime, CAST(k + 2 AS BIGINT) AS nox_index, round(k / 1000.0::DOUBLE, 6) AS tvoc_ppm FROM leg
 """))
 def prj30_gas(spark, sf_dir):
+    """Gas table: TVOC and NOx columns by keyword rules."""
     return rounded(tables(spark, sf_dir)["gas"])
 
 
@@ -148,6 +150,7 @@ SELECT device, datetime, CAST(k % 7 AS BIGINT) AS position_error_m, CAST(k % 12
        CAST(k % 12 + 3 AS BIGINT) AS sat_view_count FROM leg
 """))
 def prj30_sat(spark, sf_dir):
+    """Satellite table: fix count, satellites in view, position error."""
     return rounded(tables(spark, sf_dir)["sat"])
 
 
@@ -157,6 +160,7 @@ SELECT device, datetime, round(k / 2.0::DOUBLE, 6) AS cpu_pct, round(40.0 + k /
 FROM leg
 """))
 def prj31_sys(spark, sf_dir):
+    """System / power table: CPU, load, memory and power-rail columns."""
     return rounded(tables(spark, sf_dir)["sys"])
 
 
@@ -164,6 +168,7 @@ def prj31_sys(spark, sf_dir):
 SELECT device, datetime, '10.0.0.' || CAST(device_id % 250 AS VARCHAR) AS local_ip FROM leg
 """))
 def prj31_net(spark, sf_dir):
+    """Network table: local / public address columns."""
     return tables(spark, sf_dir)["net"]
 
 

@@ -238,6 +238,7 @@ def agg5_earliest_per_type(spark, sf_dir):
 SELECT data_type, count(*) AS points FROM w_points GROUP BY 1
 """)
 def agg9_point_counts(spark, sf_dir):
+    """Data points per data type in the raw pulls."""
     return points(spark, sf_dir).groupBy("data_type").agg(F.count("*").alias("points"))
 
 

@@ -85,6 +85,7 @@ SELECT df, device_id, count(DISTINCT datetime) AS rows, count(DISTINCT "column")
 FROM analysis_long GROUP BY df, device_id
 """)
 def agg3_table_overview(spark, sf_dir):
+    """Rows, columns and time range of each table per device."""
     return stats.table_overview(model.analysis_long(spark, sf_dir))
 
 
@@ -95,6 +96,7 @@ SELECT df, "column", count(value) AS non_null,
 FROM hourly_long GROUP BY df, "column"
 """)
 def agg4_column_overview(spark, sf_dir):
+    """Per column: non-null cells and the time range where it is present."""
     return stats.column_overview(model.hourly_long(spark, sf_dir))
 
 
@@ -140,6 +142,7 @@ SELECT df, "column", round(quantile_cont(roll_min, 0.5), 6) AS band_min,
 FROM roll GROUP BY df, "column"
 """)
 def agg12_rolling_band_summary(spark, sf_dir):
+    """Median over time of the rolling min / median / max per table and column."""
     from senslake.operators.rolling import rolling_range
     roll = rolling_range(model.analysis_long(spark, sf_dir), "10D")
     return rounded(stats.rolling_band_summary(roll))

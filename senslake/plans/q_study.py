@@ -52,6 +52,7 @@ def win4_assignment_overlap(spark, sf_dir):
 SELECT assignment_id, coalesce(assigned_until, DATE '9999-12-31') AS effective_until FROM assignments
 """)
 def scl15_open_range(spark, sf_dir):
+    """Open-ended assignment ends read as a far-future date."""
     a = model.assignments(spark, sf_dir)
     return a.select("assignment_id", open_until(F.col("assigned_until")).alias("effective_until"))
 

@@ -90,10 +90,12 @@ for _key, _kinds, _doc in [
     query(_key, sql=_sql)(_fn)
 
 
-query("prj9_hr_zones", sql=_W + f"SELECT {READINGS_COLS} FROM w_readings WHERE kind = 'hr_zones'")(
-    _readings_of(["daily-heart-rate-zones"]))
-query("prj10_respiratory", sql=_W + f"SELECT {READINGS_COLS} FROM w_readings WHERE kind = 'respiratory'")(
-    _readings_of(["respiratory-rate-sleep-summary"]))
+_hr = _readings_of(["daily-heart-rate-zones"])
+_hr.__doc__ = "HR-zone calibration: <ZONE>_min / <ZONE>_max rows, null bounds kept, untyped zone 'None'."
+query("prj9_hr_zones", sql=_W + f"SELECT {READINGS_COLS} FROM w_readings WHERE kind = 'hr_zones'")(_hr)
+_resp = _readings_of(["respiratory-rate-sleep-summary"])
+_resp.__doc__ = "Respiratory sleep summary: 4 stages x 3 metrics, tag = stage, only absent keys skipped."
+query("prj10_respiratory", sql=_W + f"SELECT {READINGS_COLS} FROM w_readings WHERE kind = 'respiratory'")(_resp)
 
 
 @query("prj16_value_text", sql=_W + """
@@ -174,6 +176,7 @@ SELECT device_id, ts AS started_at, ts + INTERVAL 480 MINUTE AS ended_at, 'STAGE
 FROM wev WHERE event_type = 'error'
 """)
 def prj11_sleep_sessions(spark, sf_dir):
+    """One sleep session row per sleep point: interval, type, nap flag, minute counters."""
     return N.sleep_sessions(points(spark, sf_dir)).select(
         "device_id", "started_at", "ended_at", "sleep_type", "is_nap", "minutes_in_sleep_period",
         "minutes_after_wakeup", "minutes_to_fall_asleep", "minutes_asleep", "minutes_awake", "ingest_id")
@@ -185,6 +188,7 @@ SELECT device_id, ts AS session_started_at, ts + t.s * INTERVAL 1 MINUTE AS star
 FROM wev, (VALUES (0, 60, 'LIGHT'), (60, 180, 'DEEP')) t(s, e, typ) WHERE event_type = 'error'
 """)
 def prj12_sleep_stages(spark, sf_dir):
+    """Sleep stage rows carrying their session's start time."""
     return N.sleep_stages(points(spark, sf_dir)).select(
         "device_id", "session_started_at", "started_at", "ended_at", "stage_type", "ingest_id")
 
@@ -198,6 +202,7 @@ SELECT device_id, ts AS started_at, ts + INTERVAL 45 MINUTE AS ended_at, 'WALKIN
 FROM wev WHERE event_type = 'purchase'
 """)
 def prj13_exercise(spark, sf_dir):
+    """Exercise sessions with the metrics summary flattened and zone durations in seconds."""
     return rounded(N.exercise_sessions(points(spark, sf_dir)).drop("pulled_at", "point_pos", "error"))
 
 
