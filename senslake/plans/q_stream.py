@@ -25,18 +25,23 @@ from senslake.streaming import ingest
 _REPLAYS: dict = {}
 
 
-def _replay(spark, sf_dir, max_files=None):
-    key = (spark.sparkContext.applicationId, sf_dir, max_files)
+def _replay(spark, sf_dir, phases: int = 1):
+    """Land the pulls and drain them with availableNow runs on one checkpoint.
+    With ``phases=2`` the first half of the month lands and is ingested
+    first, then the rest: two micro-batches with reproducible contents."""
+    key = (spark.sparkContext.applicationId, sf_dir, phases)
     if key in _REPLAYS:
         return _REPLAYS[key]
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     raw = model.wearable_raw(spark, sf_dir)
     # Land one pull twice to exercise the watermark dedup.
-    again = raw.where(F.col("ingest_id") % 101 == 0)
-    (raw.unionByName(again).repartition(8, F.to_date("pulled_at"))
-     .write.parquet(f"{base}/landing"))
-    q = ingest.start(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", max_files=max_files)
-    q.awaitTermination()
+    landed = raw.unionByName(raw.where(F.col("ingest_id") % 101 == 0))
+    day = F.dayofmonth("pulled_at")
+    parts = [landed] if phases == 1 else [landed.where(day <= 15), landed.where(day > 15)]
+    for i, part in enumerate(parts):
+        part.repartition(4, F.to_date("pulled_at")).write.parquet(f"{base}/landing/phase={i}")
+        q = ingest.start(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt")
+        q.awaitTermination()
     _REPLAYS[key] = base
     return base
 
@@ -50,9 +55,9 @@ def str1_available_now_ingest(spark, sf_dir):
 
 @query("str2_repull_upsert")
 def str2_repull_upsert(spark, sf_dir):
-    """Pulls spread over several micro-batches (4 files each) with a repeated
-    pull: keys written in several batches keep their latest version."""
-    base = _replay(spark, sf_dir, max_files=4)
+    """Pulls arriving in two phases (two micro-batches) with a repeated pull:
+    keys written in both batches keep their latest version."""
+    base = _replay(spark, sf_dir, phases=2)
     r = spark.read.parquet(f"{base}/out/readings")
     return r.groupBy("device_id", "data_type", "recorded_at", "metric", "tag").agg(
         F.count("*").alias("versions"), F.max("batch_id").alias("last_batch"))
@@ -61,7 +66,7 @@ def str2_repull_upsert(spark, sf_dir):
 @query("str3_resume_point")
 def str3_resume_point(spark, sf_dir):
     """Latest successful batch per device from the streamed run log."""
-    base = _replay(spark, sf_dir, max_files=4)
+    base = _replay(spark, sf_dir, phases=2)
     return ingest.last_success(spark, f"{base}/out")
 
 
@@ -69,6 +74,6 @@ def str3_resume_point(spark, sf_dir):
 def str4_batch_isolation(spark, sf_dir):
     """Per micro-batch run log: failed devices of a batch load nothing from
     that batch, other batches are unaffected."""
-    base = _replay(spark, sf_dir, max_files=4)
+    base = _replay(spark, sf_dir, phases=2)
     log = spark.read.parquet(f"{base}/out/run_log")
     return log.groupBy("batch_id", "status").agg(F.count("*").alias("devices"))
