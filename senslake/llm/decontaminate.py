@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from .common import blocks, documents, id_array, id_text
 from .words import HEAD, mix
 
-Q = 8
+Q = 10
 #: Edits allowed per character of a pattern, and the longest pattern; longer items are cut into overlapping patterns.
-RATE, PATTERN, STRIDE = 0.10, 200, 100
+RATE, PATTERN, STRIDE = 0.08, 200, 100
 #: Diagonals per band (each also takes the next ``budget`` ones), and pattern characters broadcast at once.
 BAND, BLOCK_CHARS = 64, 2_000_000
-_FILTER_BITS = 23
+_FILTER_BITS = 22
 
 
 def normal(data: np.ndarray, offs: np.ndarray):
@@ -35,15 +35,16 @@ def normal(data: np.ndarray, offs: np.ndarray):
 
 
 def grams(chars: np.ndarray) -> np.ndarray:
+    """Hashes of all q-grams, by doubling: pairs, fours, eights, and the last pair."""
     n = len(chars) - Q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
+    k, k2, k3, k4 = (np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in (1, 2, 3, 4))
     c = chars.astype(np.uint64)
-    h = np.zeros(n, np.uint64)
-    for j in range(Q):
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        h += c[j:j + n]
-    return mix(h)
+    two = c[:-1] * k + c[1:]
+    four = two[:-2] * k2 + two[2:]
+    eight = four[:-4] * k3 + four[4:]
+    return mix(eight[:n] * k4 + two[8:8 + n])
 
 
 def budget(m: int) -> int:
@@ -117,35 +118,39 @@ def align(pattern: np.ndarray, text: np.ndarray, k: int) -> tuple[int, int, int]
     return (int(cost[e]), int(start[e]), e) if cost[e] <= k else None
 
 
+def _regions(p: Patterns, block) -> list[tuple[int, int, int, int, int]]:
+    """(document index, item, start, end, edits) of every match in a block."""
+    chars, offs, place = normal(block.data, block.offs)
+    begins = np.concatenate([[0], np.cumsum(HEAD[block.data])])[block.offs]
+    doc, pat, diag = p.hits(chars, offs)
+    rows = []
+    if len(doc):
+        low = np.floor_divide(diag, BAND)
+        two = diag - low * BAND < p.edits[pat]
+        doc, pat, band = (np.concatenate([x, y[two]]) for x, y in ((doc, doc), (pat, pat), (low, low - 1)))
+        order = np.lexsort((band, pat, doc))
+        doc, pat, band = doc[order], pat[order], band[order]
+        edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pat[1:] != pat[:-1]) | (band[1:] != band[:-1])]))
+        count = np.diff(np.append(edge, len(doc)))
+        for e in edge[count >= p.need[pat[edge]]].tolist():
+            d, q, b = int(doc[e]), int(pat[e]), int(band[e])
+            m, k = int(p.size[q]), int(p.edits[q])
+            a = max(0, b * BAND - k)
+            z = min(int(offs[d + 1] - offs[d]), (b + 1) * BAND + m + 3 * k)
+            window = chars[offs[d] + a:offs[d] + z]
+            whole = window.tobytes().find(p.chars[q].tobytes())
+            found = (0, whole // 4, whole // 4 + m) if whole >= 0 and whole % 4 == 0 else align(p.chars[q], window, k)
+            if found and found[2] > found[1]:
+                x, y = int(offs[d]) + a + found[1], int(offs[d]) + a + found[2]
+                end = place[y] if y < len(place) and y < offs[d + 1] else begins[d + 1]
+                rows.append((d, p.item[q], int(place[x] - begins[d]), int(end - begins[d]), found[0]))
+    return _merged(rows)
+
+
 def _search(shared):
     def run(batches):
-        p: Patterns = shared.value
         for block in blocks(batches):
-            chars, offs, place = normal(block.data, block.offs)
-            begins = np.concatenate([[0], np.cumsum(HEAD[block.data])])[block.offs]
-            doc, pat, diag = p.hits(chars, offs)
-            rows = []
-            if len(doc):
-                low = np.floor_divide(diag, BAND)
-                two = diag - low * BAND < p.edits[pat]
-                doc, pat, band = (np.concatenate([x, y[two]]) for x, y in ((doc, doc), (pat, pat), (low, low - 1)))
-                order = np.lexsort((band, pat, doc))
-                doc, pat, band = doc[order], pat[order], band[order]
-                edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pat[1:] != pat[:-1]) | (band[1:] != band[:-1])]))
-                count = np.diff(np.append(edge, len(doc)))
-                for e in edge[count >= p.need[pat[edge]]].tolist():
-                    d, q, b = int(doc[e]), int(pat[e]), int(band[e])
-                    m, k = int(p.size[q]), int(p.edits[q])
-                    a = max(0, b * BAND - k)
-                    z = min(int(offs[d + 1] - offs[d]), (b + 1) * BAND + m + 3 * k)
-                    window = chars[offs[d] + a:offs[d] + z]
-                    whole = window.tobytes().find(p.chars[q].tobytes())
-                    found = (0, whole // 4, whole // 4 + m) if whole >= 0 and whole % 4 == 0 else align(p.chars[q], window, k)
-                    if found and found[2] > found[1]:
-                        x, y = int(offs[d]) + a + found[1], int(offs[d]) + a + found[2]
-                        end = place[y] if y < len(place) and y < offs[d + 1] else begins[d + 1]
-                        rows.append((d, p.item[q], int(place[x] - begins[d]), int(end - begins[d]), found[0]))
-            rows = _merged(rows)
+            rows = _regions(shared.value, block)
             ids = id_array(block)
             yield pa.RecordBatch.from_arrays([ids.take(pa.array([r[0] for r in rows], pa.int64())), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(1, 5))],
                                              ["doc_id", "item_id", "start", "end", "edits"])
@@ -177,11 +182,11 @@ def _item_blocks(items: DataFrame):
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, start, end, edits): every region of a document that holds a benchmark item, or a 200-character pattern of it,
-    within a tenth of its length in edits. Offsets are code points of the given text, ends exclusive.
+    within 8 edits in 100 characters. Offsets are code points of the given text, ends exclusive.
 
-    Case (ASCII, Latin-1) and white space runs do not count. A pattern of m characters and k edits shares m + 1 - q (k + 1) q-grams (q = 8)
-    with any such region, on k + 1 neighbouring diagonals; bands that reach this count are aligned, so nothing is missed. Items of fewer than 8
-    characters and null items match nothing; patterns shorter than 16 characters are matched exactly. Null and empty texts match nothing; null ids stay null; repeated rows are reported
+    Case (ASCII, Latin-1) and white space runs do not count. A pattern of m characters and k edits shares m + 1 - q (k + 1) q-grams (q = 10)
+    with any such region, on k + 1 neighbouring diagonals; bands that reach this count are aligned, so nothing is missed. Items of fewer than 10
+    characters and null items match nothing; patterns shorter than 20 characters are matched exactly. Null and empty texts match nothing; null ids stay null; repeated rows are reported
     as often as they come. Extra columns are ignored; empty tables give an empty result.
 
     Items reach the workers in blocks of 2,000,000 characters, each against all documents."""
@@ -197,6 +202,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out if out is not None else spark.createDataFrame([], schema)
 
 
+def _clean(shared):
+    def run(batches):
+        for block in blocks(batches):
+            keep = np.ones(block.n, bool)
+            keep[[r[0] for r in _regions(shared.value, block)]] = False
+            yield block.rows.filter(pa.array(keep))
+    return run
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text and any other columns) without the documents that :func:`contamination` reports; no join, no shuffle."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    for block in _item_blocks(items):
+        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(Patterns(block))), docs.schema)
+    return docs
+
+
 def op2_qgram_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in all documents."""
     return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -203,6 +203,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     return pairs.join(left, "a").join(right, "b").select("a", "b", "s_a", "s_b").mapInArrow(_confirm(num, den), "a long, b long").distinct()
 
 
+def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` (doc_id, text and any other columns) without the documents that a smaller id's component holds; rows that repeat
+    an id stay or go together. Only the ids that go are joined."""
+    gone = near_duplicates(docs, k, num, den).where("not kept").select("doc_id").distinct()
+    return docs.join(land(gone, "mh-gone"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def op10_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on 2-word shingles at 0.8."""
     return near_duplicates(documents(spark, sf_dir), k=2)

@@ -180,28 +180,47 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> dict |
     return {"vocab": vocab, "idf": idf, "index": index, "label": y, "ids": np.array([r["doc_id"] for r in got]), "b": calibrate(x, y, weight)}
 
 
+def scores(m: dict, block: Block):
+    """(score, nearest example ids, their cosines) of each document."""
+    base = float(1 / (1 + np.exp(-m["b"][-1])))
+    for t, c in _per_document(block, m["vocab"]):
+        if not len(t):
+            yield base, [], []
+            continue
+        ids, cos = m["index"].nearest(t, vector(t, c, m["idf"]), K)
+        z = float(np.dot([*vote(cos, m["label"][ids]), 1.0], m["b"]))
+        yield float(1 / (1 + np.exp(-np.clip(z, -30, 30)))), m["ids"][ids[:3]].tolist(), cos[:3].tolist()
+
+
 def _score(shared):
     def run(batches):
-        m = shared.value
-        base = 1 / (1 + np.exp(-m["b"][-1]))
         for block in blocks(batches):
-            score, near, cosine = [], [], []
-            for t, c in _per_document(block, m["vocab"]):
-                if not len(t):
-                    score.append(float(base))
-                    near.append([])
-                    cosine.append([])
-                    continue
-                ids, cos = m["index"].nearest(t, vector(t, c, m["idf"]), K)
-                score.append(float(1 / (1 + np.exp(-np.clip(np.dot([*vote(cos, m["label"][ids]), 1.0], m["b"]), -30, 30)))))
-                near.append(m["ids"][ids[:3]].tolist())
-                cosine.append(cos[:3].tolist())
+            score, near, cosine = (list(x) for x in zip(*scores(shared.value, block), strict=True))
             s = np.array(score)
             yield pa.RecordBatch.from_arrays([id_array(block), block.rows.column(block.rows.schema.get_field_index("held_out")), pa.array(s), pa.array((s >= 0.5).astype(np.int32)),
                                               pa.array(near, pa.list_(pa.int64())), pa.array(cosine, pa.list_(pa.float64()))], ["doc_id", "held_out", "score", "predicted", "evidence", "cosine"])
     return run
 
 
+def _mild(shared):
+    def run(batches):
+        for block in blocks(batches):
+            yield block.rows.filter(pa.array([s < 0.5 for s, _, _ in scores(shared.value, block)], pa.bool_()))
+    return run
+
+
+def _learnable(labels: DataFrame, mod: int, held: int) -> DataFrame:
+    key = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(mod))
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
+            .where(key != held).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0, examples: int = EXAMPLES) -> DataFrame:
+    """``docs`` (doc_id, text and any other columns) without the documents that :func:`toxicity` predicts as 1; no join, no shuffle."""
+    model = fit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), _learnable(labels, mod, held), examples)
+    return docs if model is None else docs.mapInArrow(_mild(docs.sparkSession.sparkContext.broadcast(model)), docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0, examples: int = EXAMPLES) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence, cosine): every document's calibrated probability of label 1,
     with the ids and cosines of its three nearest examples.
@@ -214,8 +233,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0, ex
     spark = docs.sparkSession
     key = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(mod))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    learn = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
-             .where(key != held).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    learn = _learnable(labels, mod, held)
     model = fit(rows, learn, examples)
     rows = rows.withColumn("held_out", F.coalesce(key == held, F.lit(False)))
     if model is None:
