@@ -13,6 +13,8 @@ from .words import HEAD, doc_bounds, mix, per_doc, span_hash, spans, window_hash
 #: Buckets of the hashed n-grams (word 1- and 2-grams, byte 3-grams), and additive smoothing in counts.
 BUCKETS = 1 << 16
 SMOOTH = 1.0
+#: Trusted ids are broadcast up to this number (16 MB); more are joined.
+BROADCAST_IDS = 2_000_000
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 _NEWLINE = np.zeros(256, bool)
@@ -59,17 +61,23 @@ def grams(block: Block, doc, h) -> tuple[np.ndarray, np.ndarray]:
             (np.concatenate([h, two ^ np.uint64(0xABCDEF), three ^ np.uint64(0x123457)]) >> top).astype(np.int64))
 
 
-def _count(batches):
-    raw, trusted = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for block in blocks(batches):
-        start, end, doc = spans(block)
-        d, g = grams(block, doc, span_hash(block.data, start, end))
-        raw += np.bincount(g, minlength=BUCKETS)
-        good = block.rows.column(block.rows.schema.get_field_index("trusted")).to_numpy(zero_copy_only=False).astype(bool)
-        if good.any():
-            trusted += np.bincount(g[good[d]], minlength=BUCKETS)
-    at = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "raw": pa.array(raw[at]), "trusted": pa.array(trusted[at])})
+def _count(shared):
+    """Counts of one task; trusted documents by a broadcast list of ids, or by the column ``trusted``."""
+    def run(batches):
+        raw, trusted = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        for block in blocks(batches):
+            start, end, doc = spans(block)
+            d, g = grams(block, doc, span_hash(block.data, start, end))
+            raw += np.bincount(g, minlength=BUCKETS)
+            if shared is None:
+                good = block.rows.column(block.rows.schema.get_field_index("trusted")).to_numpy(zero_copy_only=False).astype(bool)
+            else:
+                good = np.isin(id_array(block).fill_null(-1).to_numpy(zero_copy_only=False), shared.value) & ~np.asarray(id_array(block).is_null())
+            if good.any():
+                trusted += np.bincount(g[good[d]], minlength=BUCKETS)
+        at = np.flatnonzero(raw)
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "raw": pa.array(raw[at]), "trusted": pa.array(trusted[at])})
+    return run
 
 
 def _score(weights):
@@ -85,7 +93,7 @@ def _score(weights):
     return run
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, broadcast_ids: int = BROADCAST_IDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, llr, base_failed, kept) for every document.
 
     ``labels`` (doc_id, quality 0/1): documents labelled 1 are the trusted target. ``llr`` is the mean, over a
@@ -94,13 +102,20 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     two classes' shares on the right side, the lowest such step); without both classes it is -infinity.
     ``kept``: not ``base_failed`` and ``llr >= threshold``; every document is judged, none is sampled.
     Null or empty text has no words and fails the base rule. Null ids stay and have no label; repeated rows each come back; labels that
-    repeat an id count as trusted if any is 1. Extra columns are ignored; an empty table gives an empty result."""
+    repeat an id count as trusted if any is 1. Trusted ids are broadcast up to ``broadcast_ids``,
+    joined beyond, with the same result. Extra columns are ignored; an empty table gives an empty result."""
     spark = docs.sparkSession
     rows = id_text(docs, id_col, text_col)
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("q")).where("doc_id is not null and q is not null").groupBy("doc_id").agg(F.max("q").alias("q"))
-    known = rows.join(marks.where("q = 1").withColumnRenamed("q", "trusted"), "doc_id", "left")
-    counted = (known.select("text", (F.coalesce("trusted", F.lit(0)) == 1).alias("trusted")).mapInArrow(_count, "bucket int, raw long, trusted long")
-               .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")))
+    good = marks.where("q = 1").select("doc_id")
+    schema = "bucket int, raw long, trusted long"
+    if good.count() <= broadcast_ids:
+        ids = np.sort(np.array([r[0] for r in good.toLocalIterator()], np.int64))
+        counted = rows.mapInArrow(_count(spark.sparkContext.broadcast(ids)), schema)
+    else:
+        known = rows.join(good.withColumn("trusted", F.lit(True)), "doc_id", "left")
+        counted = known.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted")).mapInArrow(_count(None), schema)
+    counted = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
     table = np.zeros((2, BUCKETS))
     for r in land(counted, "quality-counts").collect():  # one row per bucket at most
         table[:, r["bucket"]] = r["trusted"], r["raw"]
