@@ -18,8 +18,8 @@ BANDS, ROWS = 40, 5
 #: Low bits kept of each minimum, and how far (in similarity) an estimate may lie below the threshold before the pair
 #: is not confirmed: 5.5 standard errors of 200 four-bit comparisons at similarity 0.8.
 BITS, MARGIN = 4, 0.16
-#: Members of one bucket that are compared in one block.
-CELL = 1024
+#: Members of one bucket, and shingles of theirs, on one side of a cell (expected).
+CELL, CELL_SHINGLES = 1024, 1_000_000
 _A = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 31, (BANDS * ROWS, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _C = np.random.Generator(np.random.PCG64(8)).integers(1, 1 << 63, (ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
@@ -93,38 +93,43 @@ def _sketch(k: int, full: bool):
 def _confirm(num: int, den: int):
     def run(batches):
         for batch in batches:
-            a, b, keep = batch.column(2).to_pylist(), batch.column(3).to_pylist(), []
-            for x, y in zip(a, b, strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if den * min(len(x), len(y)) < num * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                z = np.sort(np.concatenate([x, y]))
-                both = int((z[1:] == z[:-1]).sum())
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            mask = pa.array(keep, pa.bool_())
+            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            mask = pa.array([_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den) for x, y in zip(a, b, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
     return run
 
 
-def _cell_pairs(least: float):
-    """Pairs of different components within one bucket (or between two cells of it) whose estimate reaches ``least``."""
+def _linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    at = np.searchsorted(x, y)
+    both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+    return den * both >= num * (len(x) + len(y) - both)
+
+
+def _cell_links(least: float, num: int, den: int):
+    """Links that join different components within one cell of a bucket (or between two cells of it), confirmed on full sets.
+
+    A pair belongs to the first band that it shares. Pairs that an earlier link of the cell has connected are not
+    compared, so a cell gives fewer links than it has components."""
     def run(table: pa.Table) -> pa.Table:
-        ids, comp = (table.column(c).to_numpy() for c in ("rep", "comp"))
-        size = table.column("n").to_numpy()
-        side = table.column("side").to_numpy(zero_copy_only=False)
+        ids, comp, size, side, band = (table.column(c).to_numpy() for c in ("rep", "comp", "n", "side", "band"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+        bands = np.array(table.column("bands").to_pylist(), np.int64)
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        earlier = int(np.flatnonzero(bands[0] == band[0])[0])
         left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
         a, b = [], []
-        for i in left:
-            ok = right[(comp[right] != comp[i]) & (ids[right] != ids[i])]
-            ok = ok[(np.minimum(size[ok], size[i]) >= least * np.maximum(size[ok], size[i]))]
-            if len(ok):
-                ok = ok[estimate(sig[ok], sig[i]) >= least]
-                a.append(np.maximum(ids[ok], ids[i]))
-                b.append(np.minimum(ids[ok], ids[i]))
-        z = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate(a) if a else z, "b": np.concatenate(b) if b else z})
+        for i in left.tolist():
+            ok = right[(comp[right] != comp[i]) & (num * np.maximum(size[right], size[i]) <= den * np.minimum(size[right], size[i]))]
+            ok = ok[~(bands[ok, :earlier] == bands[i, :earlier]).any(axis=1)]
+            if not len(ok):
+                continue
+            e = estimate(sig[ok], sig[i])
+            for j in ok[np.argsort(-e, kind="stable")][:int((e >= least).sum())].tolist():
+                if comp[j] != comp[i] and _linked(sets[i], sets[j], num, den):
+                    a.append(max(ids[i], ids[j]))
+                    b.append(min(ids[i], ids[j]))
+                    comp = np.where(comp == comp[j], comp[i], comp)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
 
@@ -142,8 +147,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     2. A bucket (a band value shared by two classes or more) links each member with the bucket's smallest id. The best
        such link of each class is confirmed on full sets if the signature's estimate allows it, and components form.
     3. Buckets that still hold several components compare the members of different components, by signatures, in
-       cells of 1,024 x 1,024; every pair whose estimate reaches the threshold less the margin is confirmed
-       on full sets. No candidate is dropped otherwise, and classes already connected are not compared again."""
+       cells of about 1,024 x 1,024; a pair whose estimate reaches the threshold less the margin is confirmed on full sets unless a link
+       has connected its components before. No candidate is dropped otherwise; cells return links, never pairs."""
     least = num / den - MARGIN
     rows = id_text(docs, id_col, text_col)
     base = land(rows.mapInArrow(_sketch(k, False), "doc_id long, n long, same binary, sig binary, bands array<long>"), "mh-sketch")
@@ -167,16 +172,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     comp = components(first, "mh-cc1")
 
     named = crowd.join(comp.select(F.col("v").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    mixed = (named.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
-             .where("lo <> hi").select("band", F.ceil(F.col("size") / CELL).cast("int").alias("cells")))
-    rest = named.join(mixed, "band").join(tiny, "rep").select("band", "cells", "rep", "comp", "n", "sig",
-                                                              F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int").alias("cell"))
+    whole = classes.select("rep", "n", "sig", "bands").join(keyed, "rep").where(F.octet_length("shingles") == 8 * F.col("n"))
+    mixed = (named.join(tiny.select("rep", "n"), "rep").groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.sum("n").alias("n")).where("lo <> hi")
+             .select("band", F.greatest(F.ceil(F.col("size") / CELL), F.ceil(F.col("n") / CELL_SHINGLES)).cast("int").alias("cells")))
+    rest = named.join(mixed, "band").join(whole, "rep").select("band", "cells", "rep", "comp", "n", "sig", "bands", "shingles", F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int").alias("cell"))
     other = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other")
     spread = rest.select("*", other).select(
-        "band", "rep", "comp", "n", "sig", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"),
+        "band", "rep", "comp", "n", "sig", "bands", "shingles", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"),
         F.when(F.col("cell") == F.col("other"), 0).when(F.col("cell") < F.col("other"), 1).otherwise(2).alias("side"))
-    cross = land(spread.groupBy("band", "i", "j").applyInArrow(_cell_pairs(least), "a long, b long").distinct(), "mh-cross")
-    second = _confirmed(cross, keyed, num, den)
+    second = land(spread.groupBy("band", "i", "j").applyInArrow(_cell_links(least, num, den), "a long, b long").distinct(), "mh-second")
     links = first.unionByName(second).unionByName(
         # a doc_id whose texts fall in several classes joins them
         valid.join(classes.select("same", "rep"), "same").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
