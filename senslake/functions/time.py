@@ -32,10 +32,19 @@ def has_offset(s: Column) -> Column:
     return s.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
 
 
+def known_zone(tz: Column) -> Column:
+    """``tz`` if the JVM knows the zone, else null: an invalid name then fails
+    its own device (no timezone), never the batch."""
+    from pyspark.sql import SparkSession
+    jvm = SparkSession.active()._jvm
+    names = sorted(jvm.java.time.ZoneId.getAvailableZoneIds())
+    return F.when(tz.isin(names) | tz.rlike(r"^(UTC|GMT)?[+-](0[0-9]|1[0-7]):[0-5][0-9]$"), tz)
+
+
 def local_to_utc(s: Column, tz: Column) -> Column:
     """SCL2: offset-less local wall time in IANA zone ``tz`` -> UTC (NTZ)."""
     ntz = F.try_to_timestamp(s).cast("timestamp_ntz")
-    return F.to_utc_timestamp(ntz.cast("timestamp"), tz).cast("timestamp_ntz")
+    return F.to_utc_timestamp(ntz.cast("timestamp"), known_zone(tz)).cast("timestamp_ntz")
 
 
 def recorded_at(s: Column, tz: Column) -> Column:
@@ -63,6 +72,7 @@ def header_offset_minutes(header: Column) -> Column:
 def local_midnight_utc(d: Column, tz: Column) -> tuple[Column, Column]:
     """SCL4: local midnight of date ``d`` in ``tz`` and the next local
     midnight, both as UTC (NTZ). DST days are 23 or 25 hours long."""
+    tz = known_zone(tz)
     start = F.to_utc_timestamp(d.cast("timestamp"), tz).cast("timestamp_ntz")
     end = F.to_utc_timestamp(F.date_add(d, 1).cast("timestamp"), tz).cast("timestamp_ntz")
     return start, end

@@ -26,39 +26,23 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
 def merge_on_time(tables: dict, keys=(), ts: str = "datetime", how: str = "outer") -> DataFrame:
     """JN3: merge tables ``{name: df}`` on (keys, ts).
 
-    outer / inner / left merges of tables that share the time key are one
-    union + group-by (a single shuffle); other join kinds fall back to a
-    left fold of null-safe joins. Value column names must not collide.
+    A left fold of null-safe joins, so repeated timestamps multiply as a join
+    does and no row is lost. A value column that several tables have gets the
+    table's name as a suffix (``temp_inside``, ``temp_outside``).
     """
-    keys = list(keys)
-    frames = list(tables.values())
-    names = [c for f in frames for c in f.columns if c not in keys + [ts]]
-    if len(names) != len(set(names)):
-        raise ValueError(f"column name collision in merge: {names}")
-    if how in ("outer", "full", "inner", "left"):
-        tagged = []
-        for i, f in enumerate(frames):
-            vals = [c for c in f.columns if c not in keys + [ts]]
-            tagged.append(f.select(*keys, ts, F.lit(i).alias("_src"),
-                                   *[F.col(c) for c in vals]))
-        u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-        aggs = [F.max(F.when(F.col("_src") == 0, 1)).alias("_in0"),
-                F.count_distinct("_src").alias("_nsrc")]
-        aggs += [F.first(c, ignorenulls=True).alias(c) for c in names]
-        g = u.groupBy(*keys, ts).agg(*aggs)
-        if how == "inner":
-            g = g.where(F.col("_nsrc") == len(frames))
-        elif how == "left":
-            g = g.where(F.col("_in0").isNotNull())
-        return g.drop("_in0", "_nsrc")
-    return reduce(lambda a, b: join_null_safe(a, b, keys + [ts], how), frames)
+    on = list(keys) + [ts]
+    held = [c for f in tables.values() for c in f.columns if c not in on]
+    frames = [f.select(*on, *[F.col(c).alias(f"{c}_{name}" if held.count(c) > 1 else c)
+                              for c in f.columns if c not in on])
+              for name, f in tables.items()]
+    return reduce(lambda a, b: join_null_safe(a, b, on, how), frames)
 
 
 def join_null_safe(a: DataFrame, b: DataFrame, on, how: str) -> DataFrame:
     """Join with null-equal keys; the key columns are coalesced into one."""
     if how == "cross":
         raise ValueError("cross merge is not supported")
-    cond = reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in on])
+    cond = reduce(lambda x, y: x & y, [F.col(f"_a.{k}").eqNullSafe(F.col(f"_b.{k}")) for k in on])
     out = a.alias("_a").join(b.alias("_b"), cond, how)
     if how in ("left_anti", "leftanti", "left_semi", "leftsemi"):
         return out

@@ -64,12 +64,10 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
-def json_column_shares(df: DataFrame, sample_size: int | None = None) -> DataFrame:
+def json_column_shares(df: DataFrame) -> DataFrame:
     """AGG15: per string column, share of non-null values that parse as a
-    JSON object/array (one optional surrounding quote pair removed).
-    ``sample_size`` limits the rows examined (the detector's sampling)."""
+    JSON object/array (one optional surrounding quote pair removed), over all rows."""
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    src = df if sample_size is None else df.limit(sample_size)
 
     def is_json(c):
         v = F.trim(_q(c))
@@ -81,14 +79,14 @@ def json_column_shares(df: DataFrame, sample_size: int | None = None) -> DataFra
     aggs = []
     for c in cols:
         aggs += [F.count(_q(c)).alias(f"{c}__n"), F.count(F.when(is_json(c), 1)).alias(f"{c}__j")]
-    row = src.agg(*aggs)
+    row = df.agg(*aggs)
     stack = ", ".join(f"'{c}', `{c}__n`, `{c}__j`" for c in cols)
     return row.selectExpr(f"stack({len(cols)}, {stack}) AS (column, non_null, json_values)") \
         .withColumn("is_json", F.col("json_values") > F.col("non_null") * 0.5)
 
 
-def detect_json_column(df: DataFrame, sample_size: int | None = 100) -> str | None:
-    rows = json_column_shares(df, sample_size).collect()
+def detect_json_column(df: DataFrame) -> str | None:
+    rows = json_column_shares(df).collect()
     order = {c: i for i, c in enumerate(df.columns)}
     hits = sorted((order[r.column], r.column) for r in rows if r.is_json and r.non_null > 0)
     return hits[0][1] if hits else None

@@ -147,7 +147,8 @@ def time_span(data_type: str, tz: Column) -> Column:
                        vget(f"{base}.day", "int"))
         start, end = local_midnight_utc(d, tz)
         err = (F.when(d.isNull(), F.lit(f"daily grain: no usable date at {base}"))
-               .when(tz.isNull(), F.lit("daily grain: device has no timezone")))
+               .when(tz.isNull(), F.lit("daily grain: device has no timezone"))
+               .when(start.isNull(), F.lit("daily grain: unknown timezone")))
     return F.struct(F.lit(grain).alias("grain"), start.alias("recorded_at"),
                     end.alias("ended_at"), err.alias("error"))
 

@@ -18,6 +18,8 @@ Interpolation follows ``percentile``: for position h = (n - 1) q,
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,7 +49,11 @@ def exact_quantiles(df: DataFrame, keys, value: str, qs, names=None,
     offs = totals.withColumn("_off", F.sum("_pc").over(w_off) - F.col("_pc")) \
         .withColumn("n", F.sum("_pc").over(Window.partitionBy(*keys))).drop("_pc")
 
-    ranks = (local.join(maybe_broadcast(offs), ["_pid", *keys])
+    # Null keys are a group like any other: the join compares them null-safe.
+    ok = {k: f"_ok{i}" for i, k in enumerate(["_pid", *keys])}
+    o = offs.select(*[F.col(k).alias(n) for k, n in ok.items()], "_off")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(n)) for k, n in ok.items()])
+    ranks = (local.join(maybe_broadcast(o), same)
              .select(*keys, "_v", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_lo_rank"),
                      (F.col("_off") + F.col("_cum")).alias("_hi_rank")))
 
@@ -83,37 +89,11 @@ def exact_quantiles(df: DataFrame, keys, value: str, qs, names=None,
             .select(*keys, "n", *[F.col(str(i)).alias(nm) for i, nm in enumerate(names)]))
 
 
-# Groups with more rows than this go through the balanced path.
-HOT_GROUP_ROWS = 5_000_000
-
-
-def hot_groups(df: DataFrame, keys, threshold: int | None = None) -> DataFrame:
-    """Keys of groups with more than ``threshold`` rows. At most
-    rows / threshold groups qualify, so the result is safe to broadcast."""
-    spark = df.sparkSession
-    t = threshold or int(spark.conf.get("senslake.quantile.hotGroupRows", str(HOT_GROUP_ROWS)))
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > t).select(*keys)
-
-
-def quantiles(df: DataFrame, keys, value: str, qs, names, threshold: int | None = None) -> DataFrame:
-    """Exact quantiles per group: the built-in ``percentile`` for ordinary
-    groups (one aggregate), the balanced path for hot groups only."""
-    keys = list(keys)
+def quantiles(df: DataFrame, keys, value: str, qs, names) -> DataFrame:
+    """Exact quantiles per group by one built-in ``percentile`` aggregate
+    (distinct values and their counts, combined map-side)."""
     v = F.col(value)
     clean = df.where(v.isNotNull() & ~F.isnan(v))
     arr = F.percentile(v, F.array(*[F.lit(float(q)) for q in qs]))
-
-    def by_percentile(d):
-        return d.groupBy(*keys).agg(F.count(v).alias("n"), arr.alias("_q")).select(
-            *keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
-
-    # The hot-key table is small (<= rows / threshold); probe it once and
-    # skip the balanced branch entirely when no group is hot.
-    from senslake.session import reuse
-    hot = reuse(hot_groups(clean, keys, threshold))
-    if hot.isEmpty():
-        return by_percentile(clean)
-    hot = F.broadcast(hot)
-    cold_q = by_percentile(clean.join(hot, keys, "left_anti"))
-    hot_q = exact_quantiles(clean.join(hot, keys, "left_semi"), keys, value, qs, names)
-    return cold_q.unionByName(hot_q)
+    return clean.groupBy(*keys).agg(F.count(v).alias("n"), arr.alias("_q")).select(
+        *keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])

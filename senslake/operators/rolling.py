@@ -5,114 +5,46 @@ same series with timestamp in ``(t - window, t]``. Rows sharing a timestamp
 are peers and all see each other (SQL RANGE semantics), so the result does
 not depend on the physical order of ties.
 
-Two physical plans:
-
-``native``  one Window with a RANGE frame over microseconds, partitioned by
-            the series keys. Exact and whole-stage friendly, but every series
-            is one task and a sliding frame costs O(rows x rows-in-window).
-
-``chunked`` split time into chunks; copy each row into the chunks whose
-            look-back it falls in (at most ``ceil(window/chunk) + 1`` copies),
-            run a sorted pandas rolling per (series, chunk) group with
-            ``applyInPandas`` and keep only each chunk's own rows. A dense or
-            hot series is spread over many tasks; each group holds one chunk
-            plus one window of look-back.
+One plan for every series: time is cut into chunks, each row is copied into
+the chunks whose look-back it falls in (at most ``ceil(window / chunk) + 1``
+copies), one RANGE window runs over microseconds per (series, chunk), and each
+chunk keeps its own rows. A dense or hot series spreads over as many tasks as
+it has chunks, all of it in the JVM, with the semantics of a plain window.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from senslake.functions.time import duration_us
 
-_OUT = ["roll_min", "roll_max", "roll_mean", "roll_median"]
-
-
-# Series with more rows than this take the chunked plan under method="auto".
-HOT_SERIES_ROWS = 200_000
-
 
 def rolling_range(df: DataFrame, window: str = "10D", keys=("df", "device_id", "column"),
-                  ts: str = "datetime", value: str = "value", method: str = "auto",
-                  chunk: str | None = None, hot_rows: int | None = None) -> DataFrame:
-    """``auto``: native window for ordinary series, chunked plan for hot ones
-    (more than ``senslake.rolling.hotSeriesRows`` rows; their key table is
-    bounded by rows / threshold and broadcast). ``chunk`` defaults to a
-    quarter of the window in that case."""
+                  ts: str = "datetime", value: str = "value", chunk: str | None = None) -> DataFrame:
+    """``chunk`` (default: the window) bounds what one task holds of a series:
+    one chunk and one window of look-back. The result does not depend on it."""
     keys = list(keys)
     w_us = duration_us(window)
+    c_us = duration_us(chunk) if chunk else w_us
     base = df.where(F.col(ts).isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value)))
-    if method == "auto":
-        from senslake.session import reuse
-        spark = df.sparkSession
-        t = hot_rows or int(spark.conf.get("senslake.rolling.hotSeriesRows", str(HOT_SERIES_ROWS)))
-        hot = reuse(base.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > t).select(*keys))
-        if hot.isEmpty():
-            return _native(base, w_us, keys, ts, value)
-        hot = F.broadcast(hot)
-        c_us = duration_us(chunk) if chunk else max(w_us // 4, 1)
-        return (_native(base.join(hot, keys, "left_anti"), w_us, keys, ts, value)
-                .unionByName(_chunked(base.join(hot, keys, "left_semi"), w_us, c_us, keys, ts, value)))
-    if method == "native":
-        return _native(base, w_us, keys, ts, value)
-    if method == "chunked":
-        c_us = duration_us(chunk) if chunk else w_us
-        return _chunked(base, w_us, c_us, keys, ts, value)
-    raise ValueError(f"unknown method {method!r}")
-
-
-def _us(ts: str):
-    return F.unix_micros(F.col(ts).cast("timestamp"))
-
-
-def _native(df: DataFrame, w_us: int, keys, ts, value) -> DataFrame:
-    w = (Window.partitionBy(*keys).orderBy(_us(ts)).rangeBetween(-(w_us - 1), 0))
-    v = F.col(value)
-    return df.select(ts, *keys,
-                     F.min(v).over(w).alias("roll_min"),
-                     F.max(v).over(w).alias("roll_max"),
-                     F.avg(v).over(w).alias("roll_mean"),
-                     F.percentile(v, F.lit(0.5)).over(w).alias("roll_median"))
-
-
-def _chunked(df: DataFrame, w_us: int, c_us: int, keys, ts, value) -> DataFrame:
     t = _us(ts)
     home = F.floor(t / c_us)
     # Chunk c needs row r when c*C - W < t_r, i.e. c <= floor((t_r + W - 1) / C).
     last = F.floor((t + F.lit(w_us - 1)) / c_us)
-    copies = df.select(*keys, F.col(ts).alias("_ts"), t.alias("_us"),
-                       F.col(value).cast("double").alias("_v"),
-                       F.explode(F.sequence(home, last)).alias("_chunk"),
-                       home.alias("_home"))
-    schema = T.StructType(
-        [df.schema[k] for k in keys]
-        + [T.StructField("_ts", df.schema[ts].dataType), T.StructField("_chunk", T.LongType())]
-        + [T.StructField(c, T.DoubleType()) for c in _OUT])
-    window_str = f"{w_us}us"
+    copies = base.select(ts, *keys, F.col(value).alias("_v"), t.alias("_us"), home.alias("_home"),
+                         F.explode(F.sequence(home, last)).alias("_chunk"))
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_us").rangeBetween(-(w_us - 1), 0)
+    v = F.col("_v")
+    # The mean adds leading and trailing digits apart: their sums hardly round.
+    hi = v.cast("float").cast("double")
+    lo = F.when(v == hi, 0.0).otherwise(v - hi)
+    rolled = copies.select(ts, *keys, "_home", "_chunk",
+                           F.min(v).over(w).alias("roll_min"), F.max(v).over(w).alias("roll_max"),
+                           ((F.sum(hi).over(w) + F.sum(lo).over(w)) / F.count(v).over(w)).alias("roll_mean"),
+                           F.percentile(v, F.lit(0.5)).over(w).alias("roll_median"))
+    return rolled.where(F.col("_home") == F.col("_chunk")).drop("_home", "_chunk")
 
-    def roll(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_us", kind="stable")
-        s = pd.Series(pdf["_v"].to_numpy(), index=pd.to_datetime(pdf["_us"].to_numpy(), unit="us"))
-        r = s.rolling(window_str, min_periods=1)
-        # Mean from extended-precision prefix sums: a running add/remove sum
-        # drifts in the last digits over long series.
-        us = pdf["_us"].to_numpy()
-        lo = np.searchsorted(us, us - w_us, side="right")
-        hi = np.arange(1, len(us) + 1)
-        csum = np.concatenate([[0], np.cumsum(pdf["_v"].to_numpy(dtype=np.longdouble))])
-        mean = ((csum[hi] - csum[lo]) / (hi - lo)).astype(np.float64)
-        res = pd.DataFrame({"roll_min": r.min().to_numpy(), "roll_max": r.max().to_numpy(),
-                            "roll_mean": mean, "roll_median": r.median().to_numpy()})
-        # RANGE peers: every row of a tie takes the result of the tie's last row.
-        grp = pdf["_us"].to_numpy()
-        res = res.groupby(grp, sort=False).transform("last")
-        keep = (pdf["_chunk"].to_numpy() == pdf["_home"].to_numpy())
-        out = pdf.loc[keep, keys + ["_ts", "_chunk"]].reset_index(drop=True)
-        return pd.concat([out, res.loc[keep].reset_index(drop=True)], axis=1)
 
-    out = copies.groupBy(*keys, "_chunk").applyInPandas(roll, schema)
-    return out.select(F.col("_ts").alias(ts), *keys, *_OUT)
+def _us(ts: str):
+    return F.unix_micros(F.col(ts).cast("timestamp"))

@@ -12,20 +12,17 @@ from pyspark.sql import functions as F
 
 from senslake.functions.text import label_split
 
-_TIME_COLUMNS = ("datetime", "date", "time")
-
 
 def global_range(long_df: DataFrame, keys=("df", "device_id", "column"),
-                 method: str = "auto") -> DataFrame:
+                 method: str = "percentile") -> DataFrame:
     """AGG2: n, min, q25, median, mean, q75, max of non-null values.
 
     Rows with a null datetime are dropped first; all-null columns produce no
-    row (a group only exists when it has a value). Quantiles are exact with
-    linear interpolation. ``auto`` (default) uses the built-in aggregate for
-    ordinary groups and the balanced path of
-    :func:`senslake.operators.quantile.exact_quantiles` for hot groups (more
-    rows than ``senslake.quantile.hotGroupRows``); ``distributed`` sends
-    every group through the balanced path; ``percentile`` none.
+    row (a group only exists when it has a value); null keys are a group.
+    Quantiles are exact with linear interpolation, by one aggregate.
+    ``method='distributed'`` is the caller's choice for groups with too many
+    distinct values for one buffer: it spreads every group's ranks over tasks
+    (:func:`senslake.operators.quantile.exact_quantiles`), with equal results.
     """
     keys = list(keys)
     v = F.col("value")
@@ -38,15 +35,14 @@ def global_range(long_df: DataFrame, keys=("df", "device_id", "column"),
                 .select(*keys, "n", "min", F.col("_q")[0].alias("q25"),
                         F.col("_q")[1].alias("median"), "mean",
                         F.col("_q")[2].alias("q75"), "max"))
-    from senslake.operators.quantile import exact_quantiles, quantiles
-    names = ["q25", "median", "q75"]
-    if method == "distributed":
-        qs = exact_quantiles(clean, keys, "value", [0.25, 0.5, 0.75], names)
-    else:
-        qs = quantiles(clean, keys, "value", [0.25, 0.5, 0.75], names)
+    if method != "distributed":
+        raise ValueError(f"unknown method {method!r}")
+    from senslake.operators.joins import join_null_safe
+    from senslake.operators.quantile import exact_quantiles
+    qs = exact_quantiles(clean, keys, "value", [0.25, 0.5, 0.75], ["q25", "median", "q75"])
     basic = clean.groupBy(*keys).agg(F.count(v).alias("n"), F.min(v).alias("min"),
                                      F.avg(v).alias("mean"), F.max(v).alias("max"))
-    return (basic.join(qs.drop("n"), keys)
+    return (join_null_safe(basic, qs.drop("n"), keys, "inner")
             .select(*keys, "n", "min", "q25", "median", "mean", "q75", "max"))
 
 
@@ -54,15 +50,22 @@ def loss_report(present_long: DataFrame, table_rows: DataFrame,
                 keys=("df", "device_id")) -> DataFrame:
     """AGG1: per table x column -- rows, missing_n, coverage_pct.
 
-    ``present_long`` holds the non-null cells ``(*keys, column, value)``;
+    ``present_long`` holds the cells ``(*keys, column, value)``;
     ``table_rows`` holds the row count of each table ``(*keys, rows)``. A
     missing cell is a table row without a value; coverage is 0 for an empty
-    table.
+    table. Every column that any device of a table family (the keys but
+    ``device_id``) has is reported for each of its tables: a column without a
+    value on a device is 0 % there. The column list is as long as the
+    schema is wide.
     """
+    keys = list(keys)
+    family = [k for k in keys if k != "device_id"]
+    known = present_long.select(*family, "column").distinct()
+    spine = table_rows.join(known, family) if family else table_rows.crossJoin(F.broadcast(known))
     present = (present_long.where(F.col("value").isNotNull())
                .groupBy(*keys, "column").agg(F.count("*").alias("_present")))
-    out = present.join(table_rows, list(keys), "inner")
-    missing = F.col("rows") - F.col("_present")
+    out = spine.join(present, [*keys, "column"], "left")
+    missing = F.col("rows") - F.coalesce(F.col("_present"), F.lit(0))
     return out.select(*keys, "column", "rows", missing.alias("missing_n"),
                       coverage_pct(missing, F.col("rows")).alias("coverage_pct"))
 

@@ -26,9 +26,10 @@ def agg2_global_range(spark, sf_dir):
 @query("agg1_loss_report", sql=with_(HOURLY_LONG, HOURLY_ROWS) + """
 , present AS (SELECT df, device_id, "column", count(*) AS present FROM hourly_long
               WHERE value IS NOT NULL GROUP BY 1, 2, 3)
-SELECT p.df, p.device_id, p."column", h.rows, h.rows - p.present AS missing_n,
-       round(CASE WHEN h.rows > 0 THEN (1.0 - (h.rows - p.present) / h.rows) * 100.0 ELSE 0.0 END, 6) AS coverage_pct
-FROM present p JOIN hourly_rows h USING (device_id)
+SELECT 'hourly' AS df, h.device_id, t."column", h.rows, h.rows - coalesce(p.present, 0) AS missing_n,
+       round(coalesce(p.present, 0) / h.rows * 100.0, 6) AS coverage_pct
+FROM hourly_rows h CROSS JOIN (SELECT DISTINCT event_type AS "column" FROM events) t
+LEFT JOIN present p ON p.device_id = h.device_id AND p."column" = t."column"
 """)
 def agg1_loss_report(spark, sf_dir):
     """Coverage of each event type on each device's hourly timeline."""
@@ -49,7 +50,7 @@ FROM analysis_long WHERE datetime IS NOT NULL AND value IS NOT NULL AND NOT isna
 WINDOW w AS (PARTITION BY df, device_id, "column" ORDER BY datetime {_W10})
 """)
 def win1_rolling_range(spark, sf_dir):
-    """10-day rolling band per (table, device, column), native RANGE window."""
+    """10-day rolling band per (table, device, column)."""
     from senslake.operators.rolling import rolling_range
     return rounded(rolling_range(model.analysis_long(spark, sf_dir), "10D"))
 
@@ -74,9 +75,11 @@ WINDOW w AS (PARTITION BY df, "column" ORDER BY datetime {_W10})
 @query("win1_rolling_dense_chunked", sql=_DENSE_SQL)
 def win1_rolling_dense_chunked(spark, sf_dir):
     """10-day rolling band over one dense series per event type (all devices
-    pooled), by time chunks with look-back copies: the hot-series plan."""
+    pooled), in chunks of two days."""
     from senslake.operators.rolling import rolling_range
-    return rounded(rolling_range(_dense(spark, sf_dir), "10D", method="chunked", chunk="2D"))
+    out = rolling_range(_dense(spark, sf_dir), "10D", chunk="2D")
+    # 12 digits first: what is half-way in decimals is then half-way in doubles too.
+    return rounded(out.withColumn("roll_mean", F.round("roll_mean", 12)))
 
 
 @query("agg3_table_overview", sql=with_(ANALYSIS_LONG) + """
@@ -150,8 +153,9 @@ def agg12_rolling_band_summary(spark, sf_dir):
 
 @query("agg13_coverage_band", sql=with_(HOURLY_LONG, HOURLY_ROWS) + """
 , present AS (SELECT device_id, "column", count(*) AS present FROM hourly_long GROUP BY 1, 2)
-, cov AS (SELECT p.device_id, p."column", (1.0 - (h.rows - p.present) / h.rows) * 100.0 AS pct
-          FROM present p JOIN hourly_rows h USING (device_id))
+, cov AS (SELECT h.device_id, t."column", coalesce(p.present, 0) / h.rows * 100.0 AS pct
+          FROM hourly_rows h CROSS JOIN (SELECT DISTINCT event_type AS "column" FROM events) t
+          LEFT JOIN present p ON p.device_id = h.device_id AND p."column" = t."column")
 SELECT "column", CASE WHEN pct < 50 THEN '<50' WHEN pct < 80 THEN '<80' ELSE '>=80' END AS band,
        count(*) AS devices
 FROM cov GROUP BY 1, 2
@@ -237,8 +241,7 @@ SELECT device_id, datetime,
 FROM hourly_long GROUP BY 1, 2
 """)
 def jn3_timeline_merge(spark, sf_dir):
-    """Outer merge of each device's five hourly tables on datetime -- as one
-    pivot (one shuffle) instead of a left-fold of four outer joins."""
+    """Outer merge of each device's five hourly tables on datetime."""
     from senslake.operators.joins import merge_on_time
     h = model.hourly_long(spark, sf_dir)
     tables = {t: h.where(F.col("column") == t).select("device_id", "datetime", F.col("value").alias(t))

@@ -100,8 +100,15 @@ def upsert(target: DataFrame | None, source: DataFrame, key, order) -> DataFrame
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, key) -> DataFrame:
-    """SNK3: ON CONFLICT DO NOTHING -- source rows whose key is new."""
-    return target.unionByName(source.join(target.select(*key), list(key), "left_anti"))
+    """SNK3: ON CONFLICT DO NOTHING -- source rows whose key is new, one per
+    key (keys compare null-safe; of several the one that sorts first)."""
+    key = list(key)
+    rest = [c for c in source.columns if c not in key]
+    one = source.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_r")).select(*key, "_r.*") if rest else source.distinct()
+    t = target.select(*[F.col(k).alias(f"_t_{k}") for k in key]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in key]
+    new = one.join(t, reduce(lambda a, b: a & b, same), "left_anti")
+    return target.unionByName(new.select(*source.columns))
 
 
 def write_table(df: DataFrame, path: str, spec: TableSpec) -> None:

@@ -88,43 +88,3 @@ def air_records(raw: DataFrame) -> DataFrame:
     return p.select(*keep, F.col("_p.mac").alias("mac"),
                     F.posexplode("_p.merged_data").alias("point_pos", "rec")).select(
         *keep, "mac", "point_pos", "rec.*")
-
-
-def json_column_expand(df: DataFrame, json_col: str, keep_original: bool = False,
-                       sample_rows: int | None = None) -> DataFrame:
-    """SRC8: expand a JSON-in-text column into typed leaf columns.
-
-    The schema is inferred with one distributed aggregate
-    (``schema_of_variant_agg``); every leaf becomes a column named by its
-    dotted path. Unparsable cells give null leaves.
-    """
-    v = F.try_parse_json(F.trim(F.col(json_col)))
-    src = df if sample_rows is None else df.limit(sample_rows)
-    schema = src.select(F.schema_of_variant_agg(v).alias("s")).first()["s"]
-    leaves = _leaf_paths(T._parse_datatype_string(schema) if schema.startswith("OBJECT") is False
-                         else _object_to_struct(schema))
-    cols = [F.try_variant_get(v, "$." + ".".join(path), _spark_type(t)).alias(".".join(path))
-            for path, t in leaves]
-    base = [c for c in df.columns if keep_original or c != json_col]
-    return df.select(*base, *cols)
-
-
-def _object_to_struct(schema: str) -> T.DataType:
-    """Turn ``OBJECT<a: BIGINT, b: OBJECT<...>>`` into a Spark StructType."""
-    ddl = schema.replace("OBJECT<", "STRUCT<")
-    return T._parse_datatype_string(ddl)
-
-
-def _leaf_paths(dt: T.DataType, prefix=()):
-    if isinstance(dt, T.StructType):
-        out = []
-        for f in dt.fields:
-            out.extend(_leaf_paths(f.dataType, prefix + (f.name,)))
-        return out
-    return [(prefix, dt)]
-
-
-def _spark_type(dt: T.DataType) -> str:
-    if isinstance(dt, (T.ArrayType, T.MapType)) or dt.typeName() == "variant":
-        return "string"
-    return dt.simpleString()

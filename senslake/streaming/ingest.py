@@ -1,6 +1,6 @@
 """Structured Streaming ingest of landed raw payloads (STR1-4).
 
-landing folder (raw ingest files)  --readStream-->  dedup within watermark
+landing folder (raw ingest files)  --readStream-->
   --foreachBatch-->  parse + per-device isolation + upsert-ready tables
   --> per-table append log partitioned by batch_id (idempotent on replay)
   --> merge-on-read views: latest row per natural key across batches.
@@ -22,29 +22,25 @@ _RAW_STREAM_SCHEMA = RAW_SCHEMA.add("timezone", "string")
 _TABLES = ("readings", "sleep_sessions", "sleep_stages", "exercise_sessions", "profile", "run_log")
 
 
-def raw_stream(spark: SparkSession, landing: str, max_files: int | None = None,
-               watermark: str = "1 day") -> DataFrame:
-    """STR1 + STR2: stream of raw ingests; a pull landed twice (same device
-    and pull time) is dropped within the watermark."""
+def raw_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
+    """STR1 + STR2: stream of raw ingests. Nothing is dropped by age: a
+    back-fill may land weeks late, and a pull landed twice is harmless, since
+    the current view keeps one version per key."""
     r = spark.readStream.schema(_RAW_STREAM_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    s = r.parquet(landing).withColumn("_event_time", F.col("pulled_at").cast("timestamp"))
-    return (s.withWatermark("_event_time", watermark)
-            .dropDuplicatesWithinWatermark(["device_type", "device_id", "_event_time"]))
+    return r.parquet(landing)
 
 
 def process_batch(out_dir: str):
     """STR4: the foreachBatch body -- one batch, failures isolated per device."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # No-data batches only advance the watermark (state eviction).
         if batch.isEmpty():
             return
-        # The batch feeds six writes: persist it so the source read and the
-        # stateful dedup run once per micro-batch.
+        # The batch feeds seven writes: persist it so the source is read once.
         batch = batch.persist()
-        wear = batch.where(F.col("device_type") == "wearable").drop("_event_time")
+        wear = batch.where(F.col("device_type") == "wearable")
         tables = L.load_wearable_batch(spark, wear)
         started = F.current_timestamp().cast("timestamp_ntz")
         tables["run_log"] = tables["run_log"].withColumn("started_at", started)
@@ -52,6 +48,10 @@ def process_batch(out_dir: str):
             df = tables[name].withColumn("batch_id", F.lit(batch_id).cast("long"))
             (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{out_dir}/{name}"))
+        # Pulls of other device types stay as they landed, for their own loader.
+        other = batch.where(~F.col("device_type").eqNullSafe("wearable"))
+        (other.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out_dir}/unrouted"))
         batch.unpersist()
     return run
 

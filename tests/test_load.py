@@ -78,3 +78,9 @@ def test_parser_registry_routes_and_reports(spark):
     out = parsers.parse_all(raw)
     assert out["readings"].count() == 1 and out["air_readings"].first().pm25 == 4.5
     assert [(r.device_type, r.ingests) for r in parsers.unregistered(raw).collect()] == [("thermostat", 1)]
+
+
+def test_insert_if_absent_takes_one_row_per_new_key(spark):
+    t = spark.createDataFrame([(None, "old")], "id int, v string")
+    s = spark.createDataFrame([(2, "b"), (2, "a"), (None, "x")], "id int, v string")
+    assert sorted(map(tuple, L.insert_if_absent(t, s, ["id"]).collect()), key=str) == [(2, "a"), (None, "old")]

@@ -33,11 +33,11 @@ def test_hot_group_spans_partitions(spark):
     assert r.median == 2499.5
 
 
-def test_auto_split_hot_and_cold_groups(spark):
+def test_quantiles_of_large_and_small_groups(spark):
     from senslake.operators.quantile import quantiles
     df = spark.range(3000).select(F.when(F.col("id") < 2500, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 5))
                                   .alias("g"), (F.col("id") % 997).cast("double").alias("value"))
-    got = {r.g: (r.n, r.med) for r in quantiles(df, ["g"], "value", [0.5], ["med"], threshold=1000).collect()}
+    got = {r.g: (r.n, r.med) for r in quantiles(df, ["g"], "value", [0.5], ["med"]).collect()}
     want = {r.g: (r.n, r.med) for r in df.groupBy("g").agg(
         F.count("value").alias("n"), F.percentile("value", 0.5).alias("med")).collect()}
     assert got == want

@@ -31,8 +31,10 @@ def test_merge_kinds_D10_D11(spark):
     fold = joins.merge_on_time({"a": a, "b": b}, how="right")
     assert fold.count() == 2                       # null keys match null-safe, none here in a
     assert joins.merge_on_time({"a": a, "b": b}, how="left_anti").count() == 1
-    with pytest.raises(ValueError):
-        joins.merge_on_time({"a": a, "b": a})      # name collision
+    assert sorted(joins.merge_on_time({"x": a, "y": a}).columns) == ["a_x", "a_y", "datetime"]  # device suffixes
+    twice = a.unionByName(spark.createDataFrame([(T1, 9.0)], "datetime timestamp_ntz, a double"))
+    got = sorted(map(tuple, joins.merge_on_time({"a": twice, "b": b}, how="inner").select("a", "b").collect()))
+    assert got == [(2.0, 3.0), (9.0, 3.0)]         # repeated timestamps multiply, none is lost
     with pytest.raises(ValueError):
         joins.merge_on_time({"a": a, "b": b}, how="cross")
 
@@ -86,3 +88,16 @@ def test_csv_reader_on_files(spark, tmp_dir):
     assert recs[0].charging is True and recs[0].motion is False
     assert recs[1].aqs is None and recs[1].pm25 is None and recs[1].charging is False
     assert recs[2].recently_charged is True and recs[2].latitude is None
+
+
+def test_json_column_is_found_behind_rows_that_are_not_json(spark):
+    from senslake.operators import legacy
+    rows = [(i, "plain" if i < 120 else '{"pm25": 1}') for i in range(400)]
+    assert legacy.detect_json_column(spark.createDataFrame(rows, "id int, blob string")) == "blob"
+
+
+def test_unknown_zone_is_null_not_an_error(spark):
+    from senslake.functions.time import local_to_utc
+    df = spark.createDataFrame([("2024-01-01T00:00:00", "Asia/Dhaka"), ("2024-01-01T00:00:00", "Mars/Base")], "s string, tz string")
+    got = [r.u for r in df.select(local_to_utc(F.col("s"), F.col("tz")).alias("u")).collect()]
+    assert got[0].hour == 18 and got[1] is None

@@ -28,3 +28,16 @@ def test_available_now_replay_equals_batch(spark, tmp_dir):
     assert log.select("batch_id").distinct().count() == 1
     assert ingest.last_success(spark, f"{base}/out").count() == \
         log.where("status = 'success'").select("device_id").distinct().count()
+
+
+def test_late_and_other_pulls_are_kept(spark, tmp_dir):
+    base = f"{tmp_dir}/{uuid.uuid4().hex}"
+    raw = model.wearable_raw(spark, SF).where("device_id % 50 = 1")
+    late = raw.select(*[(F.col(c) - F.expr("interval 10 days")).alias(c) if c == "pulled_at" else F.col(c) for c in raw.columns])
+    air = raw.limit(3).withColumn("device_type", F.lit("air"))
+    for i, part in enumerate((raw, late.unionByName(air))):
+        part.write.parquet(f"{base}/landing/phase={i}")
+        ingest.start(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt").awaitTermination()
+    assert spark.read.parquet(f"{base}/out/unrouted").count() == 3
+    log = spark.read.parquet(f"{base}/out/run_log")
+    assert log.groupBy("device_id").count().where("count < 2").count() == 0
