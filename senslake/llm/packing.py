@@ -54,11 +54,10 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         gaps = np.flatnonzero(open_[s:capacity]) + s
         best = -1
         if len(gaps):
-            after = open_[gaps - s]
-            after[gaps == s] = -1  # a full bin is closed and counts no longer
-            cost = 2 * (after - open_[gaps])
+            cost = 2 * (open_[gaps - s] - open_[gaps]) + 2
+            cost[gaps == s] -= 1  # a full bin is closed and counts no longer
             j = int(cost.argmin())
-            if s == capacity or cost[j] + 2 <= 2 * open_[capacity - s] + 1:
+            if cost[j] <= 2 * open_[capacity - s] + 1:
                 best = int(gaps[j])
         if best < 0:
             b, gap = bins, capacity
