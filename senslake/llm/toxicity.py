@@ -93,12 +93,12 @@ class Index:
         bound = np.bincount(self.block_cell[b], q * self.block_max[b], self.cells)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        ids, scores, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 4
+        ids, scores, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 16
         while done < len(order):
             if len(scores) >= k and bound[order[done]] * (1 + 1e-12) < scores[k - 1]:
                 break
             cells = order[done:done + step]
-            done, step = done + step, step * 2
+            done, step = done + step, step * 4
             mark = np.zeros(self.cells, bool)
             mark[cells] = True
             use = mark[self.block_cell[b]]
@@ -110,6 +110,9 @@ class Index:
                 s[skip] = 0
             new = np.flatnonzero(s > 0)
             ids, scores = np.concatenate([ids, new]), np.concatenate([scores, s[new]])
+            if len(ids) > k:  # all that tie with the k-th best stay until they are ordered
+                top = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                ids, scores = ids[top], scores[top]
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
         return ids, scores
