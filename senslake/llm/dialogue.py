@@ -27,8 +27,8 @@ def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     key = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))
     m = (base.select("*", key.alias("own")).groupBy("conv_id", "own", "turn", "speaker", "message").agg(F.count("*").cast("int").alias("n"))
          .withColumn("part", F.coalesce(F.floor(F.col("turn") / part), F.lit(-1))))
-    who = (m.where("speaker not in ('system', 'unknown')").groupBy("conv_id", "own").agg(F.collect_set("speaker").alias("who"))
-           .select(F.col("conv_id").alias("c"), F.col("own").alias("o"), F.explode("who").alias("perspective")))
+    who = (m.where("speaker not in ('system', 'unknown')")
+           .select(F.col("conv_id").alias("c"), F.col("own").alias("o"), F.col("speaker").alias("perspective")).distinct())
     both = m.join(who, m["conv_id"].eqNullSafe(who["c"]) & (m["own"] == who["o"]))
     mine = F.col("speaker") == F.col("perspective")
     head = F.when(mine, F.lit("<|assistant|>\n")).when(F.col("speaker") == "system", F.lit("<|system|>\n")).otherwise(F.concat(F.lit("<|user name="), F.col("speaker"), F.lit("|>\n")))
