@@ -15,8 +15,9 @@ from .words import doc_bounds, mix, span_hash, spans, window_hash
 #: Bits of the sieve that carries the seeds found in several documents (32 MiB). It only saves work: a seed that
 #: meets a foreign bit costs one more window to compare, none is lost.
 SIEVE_BITS = 28
-#: Slices of the sieve; each is filled by its own group of seeds.
-SLICES = 512
+#: Seeds and windows are compared in slices of their hashes: 2 ** 9 at least, and as many as keep the text of a slice
+#: below this size (expected), so that no group grows with the corpus.
+LEAST_SLICE_BITS, SLICE_BYTES = 9, 1 << 26
 
 
 def _windows(block: Block, window: int):
@@ -52,11 +53,20 @@ def _first_two(seeds: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return s[keep], d[keep]
 
 
-def _slices(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(64 - 9)).astype(np.int64)
+def _slice_bits(rows: DataFrame, slice_bytes: int) -> int:
+    """Leading hash bits that number the slices; a slice fills one byte of the sieve at least."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(SIEVE_BITS - 3, max(LEAST_SLICE_BITS, (size // slice_bytes).bit_length()))
 
 
-def _seed_rows(window: int):
+def _cuts(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the slices that occur in sorted ``hashes``, and where each begins, with the end."""
+    s = (hashes >> np.uint64(64 - k)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+    return s[first], np.append(first, len(s))
+
+
+def _seed_rows(window: int, k: int):
     """(slice, seeds, docs) as packed arrays; each task keeps two documents of a seed at most."""
     def run(batches):
         have = [np.zeros(0, np.uint64), np.zeros(0, np.int64)]
@@ -68,12 +78,11 @@ def _seed_rows(window: int):
             fresh.clear()
 
         def out():
-            cut = np.searchsorted(_slices(have[0]), np.arange(SLICES + 1))
-            some = [i for i in range(SLICES) if cut[i + 1] > cut[i]]
+            some, cut = _cuts(have[0], k)
             return pa.RecordBatch.from_pydict({
                 "slice": pa.array(some, pa.int32()),
-                "seeds": pa.array([have[0][cut[i]:cut[i + 1]].tobytes() for i in some], pa.binary()),
-                "docs": pa.array([have[1][cut[i]:cut[i + 1]].tobytes() for i in some], pa.binary())})
+                "seeds": pa.array([have[0][a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
+                "docs": pa.array([have[1][a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
 
         for block in blocks(batches):
             _, _, doc, _, _, pick, low = _windows(block, window)
@@ -94,15 +103,17 @@ def _seed_rows(window: int):
     return run
 
 
-def _sieve(table: pa.Table) -> pa.Table:
+def _sieve(k: int):
     """Bits of one slice: seeds that start in two documents or more."""
-    def joined(name, kind):
-        return np.concatenate([np.frombuffer(x, kind) for c in table.column(name).chunks for x in c.to_pylist()])
-    s, d = _first_two(joined("seeds", np.uint64), joined("docs", np.int64))
-    twice = s[1:][s[1:] == s[:-1]]
-    bits = np.zeros(1 << (SIEVE_BITS - 9), np.uint8)
-    bits[(twice >> np.uint64(64 - SIEVE_BITS)).astype(np.int64) & ((1 << (SIEVE_BITS - 9)) - 1)] = 1
-    return pa.table({"slice": table.column("slice")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+    def run(table: pa.Table) -> pa.Table:
+        def joined(name, kind):
+            return np.concatenate([np.frombuffer(x, kind) for c in table.column(name).chunks for x in c.to_pylist()])
+        s, _ = _first_two(joined("seeds", np.uint64), joined("docs", np.int64))
+        twice = s[1:][s[1:] == s[:-1]]
+        bits = np.zeros(1 << (SIEVE_BITS - k), np.uint8)
+        bits[(twice >> np.uint64(64 - SIEVE_BITS)).astype(np.int64) & ((1 << (SIEVE_BITS - k)) - 1)] = 1
+        return pa.table({"slice": table.column("slice")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+    return run
 
 
 def _runs(at: np.ndarray, window: int) -> bytes:
@@ -118,7 +129,7 @@ def _runs(at: np.ndarray, window: int) -> bytes:
 _FOUND = "kind int, slice int, doc long, same long, payload binary"
 
 
-def _candidates(window: int, sieve):
+def _candidates(window: int, sieve, k: int):
     """Windows with a repeated seed, compared within the task first.
 
     kind 0: (slice, packed windows: hash, hash, document, text key, start) of the smallest document that the task knows
@@ -135,9 +146,8 @@ def _candidates(window: int, sieve):
             least = doc[np.flatnonzero(edge)][np.cumsum(edge) - 1]
             mine = doc == least
             kept = np.rec.fromarrays([h1[mine], h2[mine], doc[mine], same[mine], at[mine]], dtype=_REC)
-            cut = np.searchsorted(_slices(kept["h1"]), np.arange(SLICES + 1))
-            some = [i for i in range(SLICES) if cut[i + 1] > cut[i]]
-            yield _batch(0, some, None, None, [kept[cut[i]:cut[i + 1]].tobytes() for i in some])
+            some, cut = _cuts(kept["h1"], k)
+            yield _batch(0, some, None, None, [kept[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)])
             yield from _by_document(doc[~mine], same[~mine], at[~mine], window)
 
         parts, size = [], 0
@@ -230,7 +240,7 @@ def _strip(batches):
                                          ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept_text): every document without the words that a ``window``-word
     sequence covers which also starts in a document with a smaller id.
 
@@ -242,17 +252,19 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     inside it, so equal windows name equal seeds. Only these are grouped, two documents of a seed per
     task at most, so a passage in every document costs a row per task. Seeds of one document alone die here.
     Level 2, twice that length (clipped at the window): windows whose seed survived are compared by 128-bit hashes, within
-    the task first, then one row per task and sequence by hash. Covered words return to their documents as runs."""
+    the task first, then one row per task and sequence by hash. Covered words return to their documents as runs.
+    Both levels compare in slices of the hashes, whose number grows with the text (``slice_bytes`` of it a slice)."""
     rows = id_text(docs, id_col, text_col).select("*", F.xxhash64("text").alias("same"))
     spark = docs.sparkSession
-    seeds = rows.select("doc_id", "text").mapInArrow(_seed_rows(window), "slice int, seeds binary, docs binary")
-    found = land(seeds.groupBy("slice").applyInArrow(_sieve, "slice int, bits binary"), "sub-sieve")
+    k = _slice_bits(rows, slice_bytes)
+    seeds = rows.select("doc_id", "text").mapInArrow(_seed_rows(window, k), "slice int, seeds binary, docs binary")
+    found = land(seeds.groupBy("slice").applyInArrow(_sieve(k), "slice int, bits binary"), "sub-sieve")
     bits = np.zeros(1 << (SIEVE_BITS - 3), np.uint8)
-    width = len(bits) // SLICES
-    for r in found.toLocalIterator():  # fixed size: SLICES rows of 64 KiB at most
+    width = len(bits) >> k
+    for r in found.toLocalIterator():  # fixed size: 32 MiB over all slices
         bits[r["slice"] * width:(r["slice"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
     sieve = spark.sparkContext.broadcast(bits.tobytes())
-    cand = land(rows.mapInArrow(_candidates(window, sieve), _FOUND), "sub-windows")
+    cand = land(rows.mapInArrow(_candidates(window, sieve, k), _FOUND), "sub-windows")
     judged = cand.where("kind = 0").groupBy("slice").applyInArrow(_judge(window), "doc long, same long, payload binary")
     marks = land(cand.where("kind = 1").select("doc", "same", "payload").unionByName(judged).groupBy("doc", "same").agg(F.collect_list("payload").alias("runs")), "sub-marks")
     top = F.lit(int(np.iinfo(np.int64).max))

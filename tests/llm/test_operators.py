@@ -231,6 +231,8 @@ def removed(docs, window=13):
 def test_substring_removal(spark, docs, odd):
     want = removed(docs)
     assert all(want[r.doc_id] == tuple(r)[1:] for r in catalog.QUERIES["op9_level_doubling"](spark, SF).collect())
+    many = substring.remove_repeats(spark.read.parquet(f"{SF}/documents.parquet"), slice_bytes=512).collect()  # more slices, same result
+    assert len(many) == len(want) and all(want[r.doc_id] == tuple(r)[1:4] for r in many)
     got = substring.remove_repeats(odd).collect()
     assert len(got) == odd.count() and {r.doc_id: r.n_removed for r in got if r.doc_id in (4, 5)} == {4: 0, 5: 9000}
     assert all(r.n_removed == 0 for r in got if r.doc_id == 6) and substring.remove_repeats(odd.limit(0)).count() == 0
