@@ -13,15 +13,20 @@ SENSOR_COLUMNS = [name for name, _, _ in AIR_REGISTRY.values()]
 
 def project(records: DataFrame, tz: str = "timezone") -> DataFrame:
     """PRJ20: registry rename/project; missing keys -> null; time parsed
-    (offset honoured, offset-less localised with the device zone)."""
+    (offset honoured, offset-less localised with the device zone). ``error``:
+    a value that does not cast, or no readable time (the key may not be null)."""
     cols = [F.col(raw).cast(typ).alias(name) if raw in records.columns
             else F.lit(None).cast(typ).alias(name)
             for raw, (name, typ, _) in AIR_REGISTRY.items()]
     tz_c = F.col(tz) if tz in records.columns else F.lit(None).cast("string")
     keep = [c for c in ("ingest_id", "pulled_at", "point_pos") if c in records.columns]
-    return records.select("device_id", recorded_at(F.col("date"), tz_c).alias("recorded_at"),
+    time = recorded_at(F.col("date"), tz_c)
+    error = F.when(time.isNull(), F.concat(F.lit("unreadable time: "), F.coalesce("date", F.lit("none"))))
+    if "bad_fields" in records.columns:
+        error = F.when(F.col("bad_fields").isNotNull(), F.concat(F.lit("bad value: "), F.col("bad_fields"))).otherwise(error)
+    return records.select("device_id", time.alias("recorded_at"),
                           F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
-                          *cols, *keep)
+                          *cols, *keep, error.alias("error"))
 
 
 def ewkt_point(lat: Column, lon: Column) -> Column:

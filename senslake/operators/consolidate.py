@@ -66,7 +66,8 @@ def latest_file(index: DataFrame) -> DataFrame:
 def keep_first(rows: DataFrame, index: DataFrame, value_cols, key: str = "file_key") -> DataFrame:
     """WIN2 + SET2: drop exact duplicates (all value columns equal, nulls
     equal), keeping the copy from the oldest file (unknown start last).
-    Rows with the same timestamp but different values all stay.
+    Rows with the same timestamp but different values all stay. ``copies``
+    counts the rows that collapsed.
 
     One aggregation with map-side combine: ``min_by`` keeps a single
     candidate per group, so a heavily duplicated row costs no memory.
@@ -75,7 +76,7 @@ def keep_first(rows: DataFrame, index: DataFrame, value_cols, key: str = "file_k
     ordered = rows.join(index.select(key, "start_date"), key, "left")
     order = F.struct(F.col("start_date").isNull(), F.col("start_date"), F.col(key))
     return (ordered.groupBy(*value_cols)
-            .agg(F.min_by(F.col(key), order).alias(key)))
+            .agg(F.min_by(F.col(key), order).alias(key), F.count("*").alias("copies")))
 
 
 def residual_conflicts(rows: DataFrame, keys, ts: str) -> DataFrame:
@@ -108,4 +109,4 @@ def consolidate(chunks: DataFrame, value_cols, ts: str = "datetime",
     """SET5: per physical device -- concat files, drop identical copies
     (oldest file wins), order by time. Conflicting copies remain."""
     index = file_index(chunks, key)
-    return keep_first(chunks, index, ["device_id", ts, *value_cols], key)
+    return keep_first(chunks, index, ["device_id", ts, *value_cols], key).drop("copies")

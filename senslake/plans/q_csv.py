@@ -63,6 +63,25 @@ def prj23_date_column(spark, sf_dir):
                     "date_idx", "offset_min")
 
 
+@query("prj23_date_any_column", sql=_C + """
+SELECT file_name, 2 AS date_idx, recorded_at, aqs FROM csv_recs
+""")
+def prj23_date_any_column(spark, sf_dir):
+    """The same exports with the first two columns swapped: the date is found in the second."""
+    line = F.regexp_replace(C._strip_bom(F.col("line")), r"^([^,\r\n]*),([^,\r\n]*)", "$2,$1")
+    rows = C.split_rows(lines(spark, sf_dir).withColumn("line", line))
+    return C.to_records(rows, keep=("date_idx",)).select("file_name", F.col("date_idx").cast("int").alias("date_idx"), "recorded_at", "aqs")
+
+
+@query("src3_rejected_files", sql=_C + """
+SELECT DISTINCT file_name, 'no date header' AS reason FROM csv_named WHERE md5(file_name) < '8'
+""")
+def src3_rejected_files(spark, sf_dir):
+    """Exports that lost their header (here: those whose name has a small digest) are reported, not silently skipped."""
+    headless = (F.md5(F.col("file_name").cast("binary")) < "8") & C.is_header(C._strip_bom(F.col("line")))
+    return C.rejected_files(lines(spark, sf_dir).where(~headless))
+
+
 @query("prj24_charging_tristate", sql=_C + """
 SELECT charging, recently_charged, motion, count(*) AS rows FROM csv_recs GROUP BY 1, 2, 3
 """)

@@ -9,7 +9,7 @@ from senslake.plans import model
 from senslake.plans.registry import query, rounded
 from senslake.plans.sql_common import FILE_CHUNKS, FILE_KEYS, with_
 
-_VALUES = ["event_type", "value", "k"]
+_VALUES = ["event_type", "value", "k", "firmware"]
 _FILES = with_(FILE_CHUNKS, FILE_KEYS)
 _ORDER = "(i.start_date IS NULL, i.start_date, c.file_key)"
 
@@ -32,7 +32,7 @@ def set1_concat_chunks(spark, sf_dir):
 
 
 @query("set2_distinct_rows", sql=with_(FILE_CHUNKS) + """
-SELECT DISTINCT device_id, datetime, event_type, round(value, 6) AS value, k FROM file_chunks
+SELECT DISTINCT device_id, datetime, event_type, round(value, 6) AS value, k, firmware FROM file_chunks
 """)
 def set2_distinct_rows(spark, sf_dir):
     """Row-level distinct of the concatenated chunks (nulls compare equal)."""
@@ -50,15 +50,15 @@ def set3_distinct_devices(spark, sf_dir):
 
 _CONSOLIDATED = _FILES + f"""
 , consolidated AS (
-  SELECT c.device_id, c.datetime, c.event_type, c.value, c.k,
+  SELECT c.device_id, c.datetime, c.event_type, c.value, c.k, c.firmware,
          arg_min(c.file_key, {_ORDER}) AS file_key
   FROM file_chunks c LEFT JOIN file_index i ON c.file_key = i.file_key
-  GROUP BY c.device_id, c.datetime, c.event_type, c.value, c.k
+  GROUP BY c.device_id, c.datetime, c.event_type, c.value, c.k, c.firmware
 )"""
 
 
 @query("set5_consolidate", sql=_CONSOLIDATED + """
-SELECT device_id, datetime, event_type, round(value, 6) AS value, k, file_key FROM consolidated
+SELECT device_id, datetime, event_type, round(value, 6) AS value, k, firmware, file_key FROM consolidated
 """)
 def set5_consolidate(spark, sf_dir):
     """All files of each physical device merged; identical copies dropped
@@ -67,14 +67,14 @@ def set5_consolidate(spark, sf_dir):
 
 
 @query("srt1_stable_time_order", sql=_CONSOLIDATED + """
-SELECT device_id, datetime, event_type, round(value, 6) AS value, k, file_key FROM consolidated
-ORDER BY device_id, datetime, event_type, value, k, file_key
+SELECT device_id, datetime, event_type, round(value, 6) AS value, k, firmware, file_key FROM consolidated
+ORDER BY device_id, datetime, event_type, value, k, firmware, file_key
 """)
 def srt1_stable_time_order(spark, sf_dir):
     """Consolidated rows in time order with an explicit, total tie-breaker
     (a range-partitioned global sort: hot devices split across tasks)."""
     out = cons.consolidate(model.file_chunks(spark, sf_dir), _VALUES)
-    return rounded(out.orderBy("device_id", "datetime", "event_type", "value", "k", "file_key"))
+    return rounded(out.orderBy("device_id", "datetime", *_VALUES, "file_key"))
 
 
 @query("srt2_files_oldest_first", sql=_FILES + """
@@ -88,22 +88,18 @@ def srt2_files_oldest_first(spark, sf_dir):
 
 
 @query("win2_keep_first", sql=_FILES + f"""
-SELECT c.device_id, c.datetime, c.event_type, count(*) AS copies,
+SELECT c.device_id, c.datetime, c.event_type, c.firmware, count(*) AS copies,
        arg_min(c.file_key, {_ORDER}) AS kept_file
 FROM file_chunks c LEFT JOIN file_index i ON c.file_key = i.file_key
-GROUP BY c.device_id, c.datetime, c.event_type, c.value, c.k
+GROUP BY c.device_id, c.datetime, c.event_type, c.value, c.k, c.firmware
 HAVING count(*) > 1
 """)
 def win2_keep_first(spark, sf_dir):
     """For every exactly duplicated row: how many copies, and which file's copy is kept."""
     chunks = model.file_chunks(spark, sf_dir)
-    idx = cons.file_index(chunks)
-    dup_cols = ["device_id", "datetime", *_VALUES]
-    kept = cons.keep_first(chunks.withColumn("_one", F.lit(1)), idx, dup_cols)
-    copies = chunks.groupBy(*dup_cols).agg(F.count("*").alias("copies"))
-    return (kept.join(copies, dup_cols).where(F.col("copies") > 1)
-            .select("device_id", "datetime", "event_type", "copies",
-                    F.col("file_key").alias("kept_file")))
+    kept = cons.keep_first(chunks, cons.file_index(chunks), ["device_id", "datetime", *_VALUES])
+    return kept.where(F.col("copies") > 1).select("device_id", "datetime", "event_type", "firmware", "copies",
+                                                  F.col("file_key").alias("kept_file"))
 
 
 @query("win5_latest_file", sql=_FILES + """
@@ -129,10 +125,10 @@ def agg6_duplicate_timestamps(spark, sf_dir):
 SELECT c.device_id, c.datetime,
        arg_min(c.event_type, {_ORDER}) AS event_type,
        round(arg_min(c.value, {_ORDER}), 6) AS value,
-       arg_min(c.k, {_ORDER}) AS k,
-       count(*) AS copies, count(DISTINCT (c.event_type, c.value, c.k)) AS variants,
+       arg_min(c.k, {_ORDER}) AS k, arg_min({{'f': c.firmware}}, {_ORDER}).f AS firmware,
+       count(*) AS copies, count(DISTINCT (c.event_type, c.value, c.k, c.firmware)) AS variants,
        CASE WHEN count(*) = 1 THEN 'unique'
-            WHEN count(DISTINCT (c.event_type, c.value, c.k)) = 1 THEN 'identical'
+            WHEN count(DISTINCT (c.event_type, c.value, c.k, c.firmware)) = 1 THEN 'identical'
             ELSE 'conflict' END AS status
 FROM file_chunks c LEFT JOIN file_index i ON c.file_key = i.file_key
 GROUP BY c.device_id, c.datetime

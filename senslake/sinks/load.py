@@ -190,7 +190,7 @@ def load_wearable_batch(spark: SparkSession, raw: DataFrame, tz: DataFrame | Non
     sessions = N.sleep_sessions(pts)
     stages = N.sleep_stages(pts)
     exercise = N.exercise_sessions(pts)
-    failed = reuse(failed_devices(readings, sessions, stages, exercise))
+    failed = reuse(failed_devices(payloads.payload_errors(raw), readings, sessions, stages, exercise))
     ok = lambda t: isolate(t, failed).drop("error")
     spec = TABLES
     out = {
@@ -202,6 +202,7 @@ def load_wearable_batch(spark: SparkSession, raw: DataFrame, tz: DataFrame | Non
         "profile": isolate(N.profile(payloads.wearable_profile(raw)), failed),
         "failed": failed,
         "parsed_readings": readings,
+        "cached": [raw, pts, readings, failed],
     }
     resolved, rejected = resolve_stages(ok(stages), out["sleep_sessions"])
     out["sleep_stages"] = latest_per_key(resolved.drop("device_id", "session_started_at"),
@@ -209,3 +210,20 @@ def load_wearable_batch(spark: SparkSession, raw: DataFrame, tz: DataFrame | Non
     out["stage_rejects"] = rejected
     out["run_log"] = run_log(raw.select("device_type", "device_id").distinct(), failed)
     return out
+
+
+def load_air_batch(raw: DataFrame, tz: DataFrame | None = None) -> dict:
+    """Air-sensor load for one batch, isolated per device like the wearable one: an unreadable payload or time, or a
+    value that does not cast, fails its device alone. ``raw`` and ``tz`` as in :func:`load_wearable_batch`."""
+    from senslake.operators import air
+    from senslake.session import reuse
+    from senslake.sources import payloads
+
+    if "timezone" not in raw.columns:
+        raw = raw.join(maybe_broadcast(tz), "device_id", "left")
+    readings = reuse(air.with_location(air.project(payloads.air_records(raw)), keep_axes=False))
+    failed = reuse(failed_devices(payloads.payload_errors(raw), readings))
+    spec = TABLES["air_readings"]
+    return {"air_readings": latest_per_key(isolate(readings, failed).drop("error"), spec.key, spec.order),
+            "failed": failed, "run_log": run_log(raw.select("device_type", "device_id").distinct(), failed),
+            "cached": [readings, failed]}

@@ -6,8 +6,8 @@ parser cannot split it. We read plain lines and split each on the first
 
 Line-level design: files are read as lines (``spark.read.text``, with the
 file name from ``_metadata``), the header of each file is recognised by its
-content (``Date (UTC...``) and joined back by file name -- no file is ever
-held whole by one task, and files are processed in parallel line by line.
+content (a ``Date (UTC...`` cell) and joined back by file name -- no file is
+ever held whole by one task, and files are processed in parallel line by line.
 """
 
 from __future__ import annotations
@@ -48,7 +48,18 @@ def _strip_bom(c: Column) -> Column:
 
 
 def is_header(line: Column) -> Column:
-    return F.trim(line).startswith("Date (UTC")
+    """The date column may stand anywhere. A line that does not begin with it is a header only if it also holds another
+    column name of the export, so a note that quotes the date column is data."""
+    known = F.array(*[F.lit(name) for name in CSV_COLUMNS])
+    anywhere = line.rlike(r"(^|,)\s*Date \(UTC") & F.arrays_overlap(F.split(F.trim(line), r"\s*,\s*"), known)
+    return F.trim(line).startswith("Date (UTC") | anywhere
+
+
+def rejected_files(lines: DataFrame) -> DataFrame:
+    """(file_name, reason): files without a recognised header. Their lines are not loaded, but reported here."""
+    found = F.max(is_header(_strip_bom(F.col("line"))))
+    return (lines.groupBy("file_name").agg(found.alias("ok")).where(~F.coalesce("ok", F.lit(False)))
+            .select("file_name", F.lit("no date header").alias("reason")))
 
 
 def headers(lines: DataFrame) -> DataFrame:
@@ -83,14 +94,14 @@ def cell(name: str) -> Column:
     return F.when(pos > 0, F.element_at("cells", pos.cast("int")))
 
 
-def to_records(rows: DataFrame) -> DataFrame:
+def to_records(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows -> air records with true UTC times (SCL3 via the header offset,
-    D4) and typed values (PRJ24-26)."""
+    D4) and typed values (PRJ24-26); ``keep`` carries columns of ``rows`` along."""
     local = F.try_to_timestamp(F.trim(F.element_at("cells", F.col("date_idx").cast("int"))))
     utc = (local.cast("timestamp_ntz")
            - F.make_dt_interval(F.lit(0), F.lit(0), F.col("offset_min"), F.lit(0)))
     charging, recent = charging_state(cell("Charging"))
-    out = [F.col("file_name"), utc.alias("recorded_at")]
+    out = [F.col("file_name"), *keep, utc.alias("recorded_at")]
     typed = {}
     for header, key in CSV_COLUMNS.items():
         typed[key] = to_number(cell(header))

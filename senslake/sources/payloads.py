@@ -7,7 +7,7 @@ schema drift (new or unknown data types) never fails the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,11 +68,21 @@ def wearable_profile(raw: DataFrame) -> DataFrame:
     return s.where(F.col("section").isNotNull() & ~F.is_variant_null("section"))
 
 
-AIR_RECORD = ("array<struct<date:string,lat:double,lon:double,aqs:int,pm05_num:int,pm1_num:int,"
+AIR_RECORD = ("date:string,lat:double,lon:double,aqs:int,pm05_num:int,pm1_num:int,"
               "pm10_num:int,pm25_num:int,voc_index:int,nox_index:int,co2:int,battery:int,altitude:int,"
               "position_error:int,satellites_fixed:int,satellites_in_view:int,pm1:double,pm25:double,"
               "pm10:double,pm_size:double,t:double,h:double,p:double,voc:double,charging:boolean,"
-              "recently_charged:boolean,motion:boolean>>")
+              "recently_charged:boolean,motion:boolean")
+_AIR_FIELDS = [tuple(f.split(":")) for f in AIR_RECORD.split(",")]
+# Every field is read as the text that the payload holds, so that no spelling of a number is lost in parsing.
+_AIR_TEXT = "struct<mac:string,merged_data:array<struct<" + ",".join(f"{n}:string" for n, _ in _AIR_FIELDS) + ">>>"
+
+
+def _typed(text: Column, typ: str) -> Column:
+    """Text of a JSON value as ``typ``: whole numbers may be written 85, 85.0 or "85" (others round); null if it does not cast."""
+    if typ == "int":
+        return F.round(text.try_cast("double")).try_cast("int")
+    return text.try_cast(typ)
 
 
 def air_records(raw: DataFrame) -> DataFrame:
@@ -80,11 +90,22 @@ def air_records(raw: DataFrame) -> DataFrame:
 
     Fixed schema parse; keys missing in a record become null. The record's
     position in the payload is kept (``point_pos``) as the tie-breaker of
-    last-writer-wins upserts.
+    last-writer-wins upserts. ``bad_fields`` names the fields whose value
+    does not cast (null: none).
     """
-    schema = f"struct<mac:string,merged_data:{AIR_RECORD}>"
     keep = [c for c in raw.columns if c != "payload"]
-    p = raw.select(*keep, F.from_json("payload", schema).alias("_p"))
-    return p.select(*keep, F.col("_p.mac").alias("mac"),
-                    F.posexplode("_p.merged_data").alias("point_pos", "rec")).select(
-        *keep, "mac", "point_pos", "rec.*")
+    p = raw.select(*keep, F.from_json("payload", _AIR_TEXT).alias("_p"))
+    rec = p.select(*keep, F.col("_p.mac").alias("mac"), F.posexplode("_p.merged_data").alias("point_pos", "_r"))
+    text = {n: F.col(f"_r.{n}") for n, _ in _AIR_FIELDS}
+    bad = F.concat_ws(",", *[F.when(text[n].isNotNull() & _typed(text[n], t).isNull(), F.lit(n)) for n, t in _AIR_FIELDS if t != "string"])
+    return rec.select(*keep, "mac", "point_pos", *[_typed(text[n], t).alias(n) for n, t in _AIR_FIELDS],
+                      F.when(bad != "", bad).alias("bad_fields"))
+
+
+def payload_errors(raw: DataFrame) -> DataFrame:
+    """(device_id, error): pulls whose payload is no JSON object, or whose ``merged_data`` is no list. They give no
+    rows, so without this their device would look loaded."""
+    merged = F.get_json_object("payload", "$.merged_data")
+    error = (F.when(F.json_object_keys("payload").isNull(), "payload: not a JSON object")
+             .when(merged.isNotNull() & ~F.ltrim(merged).startswith("["), "payload: merged_data is not a list"))
+    return raw.select("device_id", error.alias("error")).where(F.col("error").isNotNull())

@@ -19,7 +19,7 @@ from senslake.sinks import load as L
 from senslake.sources.payloads import RAW_SCHEMA
 
 _RAW_STREAM_SCHEMA = RAW_SCHEMA.add("timezone", "string")
-_TABLES = ("readings", "sleep_sessions", "sleep_stages", "exercise_sessions", "profile", "run_log")
+_TABLES = ("readings", "sleep_sessions", "sleep_stages", "exercise_sessions", "profile")
 
 
 def raw_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
@@ -38,21 +38,21 @@ def process_batch(out_dir: str):
         spark = batch.sparkSession
         if batch.isEmpty():
             return
-        # The batch feeds seven writes: persist it so the source is read once.
+        # The batch feeds eight writes: persist it so the source is read once.
         batch = batch.persist()
-        wear = batch.where(F.col("device_type") == "wearable")
-        tables = L.load_wearable_batch(spark, wear)
+        wear = L.load_wearable_batch(spark, batch.where(F.col("device_type") == "wearable"))
+        air = L.load_air_batch(batch.where(F.col("device_type") == "air"))
         started = F.current_timestamp().cast("timestamp_ntz")
-        tables["run_log"] = tables["run_log"].withColumn("started_at", started)
-        for name in _TABLES:
-            df = tables[name].withColumn("batch_id", F.lit(batch_id).cast("long"))
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(f"{out_dir}/{name}"))
+        tables = {name: wear[name] for name in _TABLES}
+        tables["air_readings"] = air["air_readings"]
+        tables["run_log"] = wear["run_log"].unionByName(air["run_log"]).withColumn("started_at", started)
         # Pulls of other device types stay as they landed, for their own loader.
-        other = batch.where(~F.col("device_type").eqNullSafe("wearable"))
-        (other.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out_dir}/unrouted"))
-        batch.unpersist()
+        tables["unrouted"] = batch.where(~F.coalesce(F.col("device_type").isin("wearable", "air"), F.lit(False)))
+        for name, table in tables.items():
+            (table.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out_dir}/{name}"))
+        for df in (*wear["cached"], *air["cached"], batch):
+            df.unpersist()
     return run
 
 

@@ -101,3 +101,32 @@ def test_unknown_zone_is_null_not_an_error(spark):
     df = spark.createDataFrame([("2024-01-01T00:00:00", "Asia/Dhaka"), ("2024-01-01T00:00:00", "Mars/Base")], "s string, tz string")
     got = [r.u for r in df.select(local_to_utc(F.col("s"), F.col("tz")).alias("u")).collect()]
     assert got[0].hour == 18 and got[1] is None
+
+
+def test_air_values_times_and_payloads_fail_only_their_device(spark):
+    from senslake.sinks import load as L
+    from senslake.sources import payloads
+    good = '{"mac": "m", "merged_data": [{"date": "2026-07-09T10:00:00Z", "aqs": 85.0, "co2": "400", "pm1": "1.5", "motion": true}]}'
+    rows = [(1, good), (2, good.replace("85.0", '"high"')), (3, good.replace("2026-07-09T10:00:00Z", "soon")), (4, "{broken"),
+            (5, '{"merged_data": "none"}'), (6, '{"mac": "m"}'), (7, None)]
+    raw = spark.createDataFrame([(i, "air", p) for i, p in rows], "device_id long, device_type string, payload string").selectExpr(
+        "device_id AS ingest_id", "device_type", "device_id", "'api_auto' AS ingest_method", "timestamp_ntz'2026-07-10 00:00:00' AS pulled_at", "payload", "'UTC' AS timezone")
+    rec = {r.device_id: r for r in payloads.air_records(raw).collect()}
+    assert (rec[1].aqs, rec[1].co2, rec[1].pm1, rec[1].motion, rec[1].bad_fields) == (85, 400, 1.5, True, None)
+    assert rec[2].aqs is None and rec[2].bad_fields == "aqs"
+    out = L.load_air_batch(raw)
+    assert [r.device_id for r in out["air_readings"].collect()] == [1]
+    assert {r.device_id: r.error_message for r in out["run_log"].collect()} == {
+        1: None, 2: "bad value: aqs", 3: "unreadable time: soon", 4: "payload: not a JSON object", 5: "payload: merged_data is not a list",
+        6: None, 7: "payload: not a JSON object"}
+
+
+def test_csv_header_anywhere_and_rejects(spark):
+    from senslake.registry import CSV_COLUMNS
+    from senslake.sources import csv_export as C
+    name = next(iter(CSV_COLUMNS))
+    lines = spark.createDataFrame([("a.csv", f"\ufeff{name}, Date (UTC+05:30),Notes"), ("a.csv", "7,2026-07-09 15:30:00,note, Date (UTC said"),
+                                   ("b.csv", "x,y"), ("b.csv", "1,2")], "file_name string, line string")
+    rows = C.to_records(C.split_rows(lines), keep=("date_idx",)).collect()
+    assert [(r.file_name, r.date_idx, str(r.recorded_at)) for r in rows] == [("a.csv", 2, "2026-07-09 10:00:00")]
+    assert [tuple(r) for r in C.rejected_files(lines).collect()] == [("b.csv", "no date header")]

@@ -34,10 +34,17 @@ def test_late_and_other_pulls_are_kept(spark, tmp_dir):
     base = f"{tmp_dir}/{uuid.uuid4().hex}"
     raw = model.wearable_raw(spark, SF).where("device_id % 50 = 1")
     late = raw.select(*[(F.col(c) - F.expr("interval 10 days")).alias(c) if c == "pulled_at" else F.col(c) for c in raw.columns])
-    air = raw.limit(3).withColumn("device_type", F.lit("air"))
-    for i, part in enumerate((raw, late.unionByName(air))):
+    other = raw.limit(3).withColumn("device_type", F.lit("scale"))
+    air = model.air_raw(spark, SF).select(*raw.columns)
+    air = air.unionByName(air.limit(1).withColumn("device_id", F.lit(-1).cast("long")).withColumn("payload", F.lit("{broken")))
+    for i, part in enumerate((raw, late.unionByName(other).unionByName(air))):
         part.write.parquet(f"{base}/landing/phase={i}")
         ingest.start(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt").awaitTermination()
     assert spark.read.parquet(f"{base}/out/unrouted").count() == 3
     log = spark.read.parquet(f"{base}/out/run_log")
-    assert log.groupBy("device_id").count().where("count < 2").count() == 0
+    assert log.where("device_type = 'wearable'").groupBy("device_id").count().where("count < 2").count() == 0
+    assert [tuple(r) for r in log.where("device_id = -1").select("status", "error_message").collect()] == [("failed", "payload: not a JSON object")]
+    stored = ingest.current(spark, f"{base}/out", "air_readings")
+    batch = L.load_air_batch(air)["air_readings"]
+    assert stored.count() == batch.count() > 0 and stored.exceptAll(batch.select(*stored.columns)).count() == 0
+    assert not spark.sparkContext._jsc.getPersistentRDDs() or len(spark.sparkContext._jsc.getPersistentRDDs()) <= 2
