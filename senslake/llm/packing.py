@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +16,13 @@ from .tokenise import default_path, encoder
 CAPACITY = 4096
 #: Pieces that one packing group places (expected; groups are dealt by hash).
 GROUP = 50_000
+PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, turn long"
 
 
 def _pieces(path: str, capacity: int, with_ids: bool):
     def run(batches):
         enc = encoder(path)
+        turn = TaskContext.get().partitionId() << 40
         for block in blocks(batches, limit=2 << 20):
             ids, n = enc.block(block)
             ends = np.cumsum(n)
@@ -35,6 +38,9 @@ def _pieces(path: str, capacity: int, with_ids: bool):
                     "length": pa.array(length, pa.int64()), "ids_crc32": pa.array([zlib.crc32(x) for x in cut], pa.int64())}
             if with_ids:
                 cols["ids"] = pa.array(cut, pa.binary())
+            else:
+                cols["turn"] = pa.array(turn + np.arange(len(doc)), pa.int64())
+                turn += len(doc)
             yield pa.RecordBatch.from_pydict(cols)
     return run
 
@@ -83,15 +89,15 @@ def _pack(capacity: int):
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """``pieces`` (doc_id, piece, start, length 1..capacity, ids_crc32) with ``sequence_id`` and gapless ``offset``.
+    """``pieces`` (doc_id, piece, start, length 1..capacity, ids_crc32, turn) with ``sequence_id`` and gapless ``offset``.
 
-    Pieces are dealt by hash into groups of about ``group``; every group packs all its pieces by
-    :func:`sum_of_squares`. A group's open bins at the end cost at most a few sequences in some ten thousand. Only lengths
-    and keys travel, never tokens."""
+    Pieces are dealt by a hash of ``turn``, a number that no two rows share, into groups of about ``group``: a row that
+    comes a million times spreads like any other. Every group packs all its pieces by :func:`sum_of_squares`. A group's
+    open bins at the end cost at most a few sequences in some ten thousand. Only lengths and keys travel, never tokens."""
     n = pieces.count()
     groups = max(1, -(-n // group))
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    dealt = pieces.select(*cols, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("grp"))
+    dealt = pieces.select(*cols, F.pmod(F.xxhash64("turn"), F.lit(groups)).alias("grp"))
     return dealt.groupBy("grp").applyInArrow(_pack(capacity), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
@@ -100,9 +106,10 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | N
 
     Null and empty texts are documents of one token (the end id). Only documents longer than ``capacity`` are cut; the last piece may be
     shorter. Repeated rows are packed as often as they come; a null ``doc_id`` stays null. Extra columns are ignored; an empty table
-    gives an empty result. Bins are reproducible: items are ordered by length, id, piece and checksum."""
+    gives an empty result. Bins are reproducible for the same input files: rows are numbered as they are read, the
+    numbers are landed, and a group's items are ordered by length, id, piece and checksum."""
     path = tokenizer or default_path()
-    pieces = id_text(docs, id_col, text_col).mapInArrow(_pieces(path, capacity, False), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    pieces = id_text(docs, id_col, text_col).mapInArrow(_pieces(path, capacity, False), PIECE)
     return pack(land(pieces, "pieces"), capacity)
 
 

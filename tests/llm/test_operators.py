@@ -8,6 +8,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from senslake.llm import catalog, decontaminate, dialogue, language, minhash, packing, pii, quality, rans, substring, tokenise, toxicity
 
@@ -50,6 +51,22 @@ def test_packing(spark, docs):
     assert len(bins) <= 1.05 * -(-sum(map(len, ids.values())) // 4096) + 1
 
 
+def test_packing_of_odd_rows(spark, odd):
+    got = packing.pack_documents(odd).collect()
+    assert collections.Counter(r.doc_id for r in got if r.piece == 0) == {1: 1, 2: 1, 3: 1, None: 1, 4: 1, 5: 1, 6: 3, 7: 1, 8: 1}
+    assert all(r.length == 1 for r in got if r.doc_id in (2, 3, 7)) and len({r.piece for r in got if r.doc_id == 4}) > 1
+    assert packing.pack_documents(odd.where("doc_id < 0")).collect() == []
+
+
+def test_repeats_of_one_row_spread_over_the_packing_groups(spark):
+    rows = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("alpha beta").alias("text"))
+    pieces = rows.repartition(3).mapInArrow(packing._pieces(tokenise.default_path(), 4096, False), packing.PIECE)
+    got = packing.pack(packing.land(pieces, "repeats"), group=500).collect()
+    assert len(got) == 3000 and len({(r.sequence_id, r.offset) for r in got}) == 3000
+    groups = collections.Counter(r.sequence_id >> 32 for r in got)
+    assert len(groups) == 6 and max(groups.values()) < 700
+
+
 def test_sum_of_squares_chooses_the_least_sum():
     def slow(lengths, cap):
         gaps, out = [], []
