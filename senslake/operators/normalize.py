@@ -261,6 +261,26 @@ def sleep_stages(points: DataFrame) -> DataFrame:
                     F.when(st.isNull() | en.isNull(), F.lit("stage without start/end")).alias("error"))
 
 
+def normalised_time(points: DataFrame, types) -> DataFrame:
+    """SCL7: ``points`` with ``shape`` and ``t_norm``: sample string, interval
+    string, {year, month, day} date, civil {date: {..}}. A type that is not in
+    ``types``, or a shape that is not known, is 'unknown' with a null time."""
+    t = F.col("data_type")
+    shapes, values = F.when(F.lit(False), F.lit("")), F.when(F.lit(False), F.lit(None).cast("timestamp_ntz"))
+    civil = civil_date(*[vget(f"$.civilStartTime.date.{p}", "int") for p in ("year", "month", "day")])
+    for dt in types:
+        c = camel(dt)
+        date = civil_date(*[vget(f"$.{c}.date.{p}", "int") for p in ("year", "month", "day")])
+        daily = _present(f"$.{c}") & ~_present("$.civilStartTime") & F.lit(dt.startswith("daily"))
+        shape = (F.when(_present(f"$.{c}.sampleTime"), "sample").when(_present(f"$.{c}.interval"), "interval")
+                 .when(_present(f"$.{c}.date") | daily, "date")
+                 .when(_present("$.civilStartTime"), "civil").otherwise("unknown"))
+        value = F.coalesce(iso_to_utc(vget(f"$.{c}.sampleTime.physicalTime")), iso_to_utc(vget(f"$.{c}.interval.startTime")),
+                           date.cast("timestamp_ntz"), civil.cast("timestamp_ntz"))
+        shapes, values = shapes.when(t == dt, shape), values.when(t == dt, value)
+    return points.select("*", shapes.otherwise("unknown").alias("shape"), values.alias("t_norm"))
+
+
 def exercise_sessions(points: DataFrame) -> DataFrame:
     """PRJ13: one row per exercise, metrics summary flattened, zone
     durations ('1860s') in seconds."""

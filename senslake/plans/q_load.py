@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from senslake.operators import normalize as N
@@ -148,9 +151,12 @@ def jn1_stage_session(spark, sf_dir):
     return resolved.select("device_id", "session_started_at", "started_at", "ended_at", "stage_type")
 
 
-@query("win6_surrogate_key")
+@query("win6_surrogate_key", sql=_W + """
+SELECT DISTINCT md5(device_id || '|' || epoch_us(ts)) AS session_id, device_id, ts AS started_at
+FROM wev WHERE event_type = 'error' AND device_id NOT IN (SELECT device_id FROM w_failed)
+""")
 def win6_surrogate_key(spark, sf_dir):
-    """Sessions keyed by xxhash64(device_id, started_at): stable across re-pulls."""
+    """Sessions keyed by the MD5 of (device_id, started_at): stable across re-pulls."""
     s = _batch(spark, sf_dir)["sleep_sessions"]
     return L.session_ids(s).select("session_id", "device_id", "started_at")
 
@@ -196,22 +202,31 @@ def jn10_fk_violations(spark, sf_dir):
 
 
 @query("jn11_expected_vs_stored", sql=_W + """
-, parsed AS (SELECT device_id, count(*) AS expected FROM w_readings GROUP BY 1)
-, stored AS (
-  SELECT device_id, count(*) AS stored FROM (
-    SELECT DISTINCT device_id, data_type, recorded_at, metric, tag FROM w_readings
-    WHERE device_id NOT IN (SELECT device_id FROM w_failed)) GROUP BY 1)
-SELECT device_id, coalesce(expected, 0) AS expected, coalesce(stored, 0) AS stored,
-       CASE WHEN coalesce(stored, 0) = coalesce(expected, 0) THEN 'equal'
-            WHEN coalesce(stored, 0) < coalesce(expected, 0) THEN 'less' ELSE 'more' END AS status
-FROM parsed FULL OUTER JOIN stored USING (device_id)
+, keys AS (
+  SELECT 'readings' AS table_name, device_id, CAST(struct_pack(data_type, recorded_at, metric, tag) AS VARCHAR) AS key
+  FROM w_readings
+  UNION ALL
+  SELECT CASE event_type WHEN 'error' THEN 'sleep_sessions' ELSE 'exercise_sessions' END, device_id, CAST(ts AS VARCHAR)
+  FROM wev WHERE event_type IN ('error', 'purchase')
+  UNION ALL
+  SELECT 'sleep_stages', device_id, ts || ' ' || t.s FROM wev, (VALUES (0), (60)) t(s) WHERE event_type = 'error'
+), counted AS (
+  SELECT table_name, device_id, count(*) AS expected,
+         CASE WHEN device_id IN (SELECT device_id FROM w_failed) THEN 0 ELSE count(DISTINCT key) END AS stored
+  FROM keys GROUP BY 1, 2)
+SELECT table_name, device_id, expected, stored, CASE WHEN stored = expected THEN 'equal' ELSE 'less' END AS status
+FROM counted
 """)
 def jn11_expected_vs_stored(spark, sf_dir):
-    """Parser rows vs stored rows per device (dedup and failures make 'less')."""
+    """Parser rows vs stored rows per table and device (dedup and failures make 'less')."""
     b = _batch(spark, sf_dir)
-    r = b["parsed_readings"]
-    stored = b["readings"]
-    return L.expected_vs_stored(r, stored, ["device_id"])
+    stages = b["sleep_stages"].join(L.session_ids(b["sleep_sessions"]).select("session_id", "device_id"), "session_id")
+    stored = {**b, "sleep_stages": stages}
+
+    def rows(tables):
+        return reduce(DataFrame.unionByName, [tables[t].select(F.lit(t).alias("table_name"), "device_id")
+                                              for t in b["parsed"]])
+    return L.expected_vs_stored(rows(b["parsed"]), rows(stored), ["table_name", "device_id"])
 
 
 @query("flt7_required_fields", sql=_W + """
@@ -225,15 +240,6 @@ def flt7_required_fields(spark, sf_dir):
     return required_fields(readings(spark, sf_dir), ["recorded_at", "device_id", "metric"])
 
 
-@query("agg5_earliest_per_type", sql=_W + """
-SELECT device_id, data_type, min(recorded_at) AS earliest FROM w_readings GROUP BY 1, 2
-""")
-def agg5_earliest_per_type(spark, sf_dir):
-    """Earliest normalised time per (device, data type); null when none parses."""
-    return readings(spark, sf_dir).groupBy("device_id", "data_type").agg(
-        F.min("recorded_at").alias("earliest"))
-
-
 @query("agg9_point_counts", sql=with_(DEVICES, WEV, W_POINTS) + """
 SELECT data_type, count(*) AS points FROM w_points GROUP BY 1
 """)
@@ -260,8 +266,11 @@ def agg18_last_successful_pull(spark, sf_dir):
     return L.last_successful_pull(runs)
 
 
-@query("scl7_time_shape", sql=with_(DEVICES, WEV, W_POINTS) + """
-SELECT p.ingest_id, p.data_type,
+_TYPES = ["steps", "active-minutes", "heart-rate", "respiratory-rate-sleep-summary",
+          "active-zone-minutes", "exercise", "calories-in-heart-rate-zone", "daily-oxygen-saturation",
+          "daily-heart-rate-variability", "daily-heart-rate-zones", "activity-level", "sleep",
+          "sedentary-period", "weight"]
+_SHAPES = """SELECT p.device_id, p.ingest_id, p.data_type,
        CASE WHEN p.data_type IN ('heart-rate', 'respiratory-rate-sleep-summary', 'weight') THEN 'sample'
             WHEN p.data_type IN ('daily-oxygen-saturation', 'daily-heart-rate-variability',
                                  'daily-heart-rate-zones') THEN 'date'
@@ -273,35 +282,25 @@ SELECT p.ingest_id, p.data_type,
                       ELSE CAST(CAST(w.ts AS DATE) AS TIMESTAMP) END
             WHEN p.data_type = 'mystery-metric' THEN NULL ELSE w.ts END AS t_norm
 FROM w_points p JOIN wev w ON p.ingest_id = w.event_id
+"""
+
+
+@query("scl7_time_shape", sql=with_(DEVICES, WEV, W_POINTS) + f"""
+SELECT ingest_id, data_type, shape, t_norm FROM ({_SHAPES})
 """)
 def scl7_time_shape(spark, sf_dir):
     """Normalise the time of any point shape: sample string, interval string,
     {year,month,day} date, civil {date:{..}}; unknown shapes -> null."""
-    from senslake.functions.time import civil_date, iso_to_utc
-    from senslake.registry import camel
-    p = points(spark, sf_dir)
-    t = F.col("data_type")
-    n = F.concat(F.lit("$."), F.lit(""))  # noqa: F841 (paths are literal per type below)
-    shapes, values = None, None
-    for dt in ["steps", "active-minutes", "heart-rate", "respiratory-rate-sleep-summary",
-               "active-zone-minutes", "exercise", "calories-in-heart-rate-zone", "daily-oxygen-saturation",
-               "daily-heart-rate-variability", "daily-heart-rate-zones", "activity-level", "sleep",
-               "sedentary-period", "weight"]:
-        c = camel(dt)
-        sample = iso_to_utc(N.vget(f"$.{c}.sampleTime.physicalTime"))
-        interval = iso_to_utc(N.vget(f"$.{c}.interval.startTime"))
-        date = civil_date(N.vget(f"$.{c}.date.year", "int"), N.vget(f"$.{c}.date.month", "int"),
-                          N.vget(f"$.{c}.date.day", "int"))
-        civil = civil_date(N.vget("$.civilStartTime.date.year", "int"),
-                           N.vget("$.civilStartTime.date.month", "int"),
-                           N.vget("$.civilStartTime.date.day", "int"))
-        shape = (F.when(N._present(f"$.{c}.sampleTime"), "sample")
-                 .when(N._present(f"$.{c}.interval"), "interval")
-                 .when(N._present(f"$.{c}.date") | (N._present(f"$.{c}") & ~N._present("$.civilStartTime")
-                                                     & F.lit(dt.startswith("daily"))), "date")
-                 .when(N._present("$.civilStartTime"), "civil").otherwise("unknown"))
-        value = F.coalesce(sample, interval, date.cast("timestamp_ntz"), civil.cast("timestamp_ntz"))
-        shapes = F.when(t == dt, shape) if shapes is None else shapes.when(t == dt, shape)
-        values = F.when(t == dt, value) if values is None else values.when(t == dt, value)
-    shapes = shapes.otherwise("unknown")
-    return p.select("ingest_id", "data_type", shapes.alias("shape"), values.alias("t_norm"))
+    return N.normalised_time(points(spark, sf_dir), _TYPES).select("ingest_id", "data_type", "shape", "t_norm")
+
+
+@query("agg5_earliest_per_type", sql=with_(DEVICES, WEV, W_POINTS) + f"""
+SELECT device_id, data_type, min(t_norm) AS earliest, count(*) AS points, count(*) - count(t_norm) AS unparsed
+FROM ({_SHAPES}) GROUP BY 1, 2
+""")
+def agg5_earliest_per_type(spark, sf_dir):
+    """Earliest normalised time per (device, data type) over every point, sleep, exercise and unmapped types included;
+    null when none parses, and how many points do not."""
+    return N.normalised_time(points(spark, sf_dir), _TYPES).groupBy("device_id", "data_type").agg(
+        F.min("t_norm").alias("earliest"), F.count("*").alias("points"),
+        (F.count("*") - F.count("t_norm")).alias("unparsed"))

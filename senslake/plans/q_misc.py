@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from senslake.operators import stats
-from senslake.plans import model
-from senslake.plans.registry import query, rounded
+from senslake.plans import model, q_stats  # noqa: F401 (its SQL is registered first)
+from senslake.plans.registry import ORACLE_SQL, query, rounded
 from senslake.plans.sql_common import (AEV, ANALYSIS_LONG, CSV_ROWS, DEVICES, HOURLY_LONG, HOURLY_ROWS,
                                        READINGS, with_)
+from senslake.session import checkpoint_dir
+from senslake.sinks.load import write_json
 from senslake.sources import payloads
 
 
@@ -28,11 +32,13 @@ def src9_raw_scan(spark, sf_dir):
     return r.groupBy("device_id").agg(F.count("*").alias("ingests"), F.max("pulled_at").alias("last_pull"))
 
 
-@query("snk5_json_export")
+@query("snk5_json_export", sql=ORACLE_SQL["agg2_global_range"])
 def snk5_json_export(spark, sf_dir):
-    """Rows of a result serialised as JSON lines (what ``df.write.json`` writes)."""
+    """A result written as JSON lines to the shared folder and read back."""
     g = stats.global_range(model.analysis_long(spark, sf_dir))
-    return g.select(F.to_json(F.struct(*g.columns)).alias("json"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/json-{uuid.uuid4().hex}"
+    write_json(g, path)
+    return rounded(spark.read.schema(g.schema).json(path))
 
 
 @query("set4_set_difference", sql=with_(DEVICES) + """

@@ -56,9 +56,8 @@ def win1_rolling_range(spark, sf_dir):
 
 
 def _dense(spark, sf_dir):
-    """All devices' values of one event type as one series (a hot key)."""
-    a = model.analysis_long(spark, sf_dir).where(F.col("column") == "value")
-    return a.withColumn("device_id", F.lit("all"))
+    """All devices' values of one event type and column as one series (a hot key)."""
+    return model.analysis_long(spark, sf_dir).withColumn("device_id", F.lit("all"))
 
 
 # The mean is summed in exact decimal arithmetic: on a long series a float
@@ -67,14 +66,14 @@ _DENSE_SQL = with_(ANALYSIS_LONG) + f"""
 SELECT datetime, df, 'all' AS device_id, "column",
        round(min(value) OVER w, 6) AS roll_min, round(max(value) OVER w, 6) AS roll_max,
        round(avg(CAST(value AS DECIMAL(38, 10))) OVER w, 6) AS roll_mean, round(quantile_cont(value, 0.5) OVER w, 6) AS roll_median
-FROM analysis_long WHERE "column" = 'value' AND datetime IS NOT NULL AND value IS NOT NULL
+FROM analysis_long WHERE datetime IS NOT NULL AND value IS NOT NULL
 WINDOW w AS (PARTITION BY df, "column" ORDER BY datetime {_W10})
 """
 
 
 @query("win1_rolling_dense_chunked", sql=_DENSE_SQL)
 def win1_rolling_dense_chunked(spark, sf_dir):
-    """10-day rolling band over one dense series per event type (all devices
+    """10-day rolling band over one dense series per event type and column (all devices
     pooled), in chunks of two days."""
     from senslake.operators.rolling import rolling_range
     out = rolling_range(_dense(spark, sf_dir), "10D", chunk="2D")
@@ -108,7 +107,7 @@ def agg4_column_overview(spark, sf_dir):
   SELECT datetime, df, device_id, "column",
          min(value) OVER w AS roll_min, max(value) OVER w AS roll_max,
          avg(value) OVER w AS roll_mean, quantile_cont(value, 0.5) OVER w AS roll_median
-  FROM analysis_long WHERE "column" = 'value'
+  FROM analysis_long WHERE datetime IS NOT NULL AND value IS NOT NULL
   WINDOW w AS (PARTITION BY df, device_id, "column" ORDER BY datetime {_W10})
 ), daily AS (
   SELECT df, device_id, "column", CAST(datetime AS DATE) AS day, avg(roll_min) AS roll_min,
@@ -125,7 +124,7 @@ FROM span s LEFT JOIN daily d USING (df, device_id, "column", day)
 def agg11_daily_rolling_mean(spark, sf_dir):
     """Calendar-day mean of the rolling band; days without data are null rows."""
     from senslake.operators.rolling import rolling_range
-    roll = rolling_range(model.analysis_long(spark, sf_dir).where(F.col("column") == "value"), "10D")
+    roll = rolling_range(model.analysis_long(spark, sf_dir), "10D")
     out = stats.daily_mean(roll, ["roll_min", "roll_max", "roll_mean", "roll_median"])
     return rounded(out.select("df", "device_id", "column", "day",
                               "roll_min", "roll_max", "roll_mean", "roll_median"))

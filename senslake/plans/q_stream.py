@@ -3,9 +3,9 @@
 The raw pulls built from ``events`` are landed as files in the session's
 shared checkpoint folder (``spark.checkpoint.dir``), one file group per pull
 day, and drained with an ``availableNow`` stream; the query returns the
-merge-on-read tables. No oracle: the result depends on micro-batch
-boundaries (failure isolation is per device per batch), which SQL does not
-model; the tests compare it with the batch load instead.
+merge-on-read tables. Failure isolation is per device per batch, so the
+landing fixes the batches: one phase is one micro-batch, and the SQL computes
+each phase's failed devices by themselves.
 """
 
 from __future__ import annotations
@@ -15,26 +15,20 @@ import uuid
 from pyspark.sql import functions as F
 
 from senslake.plans import model
-from senslake.plans.registry import query
+from senslake.plans.q_load import _TABLE
+from senslake.plans.registry import query, rounded
+from senslake.plans.sql_common import DEVICES, READINGS_COLS, W_ITEMS, W_RAW, W_READINGS, WEV, with_
 from senslake.session import checkpoint_dir
 from senslake.streaming import ingest
 
 
-# One replay per (application, data dir, batch size): the queries reading the
-# same replay's outputs do not land and stream the pulls again.
-_REPLAYS: dict = {}
-
-
 def _replay(spark, sf_dir, phases: int = 1):
     """Land the pulls and drain them with availableNow runs on one checkpoint.
     With ``phases=2`` the first half of the month lands and is ingested
     first, then the rest: two micro-batches with reproducible contents."""
-    key = (spark.sparkContext.applicationId, sf_dir, phases)
-    if key in _REPLAYS:
-        return _REPLAYS[key]
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     raw = model.wearable_raw(spark, sf_dir)
-    # Land one pull twice to exercise the watermark dedup.
+    # Some pulls land twice: the current view keeps one version per key.
     landed = raw.unionByName(raw.where(F.col("ingest_id") % 101 == 0))
     day = F.dayofmonth("pulled_at")
     parts = [landed] if phases == 1 else [landed.where(day <= 15), landed.where(day > 15)]
@@ -42,38 +36,67 @@ def _replay(spark, sf_dir, phases: int = 1):
         part.repartition(4, F.to_date("pulled_at")).write.parquet(f"{base}/landing/phase={i}")
         q = ingest.start(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt")
         q.awaitTermination()
-    _REPLAYS[key] = base
     return base
 
 
-@query("str1_available_now_ingest")
+def _phases(split: str) -> str:
+    """Pulls, readings and failed devices of each micro-batch."""
+    return with_(DEVICES, WEV, W_ITEMS, W_READINGS, W_RAW) + f"""
+, pulls AS (SELECT *, CAST({split} AS BIGINT) AS batch_id FROM w_raw)
+, parsed AS (SELECT r.*, p.pulled_at, p.batch_id FROM w_readings r JOIN pulls p USING (ingest_id))
+, failed AS (SELECT DISTINCT batch_id, device_id FROM parsed WHERE error IS NOT NULL)
+, loaded AS (SELECT * FROM parsed p WHERE NOT EXISTS (
+    SELECT 1 FROM failed f WHERE f.batch_id = p.batch_id AND f.device_id = p.device_id))
+, runs AS (
+  SELECT DISTINCT p.batch_id, p.device_type, p.device_id, CASE WHEN f.device_id IS NULL THEN 'success' ELSE 'failed' END AS status
+  FROM pulls p LEFT JOIN failed f ON f.batch_id = p.batch_id AND f.device_id = p.device_id)
+"""
+
+
+_TWO = _phases("CASE WHEN day(pulled_at) <= 15 THEN 0 ELSE 1 END")
+
+
+@query("str1_available_now_ingest", sql=_phases("0") + f"""
+SELECT {READINGS_COLS.replace(', error', '')} FROM loaded
+QUALIFY row_number() OVER (PARTITION BY device_id, data_type, recorded_at, metric, tag ORDER BY pulled_at DESC) = 1
+""")
 def str1_available_now_ingest(spark, sf_dir):
     """Landed pulls drained by an availableNow stream -> current readings."""
     base = _replay(spark, sf_dir)
-    return ingest.current(spark, f"{base}/out", "readings")
+    return rounded(ingest.current(spark, f"{base}/out", "readings").select(*_TABLE))
 
 
-@query("str2_repull_upsert")
+@query("str2_repull_upsert", sql=_TWO + """
+SELECT device_id, data_type, recorded_at, metric, tag, count(DISTINCT batch_id) AS versions, max(batch_id) AS last_batch
+FROM loaded GROUP BY 1, 2, 3, 4, 5
+""")
 def str2_repull_upsert(spark, sf_dir):
     """Pulls arriving in two phases (two micro-batches) with a repeated pull:
     keys written in both batches keep their latest version."""
     base = _replay(spark, sf_dir, phases=2)
     r = spark.read.parquet(f"{base}/out/readings")
     return r.groupBy("device_id", "data_type", "recorded_at", "metric", "tag").agg(
-        F.count("*").alias("versions"), F.max("batch_id").alias("last_batch"))
+        F.count("*").alias("versions"), F.max("batch_id").cast("long").alias("last_batch"))
 
 
-@query("str3_resume_point")
+@query("str3_resume_point", sql=_TWO + """
+SELECT device_type, device_id, max(batch_id) AS last_batch FROM runs WHERE status = 'success' GROUP BY 1, 2
+""")
 def str3_resume_point(spark, sf_dir):
-    """Latest successful batch per device from the streamed run log."""
+    """Resume point per device from the streamed run log: the batch of its latest successful run."""
     base = _replay(spark, sf_dir, phases=2)
-    return ingest.last_success(spark, f"{base}/out")
+    last = ingest.last_success(spark, f"{base}/out").withColumnRenamed("last_success", "started_at")
+    log = spark.read.parquet(f"{base}/out/run_log").where(F.col("status") == "success")
+    return last.join(log, ["device_type", "device_id", "started_at"]).select(
+        "device_type", "device_id", F.col("batch_id").cast("long").alias("last_batch"))
 
 
-@query("str4_batch_isolation")
+@query("str4_batch_isolation", sql=_TWO + """
+SELECT batch_id, status, count(*) AS devices FROM runs GROUP BY 1, 2
+""")
 def str4_batch_isolation(spark, sf_dir):
     """Per micro-batch run log: failed devices of a batch load nothing from
     that batch, other batches are unaffected."""
     base = _replay(spark, sf_dir, phases=2)
     log = spark.read.parquet(f"{base}/out/run_log")
-    return log.groupBy("batch_id", "status").agg(F.count("*").alias("devices"))
+    return log.groupBy(F.col("batch_id").cast("long").alias("batch_id"), "status").agg(F.count("*").alias("devices"))

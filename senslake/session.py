@@ -57,12 +57,14 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/object store) folder there. Only when it is
-    unset -- local tests -- do we create a scratch folder of our own.
+    A cluster names a shared (HDFS/object store) folder there, and must: only
+    a local master, whose tasks share the driver's disk, gets a scratch folder.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="senslake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():

@@ -111,17 +111,50 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key) -> DataFrame:
     return target.unionByName(new.select(*source.columns))
 
 
-def write_table(df: DataFrame, path: str, spec: TableSpec) -> None:
-    """Persist a merged table version (dynamic partition overwrite)."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed versions of a table: only a finished write leaves ``_SUCCESS``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(root) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+
+def write_table(df: DataFrame, path: str, spec: TableSpec) -> int:
+    """Persist a merged table as the next version, in a folder of its own: the
+    plan may read the current version, and a write that fails leaves it as it is."""
+    version = max(_versions(df.sparkSession, path), default=0) + 1
+    w = df.write.mode("overwrite")
     if spec.partition_by:
         w = w.partitionBy(*spec.partition_by)
-    w.parquet(path)
+    w.parquet(f"{path}/version={version}")
+    return version
+
+
+def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """A committed version of a table, the latest by default; None before the first."""
+    known = _versions(spark, path)
+    if version is None and known:
+        version = known[-1]
+    return spark.read.parquet(f"{path}/version={version}") if version in known else None
+
+
+def merge_table(source: DataFrame, path: str, spec: TableSpec) -> int:
+    """SNK2 persisted: upsert ``source`` into the latest version of the table."""
+    order = [c for c in spec.order if c in source.columns]
+    return write_table(upsert(read_table(source.sparkSession, path), source, spec.key, order), path, spec)
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """SNK5: a result as JSON lines, nulls kept as fields."""
+    df.write.option("ignoreNullFields", "false").json(path)
 
 
 def session_ids(sessions: DataFrame) -> DataFrame:
-    """WIN6: deterministic surrogate key, stable across re-pulls."""
-    return sessions.withColumn("session_id", F.xxhash64("device_id", "started_at"))
+    """WIN6: deterministic surrogate key, stable across re-pulls: the MD5 of
+    the natural key (start in microseconds; null parts are named), 128 bits,
+    so that billions of sessions do not collide."""
+    start = F.unix_micros(F.col("started_at").cast("timestamp"))
+    parts = [F.coalesce(c.cast("string"), F.lit("null")) for c in (F.col("device_id"), start)]
+    return sessions.withColumn("session_id", F.md5(F.concat_ws("|", *parts)))
 
 
 def resolve_stages(stages: DataFrame, sessions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -201,7 +234,8 @@ def load_wearable_batch(spark: SparkSession, raw: DataFrame, tz: DataFrame | Non
                                             spec["exercise_sessions"].order),
         "profile": isolate(N.profile(payloads.wearable_profile(raw)), failed),
         "failed": failed,
-        "parsed_readings": readings,
+        "parsed": {"readings": readings, "sleep_sessions": sessions, "exercise_sessions": exercise,
+                   "sleep_stages": stages},
         "cached": [raw, pts, readings, failed],
     }
     resolved, rejected = resolve_stages(ok(stages), out["sleep_sessions"])

@@ -84,3 +84,22 @@ def test_insert_if_absent_takes_one_row_per_new_key(spark):
     t = spark.createDataFrame([(None, "old")], "id int, v string")
     s = spark.createDataFrame([(2, "b"), (2, "a"), (None, "x")], "id int, v string")
     assert sorted(map(tuple, L.insert_if_absent(t, s, ["id"]).collect()), key=str) == [(2, "a"), (None, "old")]
+
+
+def test_tables_are_written_as_versions(spark, tmp_dir):
+    spec = L.TableSpec("t", ("device_id", "tag"), ("tag",))
+    path = f"{tmp_dir}/t"
+    assert L.read_table(spark, path) is None
+    assert L.merge_table(_rows(spark, [(1, "a", 1.0, T0, 0), (2, "b", 2.0, T0, 0)]), path, spec) == 1
+    again = _rows(spark, [(1, "a", 5.0, T1, 0), (3, "c", 3.0, T1, 0)])
+    assert L.merge_table(again, path, spec) == 2 and L.merge_table(again, path, spec) == 3
+    new = sorted((r.device_id, r.value) for r in L.read_table(spark, path).collect())
+    assert new == [(1, 5.0), (2, 2.0), (3, 3.0)] and L.read_table(spark, path, 1).count() == 2
+    again.write.parquet(f"{path}/version=4/_temporary")  # a write that died before its commit
+    assert L.read_table(spark, path).count() == 3
+
+
+def test_session_keys_name_null_parts(spark):
+    rows = spark.createDataFrame([(1, T0), (1, None), (None, T0), (1, T0)], "device_id long, started_at timestamp_ntz")
+    ids = [r.session_id for r in L.session_ids(rows).collect()]
+    assert len(set(ids)) == 3 and None not in ids
