@@ -145,7 +145,7 @@ def _candidates(window: int, sieve, k: int):
             edge[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
             least = doc[np.flatnonzero(edge)][np.cumsum(edge) - 1]
             mine = doc == least
-            kept = np.rec.fromarrays([h1[mine], h2[mine], doc[mine], same[mine], at[mine]], dtype=_REC)
+            kept = _once(np.rec.fromarrays([h1[mine], h2[mine], doc[mine], same[mine], at[mine]], dtype=_REC))
             some, cut = _cuts(kept["h1"], k)
             yield _batch(0, some, None, None, [kept[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)])
             yield from _by_document(doc[~mine], same[~mine], at[~mine], window)
@@ -173,6 +173,13 @@ def _candidates(window: int, sieve, k: int):
 _REC = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("same", "<i8"), ("at", "<i4")])
 
 
+def _once(rec: np.ndarray) -> np.ndarray:
+    """Sorted rows without repeats: copies of one row (same id, same text) name each window once."""
+    new = np.ones(len(rec), bool)
+    new[1:] = np.logical_or.reduce([rec[c][1:] != rec[c][:-1] for c in rec.dtype.names])
+    return rec[new]
+
+
 def _pair_hash(h: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes of each window from word hashes under two multipliers."""
     a, b = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
@@ -252,7 +259,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     inside it, so equal windows name equal seeds. Only these are grouped, two documents of a seed per
     task at most, so a passage in every document costs a row per task. Seeds of one document alone die here.
     Level 2, twice that length (clipped at the window): windows whose seed survived are compared by 128-bit hashes, within
-    the task first, then one row per task and sequence by hash. Covered words return to their documents as runs.
+    the task first, then one row per task, sequence and text of its smallest document by hash: rows repeated as they are cost nothing. Covered words return to their documents as runs.
     Both levels compare in slices of the hashes, whose number grows with the text (``slice_bytes`` of it a slice)."""
     rows = id_text(docs, id_col, text_col).select("*", F.xxhash64("text").alias("same"))
     spark = docs.sparkSession
@@ -266,7 +273,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     sieve = spark.sparkContext.broadcast(bits.tobytes())
     cand = land(rows.mapInArrow(_candidates(window, sieve, k), _FOUND), "sub-windows")
     judged = cand.where("kind = 0").groupBy("slice").applyInArrow(_judge(window), "doc long, same long, payload binary")
-    marks = land(cand.where("kind = 1").select("doc", "same", "payload").unionByName(judged).groupBy("doc", "same").agg(F.collect_list("payload").alias("runs")), "sub-marks")
+    marks = land(cand.where("kind = 1").select("doc", "same", "payload").unionByName(judged).groupBy("doc", "same").agg(F.collect_set("payload").alias("runs")), "sub-marks")
     top = F.lit(int(np.iinfo(np.int64).max))
     joined = rows.select("doc_id", "text", F.coalesce("doc_id", top).alias("doc"), "same").join(marks, ["doc", "same"], "left")
     return joined.select("doc_id", "text", "runs").mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

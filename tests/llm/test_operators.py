@@ -255,6 +255,15 @@ def test_substring_removal(spark, docs, odd):
     assert all(r.n_removed == 0 for r in got if r.doc_id == 6) and substring.remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_windows_of_repeated_rows_are_kept_once(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = spark.createDataFrame([(1, one)] * 40 + [(2, f"{one} {two}")] * 40 + [(3, two)] * 40, "doc_id long, text string")
+    got = collections.Counter(map(tuple, substring.remove_repeats(rows).select("doc_id", "n_words", "n_removed").collect()))
+    assert got == {(1, 30, 0): 40, (2, 60, 30): 40, (3, 30, 30): 40}
+    rec = np.array([(1, 1, 1, 1, 0), (1, 1, 1, 1, 0), (1, 1, 1, 2, 0), (1, 2, 1, 2, 0)], substring._REC)
+    assert len(substring._once(rec)) == 3 and len(substring._once(rec[:0])) == 0
+
+
 def test_near_duplicates(spark, docs, odd):
     sets = {}
     for d, t in docs.items():
