@@ -19,11 +19,14 @@ def test_available_now_replay_equals_batch(spark, tmp_dir):
     q = ingest.start(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     streamed = ingest.current(spark, f"{base}/out", "readings")
-    batch = L.load_wearable_batch(spark, raw)["readings"]
+    loaded = L.load_wearable_batch(spark, raw)
+    batch = loaded["readings"]
     cols = ["device_id", "data_type", "recorded_at", "metric", "tag", "value_numeric", "ingest_id"]
     a = sorted(map(tuple, streamed.select(*cols).collect()), key=str)
     b = sorted(map(tuple, batch.select(*cols).collect()), key=str)
     assert a == b and len(a) > 0
+    for df in loaded["cached"]:
+        df.unpersist()
     log = spark.read.parquet(f"{base}/out/run_log")
     assert log.select("batch_id").distinct().count() == 1
     assert ingest.last_success(spark, f"{base}/out").count() == \
