@@ -178,8 +178,14 @@ class Boosted:
 
 
 def _texts(block: Block):
-    """(index, text) of the documents that can hold a span: every pattern needs a digit or an @."""
-    mark = np.concatenate([[0], np.cumsum((block.data == 64) | (block.data >= 48) & (block.data <= 57))])
+    """(index, text) of the documents that can hold a span: every pattern needs a digit, an @, or 'at' in brackets."""
+    d = block.data
+    hit = (d == 64) | (d >= 48) & (d <= 57)
+    if len(d) >= 4:
+        # [at], (AT) and mixed brackets, as the email generator takes them; one that spans two documents only costs a look
+        a, t, z = d[1:-2], d[2:-1], d[3:]
+        hit[:-3] |= ((d[:-3] == 91) | (d[:-3] == 40)) & ((a == 97) & (t == 116) | (a == 65) & (t == 84)) & ((z == 93) | (z == 41))
+    mark = np.concatenate([[0], np.cumsum(hit)])
     for i in np.flatnonzero(mark[block.offs[1:]] > mark[block.offs[:-1]]).tolist():
         yield i, block.text(i).decode("utf-8", "replace")
 

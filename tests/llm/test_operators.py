@@ -165,6 +165,21 @@ def test_pii_base(spark, docs, odd):
     assert pii.find_pii(odd.limit(0)).count() == 0 and pii.find_pii(odd).count() == odd.count()
 
 
+def test_pii_proposes_obfuscated_addresses_without_digits():
+    import types
+    import pyarrow as pa
+    every = types.SimpleNamespace(value=types.SimpleNamespace(probability=lambda x: np.ones(len(x))))
+    at = ["(at)", "[at]", "(AT)", "[AT]", "(at]", "[AT)"]
+    texts = [f"write to ann {x} host [dot] org today" for x in at] + ["fe (at", "at] plain", None, "", "(At) at [a t]"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    got = pa.Table.from_batches(pii._find(every, 0.95)([batch])).to_pylist()
+    assert [r["spans"] for r in got] == [f"email:9:{t.index(' today')}" if i < len(at) else "" for i, t in enumerate(t or "" for t in texts)]
+    assert {r["redacted"] for r in got[:len(at)]} == {"write to [EMAIL] today"} and all(r["n_email"] == 0 for r in got)
+    # an unrelated digit elsewhere changes nothing
+    more = pa.RecordBatch.from_pydict({"doc_id": pa.array([1], pa.int64()), "text": pa.array([texts[0] + " 5"])})
+    assert next(iter(pii._find(every, 0.95)([more])))["spans"].to_pylist() == [got[0]["spans"]]
+
+
 def test_perspectives(spark):
     duckdb.sql(f"create or replace view conversations as select * from '{SF}/conversations.parquet'")
     assert sorted(map(tuple, catalog.QUERIES["op4_perspective_rotation"](spark, SF).collect())) == sorted(duckdb.sql(dialogue.OP4_SQL).fetchall())
