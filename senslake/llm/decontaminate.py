@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from .common import blocks, documents, id_array, id_text
 from .words import HEAD, mix
 
-Q = 10
-#: Edits allowed per character of a pattern, and the longest pattern; longer items are cut into overlapping patterns.
-RATE, PATTERN, STRIDE = 0.08, 200, 100
-#: Diagonals per band (each also takes the next ``budget`` ones), and pattern characters broadcast at once.
-BAND, BLOCK_CHARS = 64, 2_000_000
+Q = 7
+#: (length, stride, edits allowed per character) of the overlapping patterns that items are cut into: long ones, and short ones for quotes of a
+#: part and denser edits.
+CUTS = ((200, 100, 0.08), (80, 40, 0.12))
+#: Diagonals per band (each also takes the next ``budget`` ones), item characters broadcast at once, and searched at once (worker memory).
+BAND, BLOCK_CHARS, PART_CHARS = 64, 2_000_000, 50_000
+#: Shorter items match nothing.
+LEAST = 10
 _FILTER_BITS = 22
+#: Pairs of a document and a pattern that are counted in one table.
+_PAIRS = 1 << 23
 
 
 def normal(data: np.ndarray, offs: np.ndarray):
@@ -35,36 +40,39 @@ def normal(data: np.ndarray, offs: np.ndarray):
 
 
 def grams(chars: np.ndarray) -> np.ndarray:
-    """Hashes of all q-grams, by doubling: pairs, fours, eights, and the last pair."""
+    """Hashes of all q-grams, by doubling: pairs, fours, and the last three."""
     n = len(chars) - Q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    k, k2, k3, k4 = (np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in (1, 2, 3, 4))
+    k, k2, k3 = (np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in (1, 2, 3))
     c = chars.astype(np.uint64)
     two = c[:-1] * k + c[1:]
     four = two[:-2] * k2 + two[2:]
-    eight = four[:-4] * k3 + four[4:]
-    return mix(eight[:n] * k4 + two[8:8 + n])
+    three = two[:-1] * k + c[2:]
+    return mix(four[:n] * k3 + three[4:4 + n])
 
 
 def budget(m: int) -> int:
-    """Edits allowed: RATE of the length, lowered until the q-gram lemma asks for one shared q-gram at least."""
-    return max(0, min(int(RATE * m), m // Q - 1))
+    """Edits allowed: the rate of the shortest cut that takes the length, lowered until the q-gram lemma asks for one shared q-gram at least."""
+    rate = next(r for length, _, r in sorted(CUTS) if m <= length)
+    return max(0, min(int(rate * m), m // Q - 1))
 
 
 class Patterns:
-    """Patterns of one block of items and the places of their q-grams."""
+    """Patterns of some items and the places of their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.chars, self.item = [], []
         for item, text in items:
             raw = np.frombuffer(text.strip().encode(), np.uint8)
             c, _, _ = normal(raw, np.array([0, len(raw)]))
-            last = max(len(c) - PATTERN, 0)
-            for a in sorted({*range(0, last + 1, STRIDE), last}):
-                if len(c) >= Q:
-                    self.chars.append(c[a:a + PATTERN])
-                    self.item.append(item)
+            spans = set()
+            for length, stride, _ in CUTS:
+                last = max(len(c) - length, 0)
+                spans |= {(a, min(a + length, len(c))) for a in (*range(0, last + 1, stride), last)}
+            if len(c) >= LEAST:
+                self.chars += [c[a:b] for a, b in sorted(spans)]
+                self.item += [item] * len(spans)
         self.size = np.array([len(c) for c in self.chars], np.int64)
         self.edits = np.array([budget(m) for m in self.size.tolist()], np.int64)
         self.need = self.size + 1 - Q * (self.edits + 1)
@@ -78,9 +86,8 @@ class Patterns:
         self.bits = np.zeros(1 << _FILTER_BITS, bool)
         self.bits[(self.gram >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
-    def hits(self, chars: np.ndarray, offs: np.ndarray):
-        """(document, pattern, diagonal) of every shared q-gram that lies inside one document."""
-        g = grams(chars)
+    def hits(self, g: np.ndarray, offs: np.ndarray):
+        """(document, pattern, diagonal, place in the pattern) of every shared q-gram of the text's ``g`` that lies inside one document."""
         t = np.flatnonzero(self.bits[(g >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
         at = np.searchsorted(self.gram, g[t])
         ok = at < len(self.gram)
@@ -91,11 +98,12 @@ class Patterns:
         t, at, doc = t[ok], at[ok], doc[ok]
         n = self.first[at + 1] - self.first[at]
         k = np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.repeat(doc, n), self.pattern[k], np.repeat(t - offs[doc], n) - self.at[k]
+        return np.repeat(doc, n), self.pattern[k], np.repeat(t - offs[doc], n) - self.at[k], self.at[k]
 
 
-def align(pattern: np.ndarray, text: np.ndarray, k: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the best occurrence of ``pattern`` in ``text`` with ``k`` edits at most (the first such end), or None.
+def align(pattern: np.ndarray, text: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """(edits, start, end) of the occurrences of ``pattern`` in ``text`` with ``k`` edits at most: every exact one, and, best (then first) end
+    first, those that overlap none found so far.
 
     ``text`` is the band's window, so the whole table is the band: one row per pattern character, insertions by a running minimum."""
     n = len(text)
@@ -113,37 +121,75 @@ def align(pattern: np.ndarray, text: np.ndarray, k: int) -> tuple[int, int, int]
         src = run % big
         cost, start = cand[src] + (j - src), from_[src]
         if cost.min() > k:
-            return None
-    e = int(cost.argmin())
-    return (int(cost[e]), int(start[e]), e) if cost[e] <= k else None
+            return []
+    out = []
+    for e in sorted(np.flatnonzero((cost <= k) & (start < j)).tolist(), key=lambda e: (cost[e], e)):
+        a = int(start[e])
+        if not cost[e] or not any(a < y and x < e for _, x, y in out):
+            out.append((int(cost[e]), a, e))
+    return out
+
+
+def _exact(pattern: np.ndarray, text: np.ndarray) -> list[tuple[int, int, int]]:
+    """As :func:`align` with no edits."""
+    out, p, t = [], pattern.tobytes(), text.tobytes()
+    at = t.find(p)
+    while at >= 0:
+        if at % 4 == 0:
+            out.append((0, at // 4, at // 4 + len(pattern)))
+        at = t.find(p, at + 1)
+    return out
 
 
-def _regions(p: Patterns, block) -> list[tuple[int, int, int, int, int]]:
+def _matches(p: Patterns, chars: np.ndarray, offs: np.ndarray, g: np.ndarray):
+    """(document, pattern, start, end, edits) of every occurrence of a pattern; places count in ``chars``."""
+    doc, pat, diag, at = p.hits(g, offs)
+    if (len(offs) - 1) * len(p.size) <= _PAIRS:  # most pairs share too few q-grams on all bands together
+        pair = doc * len(p.size) + pat
+        enough = np.bincount(pair)[pair] >= p.need[pat]
+        doc, pat, diag, at = doc[enough], pat[enough], diag[enough], at[enough]
+    if not len(doc):
+        return
+    low = np.floor_divide(diag, BAND)
+    two = diag - low * BAND < p.edits[pat]
+    # one number for (document, pattern, band)
+    least, span = int(low.min()) - 1, int(low.max() - low.min()) + 2
+    key = (doc * len(p.size) + pat) * span + (low - least)
+    key, diag, at = (np.concatenate([x, y[two]]) for x, y in ((key, key - 1), (diag, diag), (at, at)))
+    cand, count = np.unique(key, return_counts=True)
+    cand = cand[count >= p.need[cand // span % len(p.size)]]
+    # the lemma's q-grams stand at different places of the pattern and of the text: one that is often repeated counts once
+    back = np.searchsorted(cand, key)
+    use = np.flatnonzero(np.append(cand, -1)[back] == key)
+    back, diag, at = back[use], diag[use], at[use]
+    need, enough = p.need[cand // span % len(p.size)], np.ones(len(cand), bool)
+    for place in (at, diag + at):
+        width = int(place.max(initial=0)) + 1
+        enough &= np.bincount(np.unique(back * width + place) // width, minlength=len(cand)) >= need
+    key = cand[enough]
+    band, pat, doc = key % span + least, key // span % len(p.size), key // span // len(p.size)
+    m, k = p.size[pat], p.edits[pat]
+    a = offs[doc] + np.maximum(0, band * BAND - k)
+    z = np.minimum(offs[doc + 1], offs[doc] + (band + 1) * BAND + m + 3 * k)
+    ok = z - a >= m - k
+    doc, pat, m, k, a, z = (x[ok] for x in (doc, pat, m, k, a, z))
+    for i in range(len(doc)):
+        pattern, window = p.chars[pat[i]], chars[a[i]:z[i]]
+        # occurrences that do not overlap start m - k apart at least: only in short patterns' bands can one more stand beside an exact one
+        found = _exact(pattern, window) if m[i] - k[i] >= BAND else []
+        for edits, x, y in found or align(pattern, window, int(k[i])):
+            yield int(doc[i]), int(pat[i]), int(a[i]) + x, int(a[i]) + y, edits
+
+
+def _regions(parts: list[Patterns], block) -> list[tuple[int, int, int, int, int]]:
     """(document index, item, start, end, edits) of every match in a block."""
     chars, offs, place = normal(block.data, block.offs)
     begins = np.concatenate([[0], np.cumsum(HEAD[block.data])])[block.offs]
-    doc, pat, diag = p.hits(chars, offs)
-    rows = []
-    if len(doc):
-        low = np.floor_divide(diag, BAND)
-        two = diag - low * BAND < p.edits[pat]
-        doc, pat, band = (np.concatenate([x, y[two]]) for x, y in ((doc, doc), (pat, pat), (low, low - 1)))
-        order = np.lexsort((band, pat, doc))
-        doc, pat, band = doc[order], pat[order], band[order]
-        edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pat[1:] != pat[:-1]) | (band[1:] != band[:-1])]))
-        count = np.diff(np.append(edge, len(doc)))
-        for e in edge[count >= p.need[pat[edge]]].tolist():
-            d, q, b = int(doc[e]), int(pat[e]), int(band[e])
-            m, k = int(p.size[q]), int(p.edits[q])
-            a = max(0, b * BAND - k)
-            z = min(int(offs[d + 1] - offs[d]), (b + 1) * BAND + m + 3 * k)
-            window = chars[offs[d] + a:offs[d] + z]
-            whole = window.tobytes().find(p.chars[q].tobytes())
-            found = (0, whole // 4, whole // 4 + m) if whole >= 0 and whole % 4 == 0 else align(p.chars[q], window, k)
-            if found and found[2] > found[1]:
-                x, y = int(offs[d]) + a + found[1], int(offs[d]) + a + found[2]
-                end = place[y] if y < len(place) and y < offs[d + 1] else begins[d + 1]
-                rows.append((d, p.item[q], int(place[x] - begins[d]), int(end - begins[d]), found[0]))
+    g, rows = grams(chars), []
+    for p in parts:
+        for d, q, x, y, edits in _matches(p, chars, offs, g):
+            end = place[y] if y < len(place) and y < offs[d + 1] else begins[d + 1]
+            rows.append((d, p.item[q], int(place[x] - begins[d]), int(end - begins[d]), (-int(p.size[q]), edits)))
     return _merged(rows)
 
 
@@ -158,14 +204,20 @@ def _search(shared):
 
 
 def _merged(rows):
-    """Overlapping or touching matches of one item in one document as one region, with the edits of its best pattern."""
+    """Overlapping or touching matches of one item in one document as one region, with the edits of its longest (then best) pattern."""
     out = []
     for r in sorted(set(rows)):
         if out and out[-1][:2] == r[:2] and r[2] <= out[-1][3]:
             out[-1] = (*out[-1][:3], max(out[-1][3], r[3]), min(out[-1][4], r[4]))
         else:
             out.append(r)
-    return out
+    return [(*r[:4], r[4][1]) for r in out]
+
+
+def _parts(block: list[tuple[int, str]]) -> list[Patterns]:
+    """Patterns of a block of items, by PART_CHARS characters of them."""
+    cut = (np.cumsum([len(t) for _, t in block]) - 1) // PART_CHARS
+    return [Patterns([x for x, c in zip(block, cut, strict=True) if c == part]) for part in np.unique(cut)]
 
 
 def _item_blocks(items: DataFrame):
@@ -181,12 +233,15 @@ def _item_blocks(items: DataFrame):
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, start, end, edits): every region of a document that holds a benchmark item, or a 200-character pattern of it,
-    within 8 edits in 100 characters. Offsets are code points of the given text, ends exclusive.
-
-    Case (ASCII, Latin-1) and white space runs do not count. A pattern of m characters and k edits shares m + 1 - q (k + 1) q-grams (q = 10)
-    with any such region, on k + 1 neighbouring diagonals; bands that reach this count are aligned, so nothing is missed. Items of fewer than 10
-    characters and null items match nothing; patterns shorter than 20 characters are matched exactly. Null and empty texts match nothing; null ids stay null; repeated rows are reported
+    """(doc_id, item_id, start, end, edits): every region of a document that holds a benchmark item, or a pattern cut from it. Patterns are 200
+    characters at a stride of 100, within 8 edits in 100 characters, and 80 at a stride of 40 (the last of each flush with the end), within 12
+    edits in 100; so a verbatim quote of 101 characters of any item is found, and so are its first and its last 71. Offsets are code points of the
+    given text, ends exclusive; ``edits`` are those of the longest pattern found.
+
+    Case (ASCII, Latin-1) and white space runs do not count. A pattern of m characters and k edits shares m + 1 - q (k + 1) q-grams (q = 7)
+    with any such region, on k + 1 neighbouring diagonals; bands that reach this count are compared, so no pattern is missed. Shorter quotes, and
+    edits that are denser in every pattern, are not looked for. Items of fewer than 10
+    characters and null items match nothing; patterns shorter than 14 characters are matched exactly. Null and empty texts match nothing; null ids stay null; repeated rows are reported
     as often as they come. Extra columns are ignored; empty tables give an empty result.
 
     Items reach the workers in blocks of 2,000,000 characters, each against all documents."""
@@ -196,7 +251,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = "doc_id long, item_id long, start long, end long, edits long"
     out = None
     for block in _item_blocks(items):
-        shared = spark.sparkContext.broadcast(Patterns(block))
+        shared = spark.sparkContext.broadcast(_parts(block))
         found = rows.mapInArrow(_search(shared), schema)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], schema)
@@ -215,7 +270,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) without the documents that :func:`contamination` reports; no join, no shuffle."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     for block in _item_blocks(items):
-        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(Patterns(block))), docs.schema)
+        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(_parts(block))), docs.schema)
     return docs
 
 

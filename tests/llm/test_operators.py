@@ -142,6 +142,26 @@ def test_decontamination_with_edits(spark, odd):
     assert decontaminate.contamination(odd.limit(0), b).count() == 0 and decontaminate.contamination(odd, b.limit(0)).count() == 0
 
 
+def test_decontamination_of_parts_and_changed_words(spark):
+    rng = np.random.default_rng(11)
+    text = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 8))) for _ in range(90))
+    short, long = text[:180], text[:390]
+    pad = "Elsewhere 1234567890 is said. "
+    tenth = " ".join("#" * len(w) if i % 10 == 4 else w for i, w in enumerate(long.split(" ")))
+    quotes = {1: short[:150], 2: short[:90], 3: short[90:], 4: short[15:116], 5: long[103:286], 6: tenth, 7: tenth[:180], 8: short[:40], 9: text[400:]}
+    d = spark.createDataFrame([(i, pad + t + " " + pad) for i, t in quotes.items()], "doc_id long, text string")
+    got = decontaminate.contamination(d, spark.createDataFrame([(1, short), (2, long)], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, i) for d in range(1, 8) for i in (1, 2)}
+    assert all(r.end - r.start >= 70 and r.start >= len(pad) - 16 and r.end <= len(pad) + len(quotes[r.doc_id]) + 16 for r in got)
+
+
+def test_decontamination_reports_every_occurrence_in_a_band(spark):
+    item = "seven grey owls"
+    d = spark.createDataFrame([(1, f"{item}, {item}; seven grey 0wls")], "doc_id long, text string")
+    got = decontaminate.contamination(d, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted((r.start, r.end, r.edits) for r in got) == [(0, 15, 0), (17, 32, 0), (34, 49, 1)]
+
+
 def base(t):
     t = t or ""
     ip = [m.span() for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) < 256 for p in m.group().split("."))]
