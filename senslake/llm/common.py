@@ -35,6 +35,16 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a table that a task may hold whole, if they are a few numbers each.
+SMALL_ROWS = 500_000
+
+
+def join_small(df: DataFrame, small: DataFrame, on: list[str], name: str, how: str = "left", limit: int = SMALL_ROWS) -> DataFrame:
+    """Join ``df`` to a table of narrow rows that is nearly always tiny: landed and counted, broadcast up to ``limit`` rows, shuffled beyond."""
+    small = land(small, name)
+    return df.join(F.broadcast(small) if small.count() <= limit else small, on, how)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The documents table, pruned to ``columns`` when given."""
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
