@@ -27,9 +27,10 @@ def register_parser(device_type: str):
 @register_parser("wearable")
 def _wearable(raw: DataFrame) -> dict:
     from senslake.operators import normalize as N
-    from senslake.session import reuse
+    from senslake.session import materialize
     from senslake.sources import payloads
-    pts = reuse(payloads.wearable_points(raw))
+    # Four tables come from the points: they are landed once, not parsed four times.
+    pts = materialize(raw.sparkSession, payloads.wearable_points(raw), "points")
     return {"readings": N.readings(pts), "sleep_sessions": N.sleep_sessions(pts),
             "sleep_stages": N.sleep_stages(pts), "exercise_sessions": N.exercise_sessions(pts),
             "profile": N.profile(payloads.wearable_profile(raw))}
@@ -39,16 +40,7 @@ def _wearable(raw: DataFrame) -> dict:
 def _air(raw: DataFrame) -> dict:
     from senslake.operators import air
     from senslake.sources import payloads
-    return {"air_readings": air.with_location(air.project(payloads.air_records(raw)))}
-
-
-def parse_all(raw: DataFrame) -> dict:
-    """Run every registered parser on its slice of the raw batch."""
-    out: dict[str, DataFrame] = {}
-    for device_type, fn in PARSERS.items():
-        for name, df in fn(raw.where(F.col("device_type") == device_type)).items():
-            out[name] = df if name not in out else out[name].unionByName(df, allowMissingColumns=True)
-    return out
+    return {"air_readings": air.with_location(air.project(payloads.air_records(raw)), keep_axes=False)}
 
 
 def unregistered(raw: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from senslake.operators import consolidate as cons
 from senslake.plans import model
 from senslake.plans.registry import query, rounded
 from senslake.plans.sql_common import AEV, CSV_FIELDS, CSV_ROWS, DEVICES, with_
-from senslake.session import reuse
+from senslake.session import materialize
 from senslake.sources import csv_export as C
 
 _C = with_(DEVICES, AEV, CSV_ROWS)
@@ -18,8 +18,8 @@ _FIELDS = ["aqs", "pm1", "pm25", "pm10", "temperature", "humidity", "pressure",
 
 
 def lines(spark, sf_dir):
-    # Headers, data rows and file metadata all read the lines: build them once.
-    return reuse(C.lines_of(model.csv_files(spark, sf_dir)))
+    # Headers, data rows and file metadata all read the lines: land them once.
+    return materialize(spark, C.lines_of(model.csv_files(spark, sf_dir)), "csv-lines")
 
 
 def records(spark, sf_dir):

@@ -2,63 +2,130 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from senslake.operators import air
 from senslake.operators import normalize as N
-from senslake.operators.joins import maybe_broadcast
+from senslake.operators.parsers import PARSERS
 from senslake.plans import model
 from senslake.plans.q_wearable import points, readings
 from senslake.plans.registry import query, rounded
-from senslake.plans.sql_common import (DEVICES, READINGS_COLS, W_FAILED, W_ITEMS, W_POINTS, W_RAW,
+from senslake.plans.sql_common import (A_RAW, AEV, DEVICES, READINGS_COLS, W_FAILED, W_ITEMS, W_POINTS, W_RAW,
                                        W_READINGS, WEV, with_)
 from senslake.registry import INGEST_METHODS
-from senslake.session import reuse
+from senslake.session import checkpoint_dir, materialize
 from senslake.sinks import load as L
+from senslake.sinks import runs as R
+from senslake.sinks.partitioned import merge_days, placed, read_days
+from senslake.sources import payloads
 
 _W = with_(DEVICES, WEV, W_ITEMS, W_READINGS, W_FAILED, W_RAW)
+# Both device types: pulls, and the devices that fail, as a whole batch and for themselves.
+_BOTH = with_(DEVICES, WEV, W_ITEMS, W_READINGS, W_FAILED, W_RAW, AEV, A_RAW, """
+raw AS (SELECT ingest_id, device_type, device_id, ingest_method, pulled_at FROM w_raw
+        UNION ALL SELECT ingest_id, device_type, device_id, ingest_method, pulled_at FROM a_raw),
+failed AS (SELECT 'wearable' AS device_type, device_id, error_message FROM w_failed
+           UNION ALL SELECT DISTINCT 'air', device_id, 'payload: not a JSON object' FROM a_raw WHERE broken)""")
 _KEY = list(L.TABLES["readings"].key)
 _TABLE = ["device_id", "data_type", "grain", "recorded_at", "ended_at", "metric", "tag",
           "value_numeric", "value_text", "ingest_id"]
 
 
 def _batch(spark, sf_dir):
-    return L.load_wearable_batch(spark, model.wearable_raw(spark, sf_dir))
+    return L.load_batch(model.pulls(spark, sf_dir))
 
 
-@query("snk1_raw_ingests", sql=with_(DEVICES, WEV, W_RAW) + """
+def _wearable(spark, sf_dir):
+    return L.load_type("wearable", model.pulls(spark, sf_dir).where("device_type = 'wearable'"))
+
+
+def _folder(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("snk1_raw_ingests", sql=_BOTH + """
 SELECT device_type, ingest_method, count(*) AS ingests, min(pulled_at) AS first_pull, max(pulled_at) AS last_pull
-FROM w_raw GROUP BY 1, 2
+FROM raw GROUP BY 1, 2
 """)
 def snk1_raw_ingests(spark, sf_dir):
-    """The append-only raw log, summarised per (device_type, ingest_method)."""
-    raw = L.with_ingest_id(model.wearable_raw(spark, sf_dir))
-    return raw.groupBy("device_type", "ingest_method").agg(
+    """The append-only raw log, written in two appends and read back, summarised per (device_type, ingest_method)."""
+    raw, path = model.pulls(spark, sf_dir), _folder(spark, "raw")
+    for part in (F.col("ingest_id") % 2 == 0, F.col("ingest_id") % 2 == 1):
+        L.write_raw(raw.where(part), path)
+    return spark.read.parquet(path).groupBy("device_type", "ingest_method").agg(
         F.count("*").alias("ingests"), F.min("pulled_at").alias("first_pull"),
         F.max("pulled_at").alias("last_pull"))
 
 
-@query("flt4_ingest_method_check", sql=with_(DEVICES, WEV, W_RAW) + """
-SELECT ingest_id, device_id, ingest_method FROM w_raw
+@query("flt4_ingest_method_check", sql=_BOTH + """
+SELECT ingest_id, device_type, device_id, ingest_method FROM raw
 WHERE ingest_method NOT IN ('api_auto', 'api_manual', 'csv_manual', 'test_script')
 """)
 def flt4_ingest_method_check(spark, sf_dir):
     """Raw ingests whose method is outside the allowed set (rejects)."""
-    raw = model.wearable_raw(spark, sf_dir)
-    return raw.where(~F.col("ingest_method").isin(INGEST_METHODS)).select(
-        "ingest_id", "device_id", "ingest_method")
+    raw = model.pulls(spark, sf_dir)
+    return raw.where(~F.coalesce(F.col("ingest_method").isin(INGEST_METHODS), F.lit(False))).select(
+        "ingest_id", "device_type", "device_id", "ingest_method")
 
 
-@query("snk6_run_log", sql=_W + """
-SELECT 'wearable' AS device_type, d.device_id,
-       CASE WHEN f.device_id IS NULL THEN 'success' ELSE 'failed' END AS status, f.error_message
-FROM (SELECT DISTINCT device_id FROM wev) d LEFT JOIN w_failed f USING (device_id)
+@query("snk6_run_log", sql=_BOTH + """
+SELECT d.device_type, d.device_id, CASE WHEN f.device_id IS NULL THEN 'success' ELSE 'failed' END AS status, f.error_message
+FROM (SELECT DISTINCT device_type, device_id FROM raw) d LEFT JOIN failed f USING (device_type, device_id)
 """)
 def snk6_run_log(spark, sf_dir):
     """Per device of the batch: success, or failed with the first error."""
-    return _batch(spark, sf_dir)["run_log"]
+    return _batch(spark, sf_dir)["run_log"].drop("pulled_to")
+
+
+_RUNS_SQL = _BOTH + """
+, run_of AS (SELECT *, CASE WHEN day(pulled_at) <= 10 THEN 'run-1' WHEN day(pulled_at) <= 20 THEN 'run-2' ELSE 'run-3' END AS run_id FROM raw)
+, bad AS (
+  SELECT DISTINCT p.run_id, p.device_type, p.device_id, min(e.error) OVER (PARTITION BY p.run_id, p.device_type, p.device_id) AS error_message
+  FROM run_of p JOIN (SELECT ingest_id, error FROM w_readings WHERE error IS NOT NULL
+                      UNION ALL SELECT ingest_id, 'payload: not a JSON object' FROM a_raw WHERE broken) e USING (ingest_id))
+, keys AS (
+  SELECT ingest_id, 'r' AS t, struct_pack(data_type, recorded_at, metric, tag)::VARCHAR AS k FROM w_readings
+  UNION ALL SELECT event_id, 's', ts::VARCHAR FROM wev WHERE event_type = 'error'
+  UNION ALL SELECT event_id, 'e', ts::VARCHAR FROM wev WHERE event_type = 'purchase'
+  UNION ALL SELECT event_id, 'p', ts::VARCHAR FROM wev WHERE event_type = 'signup'
+  UNION ALL SELECT ingest_id, 'a', ts::VARCHAR FROM arec WHERE ingest_id % 41 <> 0)
+, counted AS (
+  SELECT run_id, device_type, device_id, count(*) AS parsed, count(DISTINCT t || k) AS stored
+  FROM keys JOIN run_of USING (ingest_id) GROUP BY 1, 2, 3)
+SELECT d.run_id, d.device_type, d.device_id,
+       CASE WHEN d.run_id = 'run-3' THEN 'running' WHEN b.device_id IS NULL THEN 'success' ELSE 'failed' END AS status,
+       CASE WHEN d.run_id <> 'run-3' THEN b.error_message END AS error_message,
+       CASE WHEN d.run_id <> 'run-3' THEN CASE WHEN b.device_id IS NULL THEN coalesce(c.stored, 0) ELSE 0 END END AS rows,
+       CASE WHEN d.run_id <> 'run-3' THEN CASE WHEN b.device_id IS NULL THEN coalesce(c.parsed - c.stored, 0) ELSE 0 END END AS duplicates,
+       TIMESTAMP '2024-02-01' AS started_at, CASE WHEN d.run_id <> 'run-3' THEN TIMESTAMP '2024-02-01 01:00:00' END AS ended_at
+FROM (SELECT DISTINCT run_id, device_type, device_id FROM run_of) d
+LEFT JOIN bad b USING (run_id, device_type, device_id) LEFT JOIN counted c USING (run_id, device_type, device_id)
+"""
+
+
+@query("snk6_run_lifecycle", sql=_RUNS_SQL)
+def snk6_run_lifecycle(spark, sf_dir):
+    """Three tracked loads of the month's pulls; the third is killed while it writes, so its devices stay running."""
+    raw, log = model.pulls(spark, sf_dir), _folder(spark, "runs")
+    day = F.dayofmonth("pulled_at")
+    at, end = (F.lit(t).cast("timestamp_ntz") for t in ("2024-02-01 00:00:00", "2024-02-01 01:00:00"))
+
+    def store(name, rows):
+        rows.write.format("noop").mode("overwrite").save()
+
+    def dies(name, rows):
+        raise InterruptedError("killed")
+
+    for run, part, sink in (("run-1", day <= 10, store), ("run-2", (day > 10) & (day <= 20), store), ("run-3", day > 20, dies)):
+        try:
+            R.tracked_load(raw.where(part), log, run, sink, at=at, end_at=end)
+        except InterruptedError:
+            pass
+    return R.runs(spark, log)
 
 
 _UPSERT_SQL = _W + f"""
@@ -84,9 +151,8 @@ def snk2_upsert_readings(spark, sf_dir):
     table loaded by a first pull (before Jan 16): new keys inserted, existing
     keys replaced, null tags matched null-safe, in-batch duplicates resolved
     by latest pull then position. Failed devices load nothing."""
-    r = reuse(readings(spark, sf_dir))
-    failed = L.failed_devices(r)
-    ok = L.isolate(r, failed).drop("error")
+    b = _wearable(spark, sf_dir)
+    ok = L.isolate(b["parsed"]["readings"], b["failed"]).drop("error")
     cols = [*_TABLE, "pulled_at", "point_pos"]
     first = ok.where(F.col("pulled_at") < F.lit("2024-01-16").cast("timestamp_ntz")).select(*cols)
     second = ok.where(F.col("pulled_at") >= F.lit("2024-01-10").cast("timestamp_ntz")).select(*cols)
@@ -131,7 +197,7 @@ FROM wev WHERE event_type = 'signup' AND device_id NOT IN (SELECT device_id FROM
 """)
 def snk4_profile_snapshot(spark, sf_dir):
     """Profile snapshots stamped with the pull time, failed devices excluded."""
-    return _batch(spark, sf_dir)["profile"]
+    return _wearable(spark, sf_dir)["profile"]
 
 
 @query("jn1_stage_session", sql=_W + """
@@ -142,12 +208,8 @@ WHERE event_type = 'error' AND device_id NOT IN (SELECT device_id FROM w_failed)
 """)
 def jn1_stage_session(spark, sf_dir):
     """Stages resolved to their loaded parent session (device, session start)."""
-    pts = reuse(points(spark, sf_dir))
-    r = N.readings(pts)
-    sessions = N.sleep_sessions(pts)
-    stages = N.sleep_stages(pts)
-    failed = L.failed_devices(r, sessions, stages)
-    resolved, _ = L.resolve_stages(L.isolate(stages, failed), L.isolate(sessions, failed))
+    b = _wearable(spark, sf_dir)
+    resolved, _ = L.resolve_stages(L.isolate(b["parsed"]["sleep_stages"], b["failed"]), b["sleep_sessions"])
     return resolved.select("device_id", "session_started_at", "started_at", "ended_at", "stage_type")
 
 
@@ -157,23 +219,26 @@ FROM wev WHERE event_type = 'error' AND device_id NOT IN (SELECT device_id FROM
 """)
 def win6_surrogate_key(spark, sf_dir):
     """Sessions keyed by the MD5 of (device_id, started_at): stable across re-pulls."""
-    s = _batch(spark, sf_dir)["sleep_sessions"]
+    s = _wearable(spark, sf_dir)["sleep_sessions"]
     return L.session_ids(s).select("session_id", "device_id", "started_at")
 
 
-@query("jn2_ingest_link", sql=_W + """
-SELECT r.device_id, count(*) AS rows, count(DISTINCT w.ingest_id) AS ingests
-FROM w_readings r JOIN w_raw w ON r.device_id = w.device_id AND r.ingest_id = w.ingest_id
-GROUP BY 1
+@query("jn2_ingest_link", sql=_BOTH + """
+SELECT device_type, device_id, count(*) AS rows, count(DISTINCT ingest_id) AS ingests
+FROM (SELECT 'wearable' AS device_type, device_id, ingest_id FROM w_readings
+      UNION ALL SELECT 'air', device_id, ingest_id FROM arec WHERE ingest_id % 41 <> 0) GROUP BY 1, 2
 """)
 def jn2_ingest_link(spark, sf_dir):
     """Parsed rows linked back to their raw ingest on (device_type, device_id, pulled_at)."""
-    r = readings(spark, sf_dir).drop("ingest_id").withColumn("device_type", F.lit("wearable"))
-    raw = L.with_ingest_id(model.wearable_raw(spark, sf_dir)).select(
-        "device_type", "device_id", "pulled_at", "ingest_id")
-    j = r.join(raw, ["device_type", "device_id", "pulled_at"], "inner")
-    return j.groupBy("device_id").agg(F.count("*").alias("rows"),
-                                      F.count_distinct("ingest_id").alias("ingests"))
+    raw = model.pulls(spark, sf_dir)
+    cols = ["device_id", "pulled_at"]
+    parsed = {t: PARSERS[t](raw.where(F.col("device_type") == t)) for t in PARSERS}
+    rows = reduce(DataFrame.unionByName, [parsed[t][name].select(F.lit(t).alias("device_type"), *cols)
+                                          for t, name in (("wearable", "readings"), ("air", "air_readings"))])
+    ids = L.with_ingest_id(raw).select("device_type", *cols, "ingest_id")
+    j = rows.join(ids, ["device_type", *cols], "inner")
+    return j.groupBy("device_type", "device_id").agg(F.count("*").alias("rows"),
+                                                     F.count_distinct("ingest_id").alias("ingests"))
 
 
 @query("jn10_fk_violations", sql="""
@@ -201,24 +266,26 @@ def jn10_fk_violations(spark, sf_dir):
     return out
 
 
-@query("jn11_expected_vs_stored", sql=_W + """
+@query("jn11_expected_vs_stored", sql=_BOTH + """
 , keys AS (
-  SELECT 'readings' AS table_name, device_id, CAST(struct_pack(data_type, recorded_at, metric, tag) AS VARCHAR) AS key
+  SELECT 'readings' AS table_name, 'wearable' AS device_type, device_id, CAST(struct_pack(data_type, recorded_at, metric, tag) AS VARCHAR) AS key
   FROM w_readings
   UNION ALL
-  SELECT CASE event_type WHEN 'error' THEN 'sleep_sessions' ELSE 'exercise_sessions' END, device_id, CAST(ts AS VARCHAR)
-  FROM wev WHERE event_type IN ('error', 'purchase')
+  SELECT CASE event_type WHEN 'error' THEN 'sleep_sessions' WHEN 'signup' THEN 'profile' ELSE 'exercise_sessions' END, 'wearable', device_id, CAST(ts AS VARCHAR)
+  FROM wev WHERE event_type IN ('error', 'purchase', 'signup')
   UNION ALL
-  SELECT 'sleep_stages', device_id, ts || ' ' || t.s FROM wev, (VALUES (0), (60)) t(s) WHERE event_type = 'error'
+  SELECT 'sleep_stages', 'wearable', device_id, ts || ' ' || t.s FROM wev, (VALUES (0), (60)) t(s) WHERE event_type = 'error'
+  UNION ALL
+  SELECT 'air_readings', 'air', device_id, CAST(ts AS VARCHAR) FROM arec WHERE ingest_id % 41 <> 0
 ), counted AS (
   SELECT table_name, device_id, count(*) AS expected,
-         CASE WHEN device_id IN (SELECT device_id FROM w_failed) THEN 0 ELSE count(DISTINCT key) END AS stored
-  FROM keys GROUP BY 1, 2)
+         CASE WHEN (device_type, device_id) IN (SELECT (device_type, device_id) FROM failed) THEN 0 ELSE count(DISTINCT key) END AS stored
+  FROM keys GROUP BY table_name, device_type, device_id)
 SELECT table_name, device_id, expected, stored, CASE WHEN stored = expected THEN 'equal' ELSE 'less' END AS status
 FROM counted
 """)
 def jn11_expected_vs_stored(spark, sf_dir):
-    """Parser rows vs stored rows per table and device (dedup and failures make 'less')."""
+    """Parser rows vs stored rows per table (all six, both device types) and device (dedup and failures make 'less')."""
     b = _batch(spark, sf_dir)
     stages = b["sleep_stages"].join(L.session_ids(b["sleep_sessions"]).select("session_id", "device_id"), "session_id")
     stored = {**b, "sleep_stages": stages}
@@ -248,18 +315,16 @@ def agg9_point_counts(spark, sf_dir):
     return points(spark, sf_dir).groupBy("data_type").agg(F.count("*").alias("points"))
 
 
-@query("agg18_last_successful_pull", sql=_W + """
-, runs AS (
-  SELECT w.device_type, w.device_id, w.pulled_at AS started_at,
-         CASE WHEN EXISTS (SELECT 1 FROM w_readings r WHERE r.ingest_id = w.ingest_id AND r.error IS NOT NULL)
-              THEN 'failed' ELSE 'success' END AS status
-  FROM w_raw w)
-SELECT device_type, device_id, max(started_at) AS last_success FROM runs WHERE status = 'success' GROUP BY 1, 2
+@query("agg18_last_successful_pull", sql=_BOTH + """
+, bad AS (SELECT ingest_id FROM w_readings WHERE error IS NOT NULL UNION ALL SELECT ingest_id FROM a_raw WHERE broken)
+SELECT device_type, device_id, max(pulled_at) AS last_success FROM raw WHERE ingest_id NOT IN (SELECT ingest_id FROM bad) GROUP BY 1, 2
 """)
 def agg18_last_successful_pull(spark, sf_dir):
     """Each pull is one run; the resume point is the latest successful one."""
-    raw = model.wearable_raw(spark, sf_dir)
-    bad = readings(spark, sf_dir).where(F.col("error").isNotNull()).select("ingest_id").distinct()
+    raw = model.pulls(spark, sf_dir)
+    rows = PARSERS["wearable"](raw.where("device_type = 'wearable'"))["readings"]
+    unread = payloads.payload_errors(raw, "ingest_id")
+    bad = rows.where(F.col("error").isNotNull()).select("ingest_id").unionByName(unread.select("ingest_id")).distinct()
     runs = (raw.join(bad.withColumn("_bad", F.lit(True)), "ingest_id", "left")
             .select("device_type", "device_id", F.col("pulled_at").alias("started_at"),
                     F.when(F.col("_bad"), "failed").otherwise("success").alias("status")))
@@ -294,13 +359,56 @@ def scl7_time_shape(spark, sf_dir):
     return N.normalised_time(points(spark, sf_dir), _TYPES).select("ingest_id", "data_type", "shape", "t_norm")
 
 
-@query("agg5_earliest_per_type", sql=with_(DEVICES, WEV, W_POINTS) + f"""
+@query("agg5_earliest_per_type", sql=with_(DEVICES, WEV, W_POINTS, AEV) + f"""
 SELECT device_id, data_type, min(t_norm) AS earliest, count(*) AS points, count(*) - count(t_norm) AS unparsed
 FROM ({_SHAPES}) GROUP BY 1, 2
+UNION ALL
+SELECT device_id, 'air', min(ts), count(*), 0 FROM arec GROUP BY 1
 """)
 def agg5_earliest_per_type(spark, sf_dir):
-    """Earliest normalised time per (device, data type) over every point, sleep, exercise and unmapped types included;
-    null when none parses, and how many points do not."""
-    return N.normalised_time(points(spark, sf_dir), _TYPES).groupBy("device_id", "data_type").agg(
+    """Earliest normalised time per (device, data type) over every point, sleep, exercise and unmapped types included, and per
+    air sensor over every record; null when none parses, and how many do not."""
+    p = N.normalised_time(points(spark, sf_dir), _TYPES).select("device_id", "data_type", "t_norm")
+    a = air.project(payloads.air_records(model.air_raw(spark, sf_dir)))
+    rows = p.unionByName(a.select("device_id", F.lit("air").alias("data_type"), F.col("recorded_at").alias("t_norm")))
+    return rows.groupBy("device_id", "data_type").agg(
         F.min("t_norm").alias("earliest"), F.count("*").alias("points"),
         (F.count("*") - F.count("t_norm")).alias("unparsed"))
+
+
+# A first load of the pulls before Jan 16, then the pulls of that one day: which days each table has, and which the second load rewrote.
+_DAYS_SQL = _BOTH + """
+, loads AS (SELECT *, CASE WHEN pulled_at < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END AS n FROM raw WHERE pulled_at < TIMESTAMP '2024-01-17')
+, bad AS (
+  SELECT DISTINCT l.n, l.device_type, l.device_id FROM loads l
+  JOIN (SELECT ingest_id FROM w_readings WHERE error IS NOT NULL UNION ALL SELECT ingest_id FROM a_raw WHERE broken) USING (ingest_id))
+, rows_ AS (
+  SELECT 'readings' AS table_name, ingest_id, recorded_at, struct_pack(device_id, data_type, recorded_at, metric, tag)::VARCHAR AS k FROM w_readings
+  UNION ALL SELECT 'air_readings', ingest_id, ts, struct_pack(device_id, ts)::VARCHAR FROM arec WHERE ingest_id % 41 <> 0)
+, ok AS (
+  SELECT r.*, l.n FROM rows_ r JOIN loads l USING (ingest_id)
+  WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.n = l.n AND b.device_type = l.device_type AND b.device_id = l.device_id))
+SELECT table_name, CAST(recorded_at AS DATE) AS day, count(DISTINCT k) AS rows, bool_or(n = 2) AS rewritten FROM ok GROUP BY 1, 2
+"""
+
+
+@query("snk2_touched_days", sql=_DAYS_SQL)
+def snk2_touched_days(spark, sf_dir):
+    """A one-day pull merged into day-partitioned tables: rows per day, and whether the day's files were rewritten."""
+    raw = model.pulls(spark, sf_dir)
+    cut, end = (F.lit(t).cast("timestamp_ntz") for t in ("2024-01-16", "2024-01-17"))
+    out = []
+    listed = {}
+    for part in (F.col("pulled_at") < cut, (F.col("pulled_at") >= cut) & (F.col("pulled_at") < end)):
+        batch = L.load_batch(raw.where(part))
+        for name in ("readings", "air_readings"):
+            path, files = listed.setdefault(name, (_folder(spark, f"days-{name}"), []))
+            merge_days(batch[name], path, L.TABLES[name])
+            table = read_days(spark, path, placed(batch[name], L.TABLES[name]).schema)
+            files.append(materialize(spark, table.select("day", F.col("_metadata.file_path").alias("file")).distinct(), "files"))
+            if len(files) == 2:
+                new = files[1].join(files[0], ["day", "file"], "left_anti").select("day").distinct()
+                rows = table.groupBy("day").agg(F.count("*").alias("rows"))
+                out.append(rows.join(new.withColumn("new", F.lit(True)), "day", "left").select(
+                    F.lit(name).alias("table_name"), "day", "rows", F.coalesce("new", F.lit(False)).alias("rewritten")))
+    return reduce(DataFrame.unionByName, out)

@@ -251,6 +251,13 @@ arec AS (
   FROM aev a, (VALUES (0), (1)) c(copy) WHERE c.copy = 0 OR a.k % 13 = 0
 )"""
 
+# Air pulls as they arrive: those whose id divides by 41 are cut short and fail their device.
+A_RAW = """
+a_raw AS (
+  SELECT DISTINCT ingest_id, 'air' AS device_type, device_id, 'api_auto' AS ingest_method, pulled_at, ingest_id % 41 = 0 AS broken
+  FROM arec
+)"""
+
 AIR_SENSORS = ("aqs, round(pm1, 6) AS pm1, round(pm25, 6) AS pm25, round(pm10, 6) AS pm10, "
                "round(pm_size, 6) AS pm_size, pm05_num, pm1_num, pm10_num, pm25_num, "
                "round(temperature, 6) AS temperature, round(humidity, 6) AS humidity, "

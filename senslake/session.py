@@ -72,16 +72,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def reuse(df):
-    """Persist a DataFrame that feeds several branches of one job (memory,
-    spilling to disk). Lost blocks are recomputed from lineage, so executor
-    loss is survivable; long lineages are cut with :func:`materialize`."""
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def materialize(spark: SparkSession, df, name: str):
-    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back."""
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    For a frame that feeds several branches or long plans: a lost executor
+    repeats no finished work, and nothing stays in executor memory."""
     import uuid
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)

@@ -8,7 +8,7 @@ caller points readers at it (or a catalog with MERGE INTO is used instead).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,26 +19,29 @@ from senslake.operators.joins import maybe_broadcast
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Destination table: name, natural key, partition columns."""
+    """Destination table: name, natural key, partition columns; the time that
+    names a row's day and the buckets per day of a day-partitioned table."""
     name: str
     key: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
     order: tuple[str, ...] = ("pulled_at", "point_pos")
-    no_ingest_id: bool = False
-    extra: dict = field(default_factory=dict)
+    time: str = "recorded_at"
+    buckets: int = 1
+    device_type: str = "wearable"
 
 
 # Destination tables and their natural keys.
 TABLES = {
     "readings": TableSpec("readings", ("device_id", "data_type", "recorded_at", "metric", "tag"),
                           ("data_type",)),
-    "sleep_sessions": TableSpec("sleep_sessions", ("device_id", "started_at")),
-    "exercise_sessions": TableSpec("exercise_sessions", ("device_id", "started_at")),
-    "profile": TableSpec("profile", ("device_id", "recorded_at"), order=("recorded_at",),
-                         no_ingest_id=True),
-    "air_readings": TableSpec("air_readings", ("device_id", "recorded_at")),
+    "sleep_sessions": TableSpec("sleep_sessions", ("device_id", "started_at"), time="started_at"),
+    "exercise_sessions": TableSpec("exercise_sessions", ("device_id", "started_at"), time="started_at"),
+    # The pull time is in a snapshot's key: of two with one key the greater values win, whichever came first.
+    "profile": TableSpec("profile", ("device_id", "recorded_at"),
+                         order=("age", "membership_start_date", "walking_stride_mm", "running_stride_mm")),
+    "air_readings": TableSpec("air_readings", ("device_id", "recorded_at"), device_type="air"),
     "sleep_stages": TableSpec("sleep_stages", ("session_id", "started_at"),
-                              order=("pulled_at", "point_pos", "stage_pos")),
+                              order=("pulled_at", "point_pos", "stage_pos"), time="started_at"),
 }
 
 
@@ -55,9 +58,9 @@ def write_raw(raw: DataFrame, path: str) -> None:
 
 
 def failed_devices(*tables: DataFrame, key: str = "device_id") -> DataFrame:
-    """D13: devices with at least one bad row in any table of the batch,
-    with the first (smallest) error message."""
-    errs = [t.where(F.col("error").isNotNull()).select(key, "error") for t in tables]
+    """D13: devices with at least one bad row in any table of the batch (those with
+    an ``error`` column), with the first (smallest) error message."""
+    errs = [t.where(F.col("error").isNotNull()).select(key, "error") for t in tables if "error" in t.columns]
     u = reduce(lambda a, b: a.unionByName(b), errs)
     return u.groupBy(key).agg(F.min("error").alias("error_message"))
 
@@ -67,8 +70,9 @@ def isolate(table: DataFrame, failed: DataFrame, key: str = "device_id") -> Data
     return table.join(maybe_broadcast(failed.select(key)), key, "left_anti")
 
 
-def latest_per_key(rows: DataFrame, key, order) -> DataFrame:
-    """WIN3 / D1 / D2: one row per natural key, the greatest ``order`` wins.
+def latest_per_key(rows: DataFrame, key, order, versions: str | None = None) -> DataFrame:
+    """WIN3 / D1 / D2: one row per natural key, the greatest ``order`` wins;
+    ``versions`` names a column for the number of rows that had the key.
 
     Keys compare null-safe (grouping puts nulls together). ``max_by`` keeps
     one candidate per group in the aggregation buffer, with map-side
@@ -76,10 +80,11 @@ def latest_per_key(rows: DataFrame, key, order) -> DataFrame:
     """
     key = list(key)
     rest = [c for c in rows.columns if c not in key]
+    count = [F.count("*").alias(versions)] if versions else []
     if not rest:
-        return rows.select(*key).distinct()
+        return rows.groupBy(*key).agg(*count) if count else rows.select(*key).distinct()
     win = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
-    return rows.groupBy(*key).agg(win.alias("_w")).select(*key, "_w.*")
+    return rows.groupBy(*key).agg(win.alias("_w"), *count).select(*key, "_w.*", *([versions] if versions else []))
 
 
 def upsert(target: DataFrame | None, source: DataFrame, key, order) -> DataFrame:
@@ -173,10 +178,12 @@ def resolve_stages(stages: DataFrame, sessions: DataFrame) -> tuple[DataFrame, D
 
 def run_log(batch_devices: DataFrame, failed: DataFrame, started_at: Column | None = None) -> DataFrame:
     """SNK6: one row per (device_type, device_id) of the batch: success or
-    failed with the error message."""
-    out = batch_devices.join(maybe_broadcast(failed), "device_id", "left")
+    failed with the error message. A failure counts for its device type alone
+    where ``failed`` names one."""
+    on = [c for c in ("device_type", "device_id") if c in failed.columns]
+    out = batch_devices.join(maybe_broadcast(failed), on, "left")
     status = F.when(F.col("error_message").isNull(), "success").otherwise("failed")
-    cols = ["device_type", "device_id", status.alias("status"), "error_message"]
+    cols = ["device_type", "device_id", status.alias("status"), "error_message", *[c for c in ("pulled_to",) if c in batch_devices.columns]]
     if started_at is not None:
         cols.append(started_at.alias("started_at"))
     return out.select(*cols)
@@ -203,61 +210,67 @@ def last_successful_pull(runs: DataFrame) -> DataFrame:
             .groupBy("device_type", "device_id").agg(F.max("started_at").alias("last_success")))
 
 
-def load_wearable_batch(spark: SparkSession, raw: DataFrame, tz: DataFrame | None = None) -> dict:
-    """Whole wearable load for one batch: parse, isolate failed devices once,
-    upsert-ready tables, stages resolved to sessions, run log.
+def since_last_success(raw: DataFrame, resume: DataFrame, at: str = "pulled_to") -> DataFrame:
+    """Incremental pull: the rows of ``raw`` after their device's resume point
+    (``resume``: device_type, device_id, ``at``); all rows of a device that never succeeded."""
+    r = resume.select("device_type", "device_id", F.col(at).alias("_since"))
+    j = raw.join(maybe_broadcast(r), ["device_type", "device_id"], "left")
+    return j.where(F.col("_since").isNull() | (F.col("pulled_at") > F.col("_since"))).select(*raw.columns)
+
+
+def load_type(device_type: str, raw: DataFrame, tz: DataFrame | None = None, versions: str | None = None) -> dict:
+    """Load of one device type's pulls in a batch, by its registered parser
+    (EXT1): parse, isolate failed devices once, upsert-ready tables, stages
+    resolved to loaded sessions, run log.
 
     ``raw`` carries a ``timezone`` column, or ``tz`` (device_id, timezone)
-    is joined in (JN6).
+    is joined in (JN6). An unreadable payload or time, or a value that does
+    not cast, fails its device alone. The parser lands what several tables
+    are derived from, and the failed devices are landed: nothing is persisted.
+    ``versions`` as in :func:`latest_per_key`.
     """
-    from senslake.operators import normalize as N
+    from senslake.operators.parsers import PARSERS
+    from senslake.session import materialize
     from senslake.sources import payloads
 
     if "timezone" not in raw.columns:
         raw = raw.join(maybe_broadcast(tz), "device_id", "left")
-    from senslake.session import reuse
-
-    raw = reuse(raw)
-    pts = reuse(payloads.wearable_points(raw))
-    readings = reuse(N.readings(pts))
-    sessions = N.sleep_sessions(pts)
-    stages = N.sleep_stages(pts)
-    exercise = N.exercise_sessions(pts)
-    failed = reuse(failed_devices(payloads.payload_errors(raw), readings, sessions, stages, exercise))
-    ok = lambda t: isolate(t, failed).drop("error")
-    spec = TABLES
-    out = {
-        "readings": latest_per_key(ok(readings), spec["readings"].key, spec["readings"].order),
-        "sleep_sessions": latest_per_key(ok(sessions), spec["sleep_sessions"].key,
-                                         spec["sleep_sessions"].order),
-        "exercise_sessions": latest_per_key(ok(exercise), spec["exercise_sessions"].key,
-                                            spec["exercise_sessions"].order),
-        "profile": isolate(N.profile(payloads.wearable_profile(raw)), failed),
-        "failed": failed,
-        "parsed": {"readings": readings, "sleep_sessions": sessions, "exercise_sessions": exercise,
-                   "sleep_stages": stages},
-        "cached": [raw, pts, readings, failed],
-    }
-    resolved, rejected = resolve_stages(ok(stages), out["sleep_sessions"])
-    out["sleep_stages"] = latest_per_key(resolved.drop("device_id", "session_started_at"),
-                                         spec["sleep_stages"].key, spec["sleep_stages"].order)
-    out["stage_rejects"] = rejected
-    out["run_log"] = run_log(raw.select("device_type", "device_id").distinct(), failed)
-    return out
+    parsed = PARSERS[device_type](raw)
+    failed = failed_devices(payloads.payload_errors(raw), *parsed.values())
+    failed = materialize(raw.sparkSession, failed.select(F.lit(device_type).alias("device_type"), "*"), "failed")
 
+    def loaded(name: str, rows: DataFrame) -> DataFrame:
+        order = [c for c in TABLES[name].order if c in rows.columns]
+        return latest_per_key(rows, TABLES[name].key, order, versions)
 
-def load_air_batch(raw: DataFrame, tz: DataFrame | None = None) -> dict:
-    """Air-sensor load for one batch, isolated per device like the wearable one: an unreadable payload or time, or a
-    value that does not cast, fails its device alone. ``raw`` and ``tz`` as in :func:`load_wearable_batch`."""
-    from senslake.operators import air
-    from senslake.session import reuse
-    from senslake.sources import payloads
+    ok = {name: isolate(t, failed).drop("error") for name, t in parsed.items()}
+    out = {name: loaded(name, t) for name, t in ok.items() if name != "sleep_stages"}
+    if "sleep_stages" in ok:
+        resolved, out["stage_rejects"] = resolve_stages(ok["sleep_stages"], out["sleep_sessions"])
+        out["sleep_stages"] = loaded("sleep_stages", resolved.drop("device_id", "session_started_at"))
+    devices = raw.groupBy(F.lit(device_type).alias("device_type"), "device_id").agg(F.max("pulled_at").alias("pulled_to"))
+    return {**out, "failed": failed, "parsed": parsed, "run_log": run_log(devices, failed)}
 
-    if "timezone" not in raw.columns:
-        raw = raw.join(maybe_broadcast(tz), "device_id", "left")
-    readings = reuse(air.with_location(air.project(payloads.air_records(raw)), keep_axes=False))
-    failed = reuse(failed_devices(payloads.payload_errors(raw), readings))
-    spec = TABLES["air_readings"]
-    return {"air_readings": latest_per_key(isolate(readings, failed).drop("error"), spec.key, spec.order),
-            "failed": failed, "run_log": run_log(raw.select("device_type", "device_id").distinct(), failed),
-            "cached": [readings, failed]}
+
+def load_wearable_batch(spark: SparkSession, raw: DataFrame, tz: DataFrame | None = None) -> dict:
+    """The wearable pulls of one batch (:func:`load_type`)."""
+    return load_type("wearable", raw, tz)
+
+
+def load_air_batch(raw: DataFrame, tz: DataFrame | None = None) -> dict:
+    """The air-sensor pulls of one batch (:func:`load_type`)."""
+    return load_type("air", raw, tz)
+
+
+def load_batch(raw: DataFrame, tz: DataFrame | None = None, versions: str | None = None) -> dict:
+    """Whole load of one batch of pulls: every registered device type by its
+    parser, isolated per (device type, device). ``run_log`` covers all types;
+    ``unrouted`` are the pulls of types without a parser, as they came."""
+    from senslake.operators.parsers import PARSERS
+    types = {t: load_type(t, raw.where(F.col("device_type") == t), tz, versions) for t in PARSERS}
+    out = {name: df for one in types.values() for name, df in one.items()}
+    for name in ("failed", "run_log"):
+        out[name] = reduce(DataFrame.unionByName, [one[name] for one in types.values()])
+    out["parsed"] = {name: df for one in types.values() for name, df in one["parsed"].items()}
+    out["unrouted"] = raw.where(~F.coalesce(F.col("device_type").isin(list(PARSERS)), F.lit(False)))
+    return out

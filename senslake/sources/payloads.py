@@ -102,10 +102,10 @@ def air_records(raw: DataFrame) -> DataFrame:
                       F.when(bad != "", bad).alias("bad_fields"))
 
 
-def payload_errors(raw: DataFrame) -> DataFrame:
-    """(device_id, error): pulls whose payload is no JSON object, or whose ``merged_data`` is no list. They give no
+def payload_errors(raw: DataFrame, key: str = "device_id") -> DataFrame:
+    """(key, error): pulls whose payload is no JSON object, or whose ``merged_data`` is no list. They give no
     rows, so without this their device would look loaded."""
     merged = F.get_json_object("payload", "$.merged_data")
     error = (F.when(F.json_object_keys("payload").isNull(), "payload: not a JSON object")
              .when(merged.isNotNull() & ~F.ltrim(merged).startswith("["), "payload: merged_data is not a list"))
-    return raw.select("device_id", error.alias("error")).where(F.col("error").isNotNull())
+    return raw.select(key, error.alias("error")).where(F.col("error").isNotNull())

@@ -3,7 +3,8 @@
 landing folder (raw ingest files)  --readStream-->
   --foreachBatch-->  parse + per-device isolation + upsert-ready tables
   --> per-table append log partitioned by batch_id (idempotent on replay)
-  --> merge-on-read views: latest row per natural key across batches.
+  --> merge-on-read views: latest row per natural key across batches, or
+      current tables kept by keyed state (``streaming.state``).
 
 Exactly-once: a micro-batch that is re-run after a failure rewrites exactly
 its own ``batch_id`` partition (dynamic partition overwrite), and the source
@@ -19,7 +20,7 @@ from senslake.sinks import load as L
 from senslake.sources.payloads import RAW_SCHEMA
 
 _RAW_STREAM_SCHEMA = RAW_SCHEMA.add("timezone", "string")
-_TABLES = ("readings", "sleep_sessions", "sleep_stages", "exercise_sessions", "profile")
+_TABLES = tuple(L.TABLES)
 
 
 def raw_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
@@ -33,26 +34,25 @@ def raw_stream(spark: SparkSession, landing: str, max_files: int | None = None)
 
 
 def process_batch(out_dir: str):
-    """STR4: the foreachBatch body -- one batch, failures isolated per device."""
+    """STR4: the foreachBatch body -- one batch of pulls of every registered
+    device type, failures isolated per device."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         if batch.isEmpty():
             return
-        # The batch feeds eight writes: persist it so the source is read once.
+        # The batch feeds eight writes: hold it so the source is read once, and let it go whatever happens.
         batch = batch.persist()
-        wear = L.load_wearable_batch(spark, batch.where(F.col("device_type") == "wearable"))
-        air = L.load_air_batch(batch.where(F.col("device_type") == "air"))
-        started = F.current_timestamp().cast("timestamp_ntz")
-        tables = {name: wear[name] for name in _TABLES}
-        tables["air_readings"] = air["air_readings"]
-        tables["run_log"] = wear["run_log"].unionByName(air["run_log"]).withColumn("started_at", started)
-        # Pulls of other device types stay as they landed, for their own loader.
-        tables["unrouted"] = batch.where(~F.coalesce(F.col("device_type").isin("wearable", "air"), F.lit(False)))
-        for name, table in tables.items():
-            (table.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out_dir}/{name}"))
-        for df in (*wear["cached"], *air["cached"], batch):
-            df.unpersist()
+        try:
+            loaded = L.load_batch(batch)
+            started = F.current_timestamp().cast("timestamp_ntz")
+            tables = {name: loaded[name] for name in _TABLES}
+            tables["run_log"] = loaded["run_log"].withColumn("started_at", started)
+            # Pulls of other device types stay as they landed, for their own loader.
+            tables["unrouted"] = loaded["unrouted"]
+            for name, table in tables.items():
+                (table.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out_dir}/{name}"))
+        finally:
+            batch.unpersist()
     return run
 
 
