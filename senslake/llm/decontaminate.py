@@ -19,6 +19,8 @@ BAND, BLOCK_CHARS, PART_CHARS = 64, 2_000_000, 50_000
 #: Shorter items match nothing.
 LEAST = 10
 _FILTER_BITS = 22
+#: Counters of the first count, of shared q-grams per document, item and wide band; pairs that share a counter only pass too often.
+_COUNTERS = 1 << 19
 #: Pairs of a document and a pattern that are counted in one table.
 _PAIRS = 1 << 23
 
@@ -62,8 +64,8 @@ class Patterns:
     """Patterns of some items and the places of their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.chars, self.item = [], []
-        for item, text in items:
+        self.chars, self.item, begin, whole = [], [], [], []
+        for number, (item, text) in enumerate(items):
             raw = np.frombuffer(text.strip().encode(), np.uint8)
             c, _, _ = normal(raw, np.array([0, len(raw)]))
             spans = set()
@@ -73,16 +75,33 @@ class Patterns:
             if len(c) >= LEAST:
                 self.chars += [c[a:b] for a, b in sorted(spans)]
                 self.item += [item] * len(spans)
+                begin += [(number, a) for a, _ in sorted(spans)]
+            whole.append(c)
         self.size = np.array([len(c) for c in self.chars], np.int64)
         self.edits = np.array([budget(m) for m in self.size.tolist()], np.int64)
         self.need = self.size + 1 - Q * (self.edits + 1)
-        h = [grams(c) for c in self.chars]
+        # The index holds each place of each item once; the patterns over a place are looked up for the few that matter.
+        sizes = np.array([len(c) for c in whole], np.int64)
+        base = np.cumsum(sizes) - sizes
+        number, self.begin = np.array(begin, np.int64).reshape(-1, 2).T
+        n = np.maximum(self.size - Q + 1, 0)
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        over = np.repeat(base[number] + self.begin, n) + at if len(n) else at
+        by = np.argsort(over, kind="stable")
+        self.over_pattern, self.over_at = np.repeat(np.arange(len(n)), n)[by], at[by]
+        self.over_first = np.searchsorted(over[by], np.arange(int(sizes.sum()) + 1))
+        least = np.full(len(whole), np.iinfo(np.int64).max // 2)
+        np.minimum.at(least, number, np.maximum(self.need, 1))
+        h = [grams(c) for c in whole]
         g = np.concatenate([np.zeros(0, np.uint64), *h])
+        item = np.repeat(np.arange(len(h)), [len(x) for x in h]) if h else np.zeros(0, np.int64)
+        pos = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in h)])
         order = np.argsort(g, kind="stable")
+        order = order[np.diff(self.over_first)[(base[item] + pos)[order]] > 0] if len(order) else order
         self.gram, self.first = np.unique(g[order], return_index=True)
-        self.first = np.append(self.first, len(g))
-        self.pattern = np.repeat(np.arange(len(h)), [len(x) for x in h])[order] if h else np.zeros(0, np.int64)
-        self.at = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in h)])[order]
+        self.first = np.append(self.first, len(order))
+        self.of, self.pos, self.place, self.least = item[order], pos[order], (base[item] + pos)[order] if len(order) else order, least
+        self.wide = BAND + int(self.edits.max(initial=0))
         self.bits = np.zeros(1 << _FILTER_BITS, bool)
         self.bits[(self.gram >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
@@ -98,7 +117,27 @@ class Patterns:
         t, at, doc = t[ok], at[ok], doc[ok]
         n = self.first[at + 1] - self.first[at]
         k = np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.repeat(doc, n), self.pattern[k], np.repeat(t - offs[doc], n) - self.at[k], self.at[k]
+        doc, t = np.repeat(doc, n), np.repeat(t - offs[doc], n)
+        keep = self._crowded(doc, self.of[k], t - self.pos[k])
+        doc, t, place = doc[keep], t[keep], self.place[k[keep]]
+        n = self.over_first[place + 1] - self.over_first[place]
+        k = np.repeat(self.over_first[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.repeat(doc, n), self.over_pattern[k], np.repeat(t, n) - self.over_at[k], self.over_at[k]
+
+    def _crowded(self, doc: np.ndarray, item: np.ndarray, diag: np.ndarray) -> np.ndarray:
+        """Hits that may be among the q-grams of a match: a match's diagonals lie in two neighbouring wide bands, which then hold as many
+        hits as the item's least demanding pattern asks for. Counters are shared by hash, so they never fall below the counts."""
+        band = np.floor_divide(diag, self.wide)
+        pair = mix((doc * len(self.least) + item).astype(np.uint64))
+        k2, mask = np.uint64(0x9E3779B97F4A7C15), np.uint64(_COUNTERS - 1)
+
+        def slot(b):
+            h = pair + b.astype(np.uint64) * k2
+            return ((h ^ (h >> np.uint64(29))) & mask).astype(np.int64)
+        here = slot(band)
+        count = np.bincount(here, minlength=_COUNTERS)
+        beside = np.maximum(count[slot(band - 1)], count[slot(band + 1)])
+        return np.flatnonzero(count[here] + beside >= self.least[item])
 
 
 def align(pattern: np.ndarray, text: np.ndarray, k: int) -> list[tuple[int, int, int]]:
