@@ -11,15 +11,16 @@ from senslake.registry import AIR_REGISTRY
 SENSOR_COLUMNS = [name for name, _, _ in AIR_REGISTRY.values()]
 
 
-def project(records: DataFrame, tz: str = "timezone") -> DataFrame:
+def project(records: DataFrame, tz: str = "timezone", keep: tuple[str, ...] = ()) -> DataFrame:
     """PRJ20: registry rename/project; missing keys -> null; time parsed
     (offset honoured, offset-less localised with the device zone). ``error``:
-    a value that does not cast, or no readable time (the key may not be null)."""
+    a value that does not cast, or no readable time (the key may not be null).
+    ``keep`` names further columns of ``records`` to carry."""
     cols = [F.col(raw).cast(typ).alias(name) if raw in records.columns
             else F.lit(None).cast(typ).alias(name)
             for raw, (name, typ, _) in AIR_REGISTRY.items()]
     tz_c = F.col(tz) if tz in records.columns else F.lit(None).cast("string")
-    keep = [c for c in ("ingest_id", "pulled_at", "point_pos") if c in records.columns]
+    keep = [c for c in ("ingest_id", "pulled_at", "point_pos", *keep) if c in records.columns]
     time = recorded_at(F.col("date"), tz_c)
     error = F.when(time.isNull(), F.concat(F.lit("unreadable time: "), F.coalesce("date", F.lit("none"))))
     if "bad_fields" in records.columns:

@@ -20,9 +20,9 @@ def global_range(long_df: DataFrame, keys=("df", "device_id", "column"),
     Rows with a null datetime are dropped first; all-null columns produce no
     row (a group only exists when it has a value); null keys are a group.
     Quantiles are exact with linear interpolation, by one aggregate.
-    ``method='distributed'`` is the caller's choice for groups with too many
-    distinct values for one buffer: it spreads every group's ranks over tasks
-    (:func:`senslake.operators.quantile.exact_quantiles`), with equal results.
+    ``method='bracket'`` is the caller's choice for groups with too many
+    distinct values for one buffer: two more passes, and no buffer of a
+    group's size (:mod:`senslake.operators.brackets`), with equal results.
     """
     keys = list(keys)
     v = F.col("value")
@@ -35,15 +35,11 @@ def global_range(long_df: DataFrame, keys=("df", "device_id", "column"),
                 .select(*keys, "n", "min", F.col("_q")[0].alias("q25"),
                         F.col("_q")[1].alias("median"), "mean",
                         F.col("_q")[2].alias("q75"), "max"))
-    if method != "distributed":
+    if method != "bracket":
         raise ValueError(f"unknown method {method!r}")
-    from senslake.operators.joins import join_null_safe
-    from senslake.operators.quantile import exact_quantiles
-    qs = exact_quantiles(clean, keys, "value", [0.25, 0.5, 0.75], ["q25", "median", "q75"])
-    basic = clean.groupBy(*keys).agg(F.count(v).alias("n"), F.min(v).alias("min"),
-                                     F.avg(v).alias("mean"), F.max(v).alias("max"))
-    return (join_null_safe(basic, qs.drop("n"), keys, "inner")
-            .select(*keys, "n", "min", "q25", "median", "mean", "q75", "max"))
+    from senslake.operators.brackets import exact_quantiles
+    out = exact_quantiles(clean, keys, "value", [0.25, 0.5, 0.75], ["q25", "median", "q75"])
+    return out.select(*keys, "n", "min", "q25", "median", "mean", "q75", "max")
 
 
 def loss_report(present_long: DataFrame, table_rows: DataFrame,

@@ -68,14 +68,11 @@ SELECT 'either_axis_zero',
 def flt2_valid_coordinates(spark, sf_dir):
     """Rows kept by the coordinate filter: only exact (0,0) rejected
     (documented rule) vs any zero axis rejected (stricter rule)."""
-    r = air.project(records(spark, sf_dir)).cache()
+    r = air.project(records(spark, sf_dir))
     lat, lon = F.col("latitude"), F.col("longitude")
-    out = None
-    for rule, strict in [("documented", False), ("either_axis_zero", True)]:
-        c = r.agg(F.count(F.when(valid_coordinates(lat, lon, strict), 1)).alias("valid"),
-                  F.count("*").alias("rows")).select(F.lit(rule).alias("rule"), "valid", "rows")
-        out = c if out is None else out.unionByName(c)
-    return out
+    rules = {"documented": False, "either_axis_zero": True}
+    one = r.agg(F.count("*").alias("rows"), *[F.count(F.when(valid_coordinates(lat, lon, strict), 1)).alias(rule) for rule, strict in rules.items()])
+    return one.selectExpr("stack(2, 'documented', documented, 'either_axis_zero', either_axis_zero) AS (rule, valid)", "rows")
 
 
 @query("scl2_local_to_utc", sql=_A + """
@@ -85,9 +82,7 @@ def scl2_local_to_utc(spark, sf_dir):
     """Offset-less local times localised with the device zone, then UTC."""
     rec = records(spark, sf_dir)
     local = rec.where(~F.col("date").rlike(r"(Z|[+-]\d{2}:?\d{2})$"))
-    return air.project(local).join(
-        rec.select("ingest_id", "point_pos", "timezone"), ["ingest_id", "point_pos"]) \
-        .select("device_id", "timezone", "recorded_at")
+    return air.project(local, keep=("timezone",)).select("device_id", "timezone", "recorded_at")
 
 
 @query("jn5_mac_device_map", sql=_A + """

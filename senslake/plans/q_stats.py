@@ -219,7 +219,8 @@ SELECT 'subset', count(*) FROM wide WHERE click IS NOT NULL AND "view" IS NOT NU
 def flt6_dropna(spark, sf_dir):
     """Rows kept by dropna(how='any' / 'all' / subset) on the hourly wide frame."""
     from senslake.operators.filters import drop_nulls
-    wide = model.hourly_wide(spark, sf_dir).cache()
+    from senslake.session import materialize
+    wide = materialize(spark, model.hourly_wide(spark, sf_dir), "hourly-wide")
     cols = model.EVENT_TYPES
     parts = [drop_nulls(wide, "any", cols).agg(F.count("*").alias("rows_kept"))
              .select(F.lit("any").alias("how"), "rows_kept"),
@@ -241,11 +242,23 @@ FROM hourly_long GROUP BY 1, 2
 """)
 def jn3_timeline_merge(spark, sf_dir):
     """Outer merge of each device's five hourly tables on datetime."""
-    from senslake.operators.joins import merge_on_time
-    h = model.hourly_long(spark, sf_dir)
-    tables = {t: h.where(F.col("column") == t).select("device_id", "datetime", F.col("value").alias(t))
-              for t in model.EVENT_TYPES}
-    return rounded(merge_on_time(tables, keys=("device_id",), how="outer"))
+    from senslake.operators.joins import merge_long
+    # Dealt by (device, hour) first: the hourly means and the merge share that one exchange.
+    e = model.readings(spark, sf_dir).select(F.col("device_id").cast("string").alias("device_id"), F.date_trunc("hour", "recorded_at").cast("timestamp_ntz").alias("datetime"),
+                                             F.col("data_type").alias("column"), "value").repartition("device_id", "datetime")
+    hourly = e.groupBy("device_id", "datetime", "column").agg(F.avg("value").alias("value"))
+    return rounded(merge_long(hourly, model.EVENT_TYPES, keys=("device_id",)))
+
+
+@query("agg2_bracketed_range", sql=with_(ANALYSIS_LONG) + """
+SELECT "column", count(value) AS n, round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q25,
+       round(quantile_cont(value, 0.5), 6) AS median, round(avg(value), 6) AS mean,
+       round(quantile_cont(value, 0.75), 6) AS q75, round(max(value), 6) AS max
+FROM analysis_long WHERE datetime IS NOT NULL AND value IS NOT NULL AND NOT isnan(value) GROUP BY 1
+""")
+def agg2_bracketed_range(spark, sf_dir):
+    """Distribution per column over all tables and devices: two huge groups, their quantiles by bracketing."""
+    return rounded(stats.global_range(model.analysis_long(spark, sf_dir), keys=("column",), method="bracket"))
 
 
 @query("agg1_loss_report_union", sql=with_(HOURLY_LONG) + """

@@ -158,9 +158,7 @@ GROUP BY 1, 2
 """)
 def flt5_half_open_windows(spark, sf_dir):
     """Readings per pull chunk under the half-open window start <= t < end + 1 day."""
-    c = _chunks(spark, sf_dir).select(F.col("device_id").alias("_d"), "chunk_start", "chunk_end")
+    c = _chunks(spark, sf_dir).select("device_id", "chunk_start", F.date_add("chunk_end", 1).alias("chunk_until"))
     r = model.readings(spark, sf_dir).select("device_id", "recorded_at")
-    lo = F.col("chunk_start").cast("timestamp_ntz")
-    hi = F.date_add("chunk_end", 1).cast("timestamp_ntz")
-    j = r.join(c, (r.device_id == c._d) & (r.recorded_at >= lo) & (r.recorded_at < hi))
+    j = interval_join(r, c, start="chunk_start", until="chunk_until")
     return j.groupBy("device_id", "chunk_start").agg(F.count("*").alias("readings"))

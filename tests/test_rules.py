@@ -130,3 +130,34 @@ def test_csv_header_anywhere_and_rejects(spark):
     rows = C.to_records(C.split_rows(lines), keep=("date_idx",)).collect()
     assert [(r.file_name, r.date_idx, str(r.recorded_at)) for r in rows] == [("a.csv", 2, "2026-07-09 10:00:00")]
     assert [tuple(r) for r in C.rejected_files(lines).collect()] == [("b.csv", "no date header")]
+
+
+def test_merges_of_many_tables_are_one_exchange(spark):
+    rows = lambda name, data: spark.createDataFrame(data, f"device long, datetime timestamp_ntz, {name} int, same int")
+    t = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    tables = {"a": rows("a", [(1, t[0], 1, 0), (1, t[0], 2, 0), (1, None, 3, 0), (2, t[2], None, None)]), "b": rows("b", [(1, t[0], 4, 1), (1, t[0], 5, 1), (1, None, 6, 1)]),
+              "c": rows("c", [(1, t[0], 7, 2), (1, t[1], 8, 2), (None, t[1], 9, 2)])}
+    for how in ("outer", "left", "inner"):
+        out = joins.merge_on_time(tables, keys=("device",), how=how)
+        frames = [f.withColumnRenamed("same", f"same_{n}") for n, f in tables.items()]
+        want = joins.join_null_safe(joins.join_null_safe(frames[0], frames[1], ["device", "datetime"], how), frames[2], ["device", "datetime"], how)
+        assert sorted(map(str, out.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    long = spark.createDataFrame([(1, t[0], "a", 1.0), (1, t[0], "a", None), (1, t[0], "b", 3.0), (1, t[1], "z", 1.0)], "device long, datetime timestamp_ntz, column string, value double")
+    assert sorted(map(str, joins.merge_long(long, ["a", "b"], keys=("device",)).collect())) == sorted(
+        f"Row(device=1, datetime={t[0]!r}, a={a}, b=3.0)" for a in (1.0, None))
+
+
+def test_interval_join_gives_each_pair_once_whatever_the_cell(spark):
+    import random
+    rng = random.Random(4)
+    day = lambda n: dt.date(2023, 12, 25) + dt.timedelta(days=n)
+    reads = [(rng.randrange(3), None if i == 9 else dt.datetime(2024, 1, 1) + dt.timedelta(hours=rng.randrange(900)), i) for i in range(150)]
+    periods = [(rng.randrange(3), day(a), None if a % 3 == 0 else day(a + rng.randrange(-2, 40)), a) for a in range(-400, 60, 9)] + [(1, None, day(9), 999)]
+    r = spark.createDataFrame(reads, "device_id long, recorded_at timestamp_ntz, n int")
+    p = spark.createDataFrame(periods, "device_id long, assigned_from date, assigned_until date, m int")
+    want = sorted((n, m) for d, t, n in reads for e, a, b, m in periods if t and d == e and a and a <= t.date() and (b is None or t.date() < b))
+    for cell in (1, 7, 400):
+        assert sorted((x.n, x.m) for x in joins.interval_join(r, p, cell_days=cell).collect()) == want
+    left = joins.interval_join(r, p, how="left").collect()
+    assert len(left) == len(want) + 150 - len({n for n, _ in want}) and joins.interval_join(r.limit(0), p).count() == 0

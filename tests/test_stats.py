@@ -93,6 +93,6 @@ def test_loss_report_has_a_row_for_a_column_without_values(spark):
 
 def test_global_range_keeps_null_key_groups(spark):
     df = spark.createDataFrame([(None, dt.datetime(2024, 1, 1), 1.0), (None, dt.datetime(2024, 1, 2), 3.0)], "device_id string, datetime timestamp_ntz, value double")
-    for method in ("percentile", "distributed"):
+    for method in ("percentile", "bracket"):
         r = stats.global_range(df, keys=("device_id",), method=method).collect()
         assert len(r) == 1 and r[0].n == 2 and r[0].median == 2.0
