@@ -15,8 +15,10 @@ from .words import span_hash
 EXAMPLES = 8000
 #: Terms enter the vocabulary if this many examples hold them, with this chi-square against the label.
 LEAST_DF, CHI2 = 3, 12.0
-#: Neighbours that vote, and examples per index block.
-K, CELL = 15, 64
+#: Neighbours that vote, examples per index block, and blocks of examples that are scored before the others are bounded.
+K, CELL, FIRST = 15, 64, 16
+#: A term that one example in so many holds is common.
+COMMON = 24
 
 
 def terms(block: Block):
@@ -62,7 +64,8 @@ def _frequencies(shared):
 
 
 class Index:
-    """Inverted index whose postings are cut into blocks of ``CELL`` example numbers, each with its largest weight."""
+    """Inverted index whose postings are cut into blocks of ``CELL`` example numbers, each with its largest weight. Terms that one
+    example in ``COMMON`` holds have a row of weights instead."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(vectors)
@@ -70,6 +73,12 @@ class Index:
         term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)])
         example = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
         weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
+        df = np.bincount(term.astype(np.int64), minlength=n_terms)
+        self.row = np.where(df * COMMON >= max(self.n, 1), np.cumsum(df * COMMON >= max(self.n, 1)) - 1, -1)
+        self.rows = np.zeros((int(self.row.max(initial=-1)) + 1, self.cells * CELL))
+        many = self.row[term.astype(np.int64)] >= 0
+        self.rows[self.row[term[many].astype(np.int64)], example[many]] = weight[many]
+        term, example, weight = term[~many], example[~many], weight[~many]
         order = np.lexsort((example, term))
         self.term, self.example, self.weight = term[order], example[order], weight[order]
         key = self.term * self.cells + self.example // CELL
@@ -82,40 +91,42 @@ class Index:
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of largest positive cosine (ties: smallest number), exactly.
 
-        Cells are scored in falling order of their upper bound, the sum of the query's weights times block maxima, until
-        no unscored cell can reach the k-th best."""
-        lo, n = self.term_from[t], self.term_from[t + 1] - self.term_from[t]
-        total = int(n.sum())
-        if not total:
+        A cell's upper bound is the sum of the query's weights times block maxima. The cells of the largest bounds are scored
+        first; then, at once, all others whose bound reaches the k-th best so far. No other cell can hold one of the k."""
+        if not len(t):
             return np.zeros(0, np.int64), np.zeros(0)
-        b = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(total)
-        q = np.repeat(w, n)
-        bound = np.bincount(self.block_cell[b], q * self.block_max[b], self.cells)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        ids, scores, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 16
-        while done < len(order):
-            if len(scores) >= k and bound[order[done]] * (1 + 1e-12) < scores[k - 1]:
-                break
-            cells = order[done:done + step]
-            done, step = done + step, step * 4
-            mark = np.zeros(self.cells, bool)
-            mark[cells] = True
-            use = mark[self.block_cell[b]]
-            bb, qq = b[use], q[use]
-            m = self.block_from[bb + 1] - self.block_from[bb]
-            p = np.repeat(self.block_from[bb] - (np.cumsum(m) - m), m) + np.arange(m.sum())
-            s = np.bincount(self.example[p], np.repeat(qq, m) * self.weight[p], self.n)
-            if skip >= 0:
-                s[skip] = 0
-            new = np.flatnonzero(s > 0)
-            ids, scores = np.concatenate([ids, new]), np.concatenate([scores, s[new]])
-            if len(ids) > k:  # all that tie with the k-th best stay until they are ordered
-                top = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
-                ids, scores = ids[top], scores[top]
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
-        return ids, scores
+        row = self.row[t]
+        base = w[row >= 0] @ self.rows[row[row >= 0]]
+        t, w = t[row < 0], w[row < 0]
+        lo, n = self.term_from[t], self.term_from[t + 1] - self.term_from[t]
+        b = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        q, cell = np.repeat(w, n), self.block_cell[b]
+        bound = base.reshape(-1, CELL).max(axis=1) + np.bincount(cell, q * self.block_max[b], self.cells)
+        first = np.zeros(self.cells, bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        ids, scores = self._score(base, b, q, cell, first, skip)
+        least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else 0.0
+        more_ids, more = self._score(base, b, q, cell, ~first & (bound * (1 + 1e-12) >= least), skip)
+        ids, scores = np.concatenate([ids, more_ids]), np.concatenate([scores, more])
+        if len(ids) > k:  # all that tie with the k-th best stay until they are ordered
+            top = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+            ids, scores = ids[top], scores[top]
+        best = np.lexsort((ids, -scores))[:k]
+        return ids[best], scores[best]
+
+    def _score(self, base: np.ndarray, b: np.ndarray, q: np.ndarray, cell: np.ndarray, cells: np.ndarray, skip: int) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of positive cosine in the chosen cells, with their cosines: the common terms' part ``base``, and the others' postings."""
+        use = cells[cell]
+        b, q = b[use], q[use]
+        m = self.block_from[b + 1] - self.block_from[b]
+        p = np.repeat(self.block_from[b] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+        s = np.where(np.repeat(cells, CELL), base, 0.0)
+        if len(p):
+            s += np.bincount(self.example[p], np.repeat(q, m) * self.weight[p], len(s))
+        if skip >= 0:
+            s[skip] = 0
+        ids = np.flatnonzero(s > 0)
+        return ids, s[ids]
 
 
 def vector(t: np.ndarray, c: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -178,6 +189,10 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> dict |
         ok = at < len(vocab)
         ok[ok] = vocab[at[ok]] == tt[ok]
         vectors.append((at[ok], vector(at[ok], ct[ok], idf)))
+    # Examples that share their commonest terms are neighbours in the index: fewer blocks, tighter bounds.
+    common = np.bincount(np.concatenate([a for a, _ in vectors]), minlength=len(vocab))
+    by = sorted(range(len(vectors)), key=lambda i: (a := vectors[i][0])[np.argsort(-common[a], kind="stable")[:12]].tolist())
+    got, y, weight, vectors = [got[i] for i in by], y[by], weight[by], [vectors[i] for i in by]
     index = Index(vectors, len(vocab))
     x = np.array([vote(cos, y[ids]) for ids, cos in (index.nearest(a, w, K, skip=i) for i, (a, w) in enumerate(vectors))])
     return {"vocab": vocab, "idf": idf, "index": index, "label": y, "ids": np.array([r["doc_id"] for r in got]), "b": calibrate(x, y, weight)}
