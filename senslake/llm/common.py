@@ -104,6 +104,21 @@ def id_array(block: Block, name: str = "doc_id") -> pa.Array:
     return column(block, name)
 
 
-def hash_share(col, n: int, seed: int = 0):
-    """True for about ``n`` in a million rows, by a stable hash of ``col``."""
-    return F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(1_000_000)) < F.lit(int(n))
+def row_hash(seed: int):
+    """A hash of (doc_id, text): different rows of one id differ, repeats of a row are alike."""
+    return F.xxhash64("doc_id", "text", F.lit(seed))
+
+
+def sample_rows(rows: DataFrame, n: int, seed: int) -> DataFrame:
+    """The ``n`` distinct rows (doc_id, text) of least hash, or all if fewer: never more, whatever ids or rows repeat.
+
+    The threshold comes from the hashes of about 8 n rows; of all rows only where repeats leave fewer than ``n`` distinct ones there."""
+    h, total = row_hash(seed), rows.count()
+    for share in sorted({min(1.0, 8 * n / max(total, 1)), 1.0}):
+        least = rows.select(h.alias("h")).where(F.col("h") <= F.lit(min(int(share * (1 << 64)), (1 << 64) - 1) - (1 << 63))).distinct().orderBy("h").limit(n)
+        found, top = least.agg(F.count("*"), F.max("h")).first()
+        if found == n:
+            break
+    if top is None:
+        return rows.limit(0)
+    return rows.withColumn("_h", h).where(F.col("_h") <= F.lit(top)).dropDuplicates(["_h"]).drop("_h")

@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 #: Turns per part of a dialogue: a conversation of any length is rendered in bounded pieces.
 PART = 64
 END = "\n<|end|>"
+#: What names may not hold, percent-encoded (the percent sign first).
+_NAME = {"%": "%25", "<": "%3C", ">": "%3E", "|": "%7C", "\n": "%0A", "\r": "%0D"}
+
+
+def _name(col):
+    """A participant's name as it stands in a marker."""
+    for a, b in _NAME.items():
+        col = F.replace(col, F.lit(a), F.lit(b))
+    return col
 
 
 def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", part: int = PART) -> DataFrame:
@@ -18,20 +27,23 @@ def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     assistant's messages with their end marks. Messages run by (turn, role, text); part ``p`` holds turns ``part * p`` up to
     ``part * (p + 1) - 1``, so normal conversations are one row per perspective and no group is longer than a part.
 
-    ``system`` and unnamed speakers (null role: ``unknown``) have no perspective; conversations of them alone give no row. Null text is empty. A null turn
+    Neither texts nor names can forge a marker: ``<|`` in a text becomes ``<\\|``, and the characters % < > | and line ends of a name are percent-encoded
+    (the column ``perspective`` keeps the name as it is). ``system`` and unnamed speakers (null role, rendered as ``<|user|>``) have no perspective;
+    conversations of them alone give no row. Null text is empty. A null turn
     comes first, in part -1. A null conversation id groups nothing: each such row is a conversation of its own. Rows that repeat a
     message entirely are rendered as often as they come, counted before any shuffle of texts. Extra columns are ignored; an empty table gives an empty result.
     Built-in functions only."""
-    base = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("speaker"),
-                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("message"))
+    base = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("speaker"),
+                        F.replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit("<|"), F.lit("<\\|")).alias("message"))
     key = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))
     m = (base.select("*", key.alias("own")).groupBy("conv_id", "own", "turn", "speaker", "message").agg(F.count("*").cast("int").alias("n"))
          .withColumn("part", F.coalesce(F.floor(F.col("turn") / part), F.lit(-1))))
-    who = (m.where("speaker not in ('system', 'unknown')")
+    who = (m.where("speaker <> 'system'")
            .select(F.col("conv_id").alias("c"), F.col("own").alias("o"), F.col("speaker").alias("perspective")).distinct())
     both = m.join(who, m["conv_id"].eqNullSafe(who["c"]) & (m["own"] == who["o"]))
-    mine = F.col("speaker") == F.col("perspective")
-    head = F.when(mine, F.lit("<|assistant|>\n")).when(F.col("speaker") == "system", F.lit("<|system|>\n")).otherwise(F.concat(F.lit("<|user name="), F.col("speaker"), F.lit("|>\n")))
+    mine = F.col("speaker").eqNullSafe(F.col("perspective"))
+    head = (F.when(mine, F.lit("<|assistant|>\n")).when(F.col("speaker") == "system", F.lit("<|system|>\n")).when(F.col("speaker").isNull(), F.lit("<|user|>\n"))
+            .otherwise(F.concat(F.lit("<|user name="), _name(F.col("speaker")), F.lit("|>\n"))))
     seg = both.select("conv_id", "own", "perspective", "part", "turn", "speaker", "message", "n", mine.alias("mine"), head.alias("head"),
                       F.concat(head, F.col("message"), F.lit(END + "\n")).alias("one"))
     w = Window.partitionBy("conv_id", "own", "perspective", "part").orderBy(F.col("turn").asc_nulls_first(), "speaker", "message")
@@ -51,14 +63,15 @@ def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = r"""
 WITH m AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS message, coalesce(floor(turn / 64)::BIGINT, -1) AS part,
+  SELECT conv_id, turn, role AS speaker, replace(coalesce(text, ''), '<|', '<\|') AS message, coalesce(floor(turn / 64)::BIGINT, -1) AS part,
          CASE WHEN conv_id IS NULL THEN row_number() OVER () ELSE -1 END AS own
   FROM conversations),
-who AS (SELECT DISTINCT conv_id, own, speaker AS perspective FROM m WHERE speaker NOT IN ('system', 'unknown')),
+who AS (SELECT DISTINCT conv_id, own, speaker AS perspective FROM m WHERE speaker <> 'system'),
 s AS (
-  SELECT m.*, perspective, speaker = perspective AS mine,
-         CASE WHEN speaker = perspective THEN '<|assistant|>' || chr(10) WHEN speaker = 'system' THEN '<|system|>' || chr(10)
-              ELSE '<|user name=' || speaker || '|>' || chr(10) END AS head
+  SELECT m.*, perspective, coalesce(speaker = perspective, false) AS mine,
+         CASE WHEN speaker = perspective THEN '<|assistant|>' || chr(10) WHEN speaker = 'system' THEN '<|system|>' || chr(10) WHEN speaker IS NULL THEN '<|user|>' || chr(10)
+              ELSE '<|user name=' || replace(replace(replace(replace(replace(replace(speaker, '%', '%25'), '<', '%3C'), '>', '%3E'), '|', '%7C'), chr(10), '%0A'), chr(13), '%0D')
+                || '|>' || chr(10) END AS head
   FROM m JOIN who ON m.conv_id IS NOT DISTINCT FROM who.conv_id AND m.own = who.own),
 t AS (SELECT *, head || message || chr(10) || '<|end|>' || chr(10) AS one FROM s),
 r AS (

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Block, blocks, documents, id_array, land
+from .common import Block, blocks, documents, id_array, land, row_hash
 from .words import HEAD, mix
 
 #: Hashed buckets of character 2- and 3-grams.
@@ -100,15 +100,17 @@ def fit(train: DataFrame, sample: int = SAMPLE) -> dict | None:
     if not sizes:
         return None
     langs = sorted(sizes)
-    h = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 40))
-    share = F.create_map(*[x for g in langs for x in (F.lit(g), F.lit(int(min(1.0, sample / len(langs) / sizes[g]) * (1 << 40))))])
+    h, quota = F.pmod(row_hash(6), F.lit(1 << 40)), -(-sample // len(langs))
+    share = F.create_map(*[x for g in langs for x in (F.lit(g), F.lit(int(min(1.0, (1.3 * quota + 50) / sizes[g]) * (1 << 40))))])
     picked = train.select("text", "lang", F.when(h < share[F.col("lang")], h).alias("picked"))
     out = land(picked.mapInArrow(_learn, "n long, lang string, pick long, at binary, c binary"), "lang-sample")
     df, n = np.zeros(BUCKETS), 0
     for r in out.where("lang is null").toLocalIterator():  # a row per task
         df, n = df + np.frombuffer(r["c"], np.int64), n + r["n"]
     idf = np.log((1 + n) / (1 + df)) + 1
-    got = out.where("lang is not null").collect()
+    # Repeats of a row count once, and each language has its quota at most.
+    once = out.where("lang is not null").dropDuplicates(["pick", "lang"])
+    got = once.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("pick"))).where(F.col("place") <= quota).collect()
     got.sort(key=lambda r: (r["pick"], r["lang"], r["at"], r["c"]))
     rows = []
     for r in got:

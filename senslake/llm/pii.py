@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Block, blocks, documents, id_array, id_text
+from .common import Block, blocks, documents, id_array, id_text, sample_rows
 
 #: Kinds in the order of the span list; the last is found by the trees alone.
 KINDS = ("email", "ip", "card", "phone", "secret")
-#: The trees are fitted on documents chosen by a hash (expected number), at most so many candidates of each.
+#: The trees are fitted on so many different documents at most, chosen by a hash, and so many candidates of each.
 SAMPLE_DOCS, SAMPLE_EACH = 20_000, 40
 TREES, DEPTH, BINS, RATE, RIDGE = 40, 3, 16, 0.3, 1.0
 #: A split leaves this much weight (sum of p (1 - p)) on either side.
@@ -90,7 +90,7 @@ def candidates(text: str, base: list[list[tuple[int, int]]]):
     for number, (kind, pattern) in enumerate(_GENERATORS):
         for m in pattern.finditer(text):
             a, b = m.span()
-            before, s = text[max(0, a - 24):a], m.group()[:256]
+            before, s = text[max(0, a - 24):a], m.group()
             if kind == "secret" and not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)):
                 continue
             i = int(np.searchsorted(starts, b)) if covered else 0
@@ -204,11 +204,8 @@ def _training(batches):
 
 
 def fit(rows: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Boosted | None:
-    """Trees fitted on candidates of about ``sample_docs`` documents; None if they show one class only."""
-    n = rows.count()
-    share = min(1.0, sample_docs / max(n, 1))
-    picked = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
-    got = picked.mapInArrow(_training, "x array<double>, y boolean").collect()
+    """Trees fitted on candidates of ``sample_docs`` different documents at most; None if they show one class only."""
+    got = sample_rows(rows, sample_docs, 3).mapInArrow(_training, "x array<double>, y boolean").collect()
     x, y = np.array([r["x"] for r in got]), np.array([r["y"] for r in got], float)
     if len(y) < 50 or not 0 < y.sum() < len(y):
         return None

@@ -161,8 +161,9 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> dict |
     rate = {y: min(1.0, examples / 2 / sizes[y]) for y in sizes}
     h = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 40))
     chosen = labels.where(F.when(F.col("toxic") == 1, h < int(rate.get(1, 0) * (1 << 40))).otherwise(h < int(rate.get(0, 0) * (1 << 40))))
-    # about EXAMPLES rows of two numbers: a broadcast of bounded size
-    got = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").mapInArrow(_gather, "doc_id long, toxic int, t binary, c binary").collect()
+    # about EXAMPLES rows of two numbers: a broadcast of bounded size; of rows that repeat a chosen id the least text is its example
+    one = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    got = one.select("doc_id", "text", "toxic").mapInArrow(_gather, "doc_id long, toxic int, t binary, c binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: (r["doc_id"], r["t"], r["c"]))
