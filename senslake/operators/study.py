@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from senslake.functions.time import date_chunks, open_until
+from senslake.registry import AIR_PULL_DAYS, ROLLUP_DAYS, ROLLUP_DAYS_OTHER
 
 
 def flatten_devices(docs: DataFrame, doc: str = "doc") -> DataFrame:
@@ -48,6 +51,18 @@ def overlapping_assignments(assign: DataFrame) -> DataFrame:
     return assign.withColumn("prev_until", prev_end).where(F.col("prev_until") > F.col("assigned_from"))
 
 
+def plan_pulls(ranges: DataFrame, types: dict) -> DataFrame:
+    """SCL13 per data type: ``types`` names the data types of each device type; chunks are as long as the API
+    allows the type (``registry.ROLLUP_DAYS``, ``AIR_PULL_DAYS``)."""
+    longest = {t: {d: AIR_PULL_DAYS if t == "air" else ROLLUP_DAYS.get(d, ROLLUP_DAYS_OTHER) for d in names} for t, names in types.items()}
+    plans = []
+    for days in sorted({n for of in longest.values() for n in of.values()}):
+        names = F.create_map(*[F.lit(x) for t, of in longest.items() for x in (t, ",".join(d for d, n in of.items() if n == days))])
+        data_type = F.explode(F.split(F.nullif(names[F.col("device_type")], F.lit("")), ",")).alias("data_type")
+        plans.append(pull_chunks(ranges.select("*", data_type), days))
+    return reduce(DataFrame.unionByName, plans)
+
+
 def pull_chunks(ranges: DataFrame, days: int, start: str = "pull_start", end: str = "pull_end") -> DataFrame:
     """SCL13: split each (device, start, end) range into chunks of <= days."""
     return ranges.select("*", F.explode(date_chunks(F.col(start), F.col(end), days)).alias("c")) \

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from senslake.functions.text import normalize_mac
 from senslake.operators import consolidate as cons
+from senslake.operators import stats
 from senslake.plans import model
 from senslake.plans.registry import query, rounded
 from senslake.plans.sql_common import AEV, CSV_FIELDS, CSV_ROWS, DEVICES, with_
+from senslake.registry import CSV_ALWAYS_NULL
 from senslake.session import materialize
 from senslake.sources import csv_export as C
 
@@ -104,17 +106,12 @@ def prj25_numeric_coercion(spark, sf_dir):
                                       nulls("temperature"), nulls("humidity"))
 
 
-@query("prj26_null_filled", sql=_C + """
-SELECT count(*) AS rows, count(*) AS all_null_rows FROM csv_recs
+@query("prj26_null_filled", sql=_C + f"""
+SELECT field, rows, rows AS nulls FROM (SELECT unnest({CSV_ALWAYS_NULL}) AS field), (SELECT count(*) AS rows FROM csv_recs)
 """)
 def prj26_null_filled(spark, sf_dir):
-    """Fields the export never has are present and null on every record."""
-    r = records(spark, sf_dir)
-    cols = ["pm05_num", "pm1_num", "pm10_num", "pm25_num", "pm_size", "satellites_fixed", "satellites_in_view"]
-    all_null = F.lit(True)
-    for c in cols:
-        all_null = all_null & F.col(c).isNull()
-    return r.agg(F.count("*").alias("rows"), F.count(F.when(all_null, 1)).alias("all_null_rows"))
+    """The eleven fields that the export never has are columns of every record, and null."""
+    return stats.null_profile(records(spark, sf_dir), CSV_ALWAYS_NULL)
 
 
 @query("scl3_fixed_offset", sql=_C + "SELECT file_name, recorded_at FROM csv_recs")
@@ -130,7 +127,7 @@ def scl3_fixed_offset(spark, sf_dir):
   WHERE r.device_id % 9 <> 0)
 SELECT resolved AS device_id, recorded_at, count(*) AS copies,
        count(DISTINCT ({', '.join(f'round({c}, 6)' if c in ('pm1','pm25','pm10','temperature','humidity','pressure','voc') else c for c in _FIELDS)}, charging, recently_charged, motion)) AS variants,
-       round(arg_min(pm25, file_name), 6) AS pm25,
+       round(arg_min(pm25, (strptime(split_part(file_name, '_', 2), '%d-%b-%Y'), file_name)), 6) AS pm25,
        CASE WHEN count(*) = 1 THEN 'unique'
             WHEN count(DISTINCT ({', '.join(_FIELDS)}, charging, recently_charged, motion)) = 1 THEN 'identical'
             ELSE 'conflict' END AS status
@@ -143,5 +140,5 @@ def src3_backfill_dedup(spark, sf_dir):
     mac_map = model.devices(spark, sf_dir).select(normalize_mac(F.col("mac")).alias("mac"), "device_id")
     b = C.backfill(lines(spark, sf_dir), mac_map).where(F.col("device_id").isNotNull())
     vals = [*_FIELDS, "charging", "recently_charged", "motion"]
-    out = cons.classify_duplicates(b, ["device_id"], "recorded_at", vals, [F.col("file_name")])
+    out = cons.classify_duplicates(b, ["device_id"], "recorded_at", vals, [C.file_start(F.col("file_name")), F.col("file_name")])
     return rounded(out.select("device_id", "recorded_at", "copies", "variants", "pm25", "status"))

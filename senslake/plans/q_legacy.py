@@ -197,17 +197,19 @@ def prj33_multi_table_split(spark, sf_dir):
 
 
 @query("jn4_pm_submerge", sql=_L + """
-SELECT device, datetime, round(value / 3, 6) AS pm1_0_ugm3_atm, CAST(k * 7 AS BIGINT) AS pm0_3_um_count
+SELECT device, datetime, round(value / 3, 6) AS pm1_0_ugm3_atm, round(value, 6) AS pm2_5_ugm3_atm,
+       round(value * 1.5, 6) AS pm10_ugm3_atm, CAST(k * 7 AS BIGINT) AS pm0_3_um_count,
+       CAST(k * 3 AS BIGINT) AS pm2_5_um_count, CAST(k * 2 AS BIGINT) AS pm10_um_count, round(value * 1.1, 6) AS pm2_5_ugm3_cf
 FROM (SELECT * REPLACE (CASE WHEN ok THEN value END AS value, CASE WHEN ok THEN k END AS k) FROM leg)
 """)
 def jn4_pm_submerge(spark, sf_dir):
-    """PM mass and count sub-tables joined back on (device, datetime), left
-    join with null-safe keys -- the merge the legacy flow performs."""
-    from senslake.operators.joins import join_null_safe
-    s = standardized(spark, sf_dir)
-    mass = G.sub_table(s, G.PM_MASS).select("device", "datetime", "pm1_0_ugm3_atm")
-    count = G.sub_table(s, G.PM_COUNT).select("device", "datetime", "pm0_3_um_count")
-    return rounded(join_null_safe(mass, count, ["device", "datetime"], "left"))
+    """PM mass, count and CF=1 sub-tables, all their columns, merged back on (device, datetime): both left
+    joins that the legacy flow performs, null-safe, in one exchange."""
+    from senslake.operators.joins import merge_on_time
+    from senslake.session import materialize
+    s = materialize(spark, standardized(spark, sf_dir), "legacy")
+    parts = {"mass": G.PM_MASS, "count": G.PM_COUNT, "cf": G.PM_CF}
+    return rounded(merge_on_time({n: G.sub_table(s, rule) for n, rule in parts.items()}, keys=("device",), how="left"))
 
 
 @query("prj38_documented_columns", sql=with_(DEVICES, """

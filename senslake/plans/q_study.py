@@ -127,38 +127,37 @@ def scl14_pull_range(spark, sf_dir):
 
 
 _CHUNKS = _RANGES + """
+, types(device_type, data_type, days) AS (VALUES ('air', 'air', 7), ('wearable', 'floors', 90), ('wearable', 'calories-in-heart-rate-zone', 14),
+                                                 ('wearable', 'steps', 14))
 , chunks AS (
-  SELECT device_id, device_type, CAST(s AS DATE) AS chunk_start,
-         least(CAST(s AS DATE) + (CASE WHEN device_type = 'air' THEN 7 ELSE 14 END) - 1, pull_end) AS chunk_end
-  FROM ranges, unnest(generate_series(CAST(first_day AS TIMESTAMP), CAST(pull_end AS TIMESTAMP),
-                      CASE WHEN device_type = 'air' THEN INTERVAL 7 DAY ELSE INTERVAL 14 DAY END)) t(s))
+  SELECT device_id, device_type, data_type, CAST(first_day + CAST(i * days AS INTEGER) AS DATE) AS chunk_start,
+         CAST(least(first_day + CAST(i * days + days - 1 AS INTEGER), pull_end) AS DATE) AS chunk_end
+  FROM ranges JOIN types USING (device_type), range(40) t(i) WHERE first_day + CAST(i * days AS INTEGER) <= pull_end)
 """
 
 
 def _chunks(spark, sf_dir):
     r = _ranges(spark, sf_dir).withColumnRenamed("first_day", "pull_start")
-    air = study.pull_chunks(r.where(F.col("device_type") == "air"), 7)
-    wear = study.pull_chunks(r.where(F.col("device_type") == "wearable"), 14)
-    return air.unionByName(wear)
+    return study.plan_pulls(r, {"air": ["air"], "wearable": ["floors", "calories-in-heart-rate-zone", "steps"]})
 
 
 @query("scl13_date_chunks", sql=_CHUNKS + """
-SELECT device_id, device_type, chunk_start, chunk_end FROM chunks
+SELECT device_id, device_type, data_type, chunk_start, chunk_end FROM chunks
 """)
 def scl13_date_chunks(spark, sf_dir):
-    """Backfill plan: each device's range in chunks of <= 7 days (air) or 14 (wearable)."""
-    return _chunks(spark, sf_dir).select("device_id", "device_type", "chunk_start", "chunk_end")
+    """Backfill plan: each device's range per data type, in chunks of at most 7 days (air), 90 or 14 (wearable, by type)."""
+    return _chunks(spark, sf_dir).select("device_id", "device_type", "data_type", "chunk_start", "chunk_end")
 
 
 @query("flt5_half_open_windows", sql=_CHUNKS + """
-SELECT c.device_id, c.chunk_start, count(*) AS readings
+SELECT c.device_id, c.data_type, c.chunk_start, count(*) AS readings
 FROM readings r JOIN chunks c ON r.device_id = c.device_id
  AND r.recorded_at >= CAST(c.chunk_start AS TIMESTAMP) AND r.recorded_at < CAST(c.chunk_end + 1 AS TIMESTAMP)
-GROUP BY 1, 2
+GROUP BY 1, 2, 3
 """)
 def flt5_half_open_windows(spark, sf_dir):
     """Readings per pull chunk under the half-open window start <= t < end + 1 day."""
-    c = _chunks(spark, sf_dir).select("device_id", "chunk_start", F.date_add("chunk_end", 1).alias("chunk_until"))
+    c = _chunks(spark, sf_dir).select("device_id", "data_type", "chunk_start", F.date_add("chunk_end", 1).alias("chunk_until"))
     r = model.readings(spark, sf_dir).select("device_id", "recorded_at")
     j = interval_join(r, c, start="chunk_start", until="chunk_until")
-    return j.groupBy("device_id", "chunk_start").agg(F.count("*").alias("readings"))
+    return j.groupBy("device_id", "data_type", "chunk_start").agg(F.count("*").alias("readings"))

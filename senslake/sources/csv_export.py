@@ -112,12 +112,18 @@ def to_records(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
             out.append(v.alias(name))
         elif key in CSV_ALWAYS_NULL:
             out.append(F.lit(None).cast(typ).alias(name))
+    out += [F.lit(None).cast("double").alias(key) for key in CSV_ALWAYS_NULL if key not in AIR_REGISTRY]
     out += [charging.alias("charging"), recent.alias("recently_charged"),
             motion_flag(cell("Motion")).alias("motion"),
             typed["lat"].alias("latitude"), typed["lon"].alias("longitude")]
     return rows.select(*out)
 
 
+def file_start(name: Column) -> Column:
+    """The start date in an export's name (``<MAC>_<start>_<end>...``), null without one."""
+    return F.try_to_timestamp(F.regexp_extract(name, r"^[^_]*_(\d{2}-[A-Za-z]{3}-\d{4})(_|\.)", 1), F.lit("dd-MMM-yyyy")).cast("date")
+
+
 def backfill(lines: DataFrame, mac_map: DataFrame) -> DataFrame:
     """CSV backfill records per device: file MAC -> device (JN5); files of
     unknown MACs and unmatched names are not loaded."""
