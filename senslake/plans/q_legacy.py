@@ -212,6 +212,29 @@ def jn4_pm_submerge(spark, sf_dir):
     return rounded(merge_on_time({n: G.sub_table(s, rule) for n, rule in parts.items()}, keys=("device",), how="left"))
 
 
+# Slanted strips, one a nation: their borders cross the cells of the grid.
+_STRIP = "(-180 + 14.4::DOUBLE * (n_nationkey{0}) + 4) + (latitude - -90) * ((-180 + 14.4::DOUBLE * (n_nationkey{0}) - 4) - (-180 + 14.4::DOUBLE * (n_nationkey{0}) + 4)) / 180"
+
+
+@query("jn9_zone_polygons", sql=with_(DEVICES, AEV) + f"""
+SELECT device_id, n_name AS zone, count(*) AS rows
+FROM arec LEFT JOIN nation ON latitude IS NOT NULL AND longitude IS NOT NULL AND NOT (latitude = 0 AND longitude = 0)
+  AND longitude >= {_STRIP.format('')} AND longitude < {_STRIP.format(' + 1')}
+GROUP BY 1, 2
+""")
+def jn9_zone_polygons(spark, sf_dir):
+    """Air records per device and zone, the zones being polygons: a strip of the map for each nation, with slanted borders."""
+    from senslake.operators import air, zones
+    from senslake.sources import payloads
+    from senslake.sources.tables import read_table
+    n = read_table(spark, sf_dir, "nation")
+    edge = lambda i, shift: F.lit(-180.0) + F.lit(14.4) * (F.col("n_nationkey") + i) + F.lit(float(shift))
+    corners = [F.struct(edge(i, s).alias("lon"), F.lit(lat).alias("lat")) for i, s, lat in ((0, 4, -90.0), (1, 4, -90.0), (1, -4, 90.0), (0, -4, 90.0))]
+    cells = zones.zone_cells(n.select(F.col("n_name").alias("zone"), F.array(*corners).alias("ring")))
+    r = air.project(payloads.air_records(model.air_raw(spark, sf_dir))).select("device_id", "latitude", "longitude")
+    return zones.attach_zone(r, cells).groupBy("device_id", "zone").agg(F.count("*").alias("rows"))
+
+
 @query("prj38_documented_columns", sql=with_(DEVICES, """
 aev AS (
   SELECT e.user_id AS device_id, e.ts, CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k

@@ -24,11 +24,12 @@ FROM aev WHERE event_id // 64 IN (
 GROUP BY device_id
 """)
 def src9_raw_scan(spark, sf_dir):
-    """Raw ingests of one device type pulled since a time (partition and
-    min/max pruning on a landed table)."""
+    """Raw ingests of one device type pulled since a time, from a landed table whose other partitions are not read."""
     air = model.air_raw(spark, sf_dir)
     raw = air.unionByName(model.wearable_raw(spark, sf_dir).select(*air.columns))
-    r = payloads.raw_by_device(raw, device_type="air", since="2024-01-15")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    payloads.land_raw(raw, path)
+    r = payloads.raw_by_device(payloads.read_raw(spark, path), device_type="air", since="2024-01-15")
     return r.groupBy("device_id").agg(F.count("*").alias("ingests"), F.max("pulled_at").alias("last_pull"))
 
 

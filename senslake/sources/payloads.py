@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from senslake.operators.joins import maybe_broadcast
+
 RAW_SCHEMA = T.StructType([
     T.StructField("ingest_id", T.LongType()),
     T.StructField("device_type", T.StringType()),
@@ -21,23 +23,42 @@ RAW_SCHEMA = T.StructType([
 ])
 
 
+def land_raw(raw: DataFrame, path: str) -> None:
+    """Land raw ingests for pruned scans: a partition per (device type, pull day), rows range-sorted by device inside,
+    so that row groups cover few devices, with a Parquet bloom filter on the device. Appends."""
+    keys = ["device_type", "pulled_day", "device_id", "pulled_at"]
+    (raw.withColumn("pulled_day", F.to_date("pulled_at")).repartitionByRange(*keys).sortWithinPartitions(*keys)
+     .write.mode("append").partitionBy("device_type", "pulled_day")
+     .option("parquet.bloom.filter.enabled#device_id", "true").parquet(path))
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw ingests landed as Parquet (partitioned by device_type)."""
-    return spark.read.parquet(path)
+    """Raw ingests landed by :func:`land_raw`."""
+    return spark.read.schema(T.StructType([*RAW_SCHEMA.fields, T.StructField("timezone", T.StringType()),
+                                           T.StructField("pulled_day", T.DateType())])).parquet(path)
 
 
 def raw_by_device(raw: DataFrame, device_type=None, device_ids=None,
                   since=None) -> DataFrame:
-    """SRC9: raw ingests filtered by type / device / pull time; on a
-    partitioned landing table the predicates prune files."""
+    """SRC9: raw ingests filtered by type / device / pull time. On a landed
+    table the type and the day prune partitions, the devices row groups
+    (their range and bloom filter). ``device_ids`` may be a DataFrame
+    (device_type, device_id): a semi-join, broadcast under the size limit,
+    that prunes the types it lacks at run time."""
     cond = F.lit(True)
     if device_type is not None:
         cond = cond & (F.col("device_type") == device_type)
-    if device_ids is not None:
+    if device_ids is not None and not isinstance(device_ids, DataFrame):
         cond = cond & F.col("device_id").isin(list(device_ids))
     if since is not None:
-        cond = cond & (F.col("pulled_at") >= F.lit(str(since)).cast("timestamp_ntz"))
-    return raw.where(cond)
+        since = F.lit(str(since)).cast("timestamp_ntz")
+        cond = cond & (F.col("pulled_at") >= since)
+        if "pulled_day" in raw.columns:
+            cond = cond & (F.col("pulled_day") >= F.to_date(since))
+    out = raw.where(cond)
+    if isinstance(device_ids, DataFrame):
+        out = out.join(maybe_broadcast(device_ids.select("device_type", "device_id").distinct()), ["device_type", "device_id"], "left_semi")
+    return out
 
 
 def wearable_sections(raw: DataFrame) -> DataFrame:

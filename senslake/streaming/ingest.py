@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from senslake.sinks import load as L
 from senslake.sources.payloads import RAW_SCHEMA
 
-_RAW_STREAM_SCHEMA = RAW_SCHEMA.add("timezone", "string")
+_RAW_STREAM_SCHEMA = StructType([*RAW_SCHEMA.fields, StructField("timezone", StringType())])
 _TABLES = tuple(L.TABLES)
 
 

@@ -83,3 +83,36 @@ def test_a_one_day_pull_rewrites_one_day(spark, tmp_dir):
     plan = P.touched(table(), ["2024-01-03/0"])._jdf.queryExecution().executedPlan().toString()
     scan = next(x for x in plan.splitlines() if "PartitionFilters" in x)
     assert "day" in scan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_landed_scan_reads_the_partitions_it_needs(spark, tmp_dir):
+    from senslake.sources import payloads
+    path = f"{tmp_dir}/{uuid.uuid4().hex}"
+    rows = [(t * 1000 + d * 10 + day, ("air", "wearable")[t], d, "api_auto", dt.datetime(2024, 1, day, 3), "{}", "UTC") for t in (0, 1) for d in range(30) for day in range(1, 8)]
+    raw = spark.createDataFrame(rows, RAW)
+    payloads.land_raw(raw.where("pulled_at < '2024-01-05'"), path)
+    payloads.land_raw(raw.where("pulled_at >= '2024-01-05'"), path)
+    landed = payloads.read_raw(spark, path)
+
+    def scan(df):
+        plan = df._jdf.queryExecution().executedPlan()
+        while plan.children().size():
+            plan = plan.children().head()
+        return plan
+
+    def files_read(df):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            kept = sorted(map(str, df.select(*raw.columns).collect()))
+            out = df.select(*raw.columns)
+            out._jdf.queryExecution().executedPlan().executeCollect()
+            return kept, scan(out).metrics().apply("numFiles").value(), scan(out).toString()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    everything, total, _ = files_read(landed)
+    assert everything == sorted(map(str, raw.collect()))
+    kept, some, plan = files_read(payloads.raw_by_device(landed, device_type="air", device_ids=[3, 4], since="2024-01-06 01:00:00"))
+    assert kept == sorted(map(str, payloads.raw_by_device(raw, device_type="air", device_ids=[3, 4], since="2024-01-06 01:00:00").collect())) and len(kept) == 4
+    assert some <= total * 2 // 14 + 1 and "device_type" in plan.split("PartitionFilters")[1].split("PushedFilters")[0] and "In(device_id" in plan
+    wanted = spark.createDataFrame([("air", 3), ("air", 99)], "device_type string, device_id long")
+    assert sorted(r.ingest_id for r in payloads.raw_by_device(landed, device_ids=wanted).collect()) == [30 + d for d in range(1, 8)]
