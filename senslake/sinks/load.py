@@ -249,7 +249,7 @@ def load_type(device_type: str, raw: DataFrame, tz: DataFrame | None = None, ver
         resolved, out["stage_rejects"] = resolve_stages(ok["sleep_stages"], out["sleep_sessions"])
         out["sleep_stages"] = loaded("sleep_stages", resolved.drop("device_id", "session_started_at"))
     devices = raw.groupBy(F.lit(device_type).alias("device_type"), "device_id").agg(F.max("pulled_at").alias("pulled_to"))
-    return {**out, "failed": failed, "parsed": parsed, "run_log": run_log(devices, failed)}
+    return {**out, "failed": failed, "parsed": parsed, "run_log": run_log(devices, failed), "cached": []}
 
 
 def load_wearable_batch(spark: SparkSession, raw: DataFrame, tz: DataFrame | None = None) -> dict:
