@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from senslake.functions.text import normalize_mac
@@ -11,8 +13,10 @@ from senslake.plans import model
 from senslake.plans.registry import query, rounded
 from senslake.plans.sql_common import AEV, CSV_FIELDS, CSV_ROWS, DEVICES, with_
 from senslake.registry import CSV_ALWAYS_NULL
-from senslake.session import materialize
+from senslake.session import checkpoint_dir, materialize
+from senslake.sinks.files import write_named
 from senslake.sources import csv_export as C
+from senslake.sources import exports as E
 
 _C = with_(DEVICES, AEV, CSV_ROWS)
 _FIELDS = ["aqs", "pm1", "pm25", "pm10", "temperature", "humidity", "pressure", "voc_index", "voc",
@@ -24,6 +28,13 @@ def lines(spark, sf_dir):
     return materialize(spark, C.lines_of(model.csv_files(spark, sf_dir)), "csv-lines")
 
 
+def landed(spark, sf_dir):
+    """A new shared folder that holds the export files."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/exports-{uuid.uuid4().hex}"
+    write_named(model.csv_files(spark, sf_dir), f"{path}/files")
+    return path
+
+
 def records(spark, sf_dir):
     return C.to_records(C.split_rows(lines(spark, sf_dir)))
 
@@ -38,10 +49,30 @@ def src4_file_metadata(spark, sf_dir):
     return C.file_metadata(model.csv_files(spark, sf_dir).select("file_name"))
 
 
-@query("src3_csv_records", sql=_C + """
+_RECORDS = _C + """
 SELECT file_name, recorded_at, aqs, round(pm1, 6) AS pm1, round(pm25, 6) AS pm25, latitude, longitude
 FROM csv_recs
-""")
+"""
+
+
+@query("src3_export_source", sql=_RECORDS)
+def src3_export_source(spark, sf_dir):
+    """The export files through the data source: byte ranges of files, each line with its own file's header, no join."""
+    r = C.to_records(E.rows(E.scan(spark, f"{landed(spark, sf_dir)}/files")))
+    return rounded(r.select("file_name", "recorded_at", "aqs", "pm1", "pm25", "latitude", "longitude"))
+
+
+@query("src3_export_stream", sql=_RECORDS)
+def src3_export_stream(spark, sf_dir):
+    """The export files drained by a stream of the data source into stored lines, then typed."""
+    path = landed(spark, sf_dir)
+    (E.stream(spark, f"{path}/files", f"{path}/log").writeStream.format("parquet").option("path", f"{path}/lines")
+     .option("checkpointLocation", f"{path}/ckpt").trigger(once=True).start().awaitTermination())
+    r = C.to_records(E.rows(spark.read.schema(E.SCHEMA).parquet(f"{path}/lines")))
+    return rounded(r.select("file_name", "recorded_at", "aqs", "pm1", "pm25", "latitude", "longitude"))
+
+
+@query("src3_csv_records", sql=_RECORDS)
 def src3_csv_records(spark, sf_dir):
     """Every data line of every export: BOM stripped, header by name, split
     on the first n-1 commas, short rows padded, blank lines skipped."""
@@ -136,9 +167,9 @@ FROM known GROUP BY 1, 2
 def src3_backfill_dedup(spark, sf_dir):
     """Backfill per device: files mapped to devices by MAC, records grouped
     by timestamp -- identical re-exports collapse, differing ones are
-    flagged as conflicts and the oldest file's copy is kept."""
+    flagged as conflicts and the oldest file's first copy is kept."""
     mac_map = model.devices(spark, sf_dir).select(normalize_mac(F.col("mac")).alias("mac"), "device_id")
-    b = C.backfill(lines(spark, sf_dir), mac_map).where(F.col("device_id").isNotNull())
+    b = E.backfill(E.scan(spark, f"{landed(spark, sf_dir)}/files"), mac_map).where(F.col("device_id").isNotNull())
     vals = [*_FIELDS, "charging", "recently_charged", "motion"]
-    out = cons.classify_duplicates(b, ["device_id"], "recorded_at", vals, [C.file_start(F.col("file_name")), F.col("file_name")])
+    out = cons.classify_duplicates(b, ["device_id"], "recorded_at", vals, [C.file_start(F.col("file_name")), F.col("file_name"), F.col("position")])
     return rounded(out.select("device_id", "recorded_at", "copies", "variants", "pm25", "status"))

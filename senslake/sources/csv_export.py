@@ -122,12 +122,3 @@ def to_records(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def file_start(name: Column) -> Column:
     """The start date in an export's name (``<MAC>_<start>_<end>...``), null without one."""
     return F.try_to_timestamp(F.regexp_extract(name, r"^[^_]*_(\d{2}-[A-Za-z]{3}-\d{4})(_|\.)", 1), F.lit("dd-MMM-yyyy")).cast("date")
-
-
-def backfill(lines: DataFrame, mac_map: DataFrame) -> DataFrame:
-    """CSV backfill records per device: file MAC -> device (JN5); files of
-    unknown MACs and unmatched names are not loaded."""
-    meta = file_metadata(lines.select("file_name").distinct())
-    recs = to_records(split_rows(lines))
-    m = meta.where(F.col("status") == "matched").join(maybe_broadcast(mac_map), "mac", "left")
-    return recs.join(m.select("file_name", "mac", "device_id"), "file_name")
