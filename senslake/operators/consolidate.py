@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from senslake.operators.joins import maybe_broadcast
+from senslake.session import materialize
 
 def parse_device_key(key: Column) -> tuple[Column, Column, Column]:
     """SRC5: ``id_DD-Mon-YYYY[_DD-Mon-YYYY...]`` -> (id, first date, last date).
@@ -110,3 +112,46 @@ def consolidate(chunks: DataFrame, value_cols, ts: str = "datetime",
     (oldest file wins), order by time. Conflicting copies remain."""
     index = file_index(chunks, key)
     return keep_first(chunks, index, ["device_id", ts, *value_cols], key).drop("copies")
+
+
+def file_ranges(chunks: DataFrame, ts: str = "datetime", key: str = "file_key", device: str = "device_id") -> DataFrame:
+    """Per (device, file) the rows, the time range that they really cover, and ``distinct_times``: whether no two rows
+    share a second and none lacks a time, so that the file holds no copies of its own.
+
+    The seconds are counted exactly in bitmaps of 32,768 of them, combined before the shuffle."""
+    second = F.unix_seconds(F.col(ts).cast("timestamp"))
+    part = (chunks.groupBy(device, key, F.bitmap_bucket_number(second).alias("_bucket"))
+            .agg(F.count("*").alias("_rows"), F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+                 F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(second))).alias("_seconds")))
+    return (part.groupBy(device, key)
+            .agg(F.sum("_rows").alias("rows"), F.min("_first").alias("first_ts"), F.max("_last").alias("last_ts"),
+                 (F.sum("_rows") == F.sum(F.when(F.col("_bucket").isNotNull(), F.col("_seconds")).otherwise(0))).alias("distinct_times")))
+
+
+def overlap_components(ranges: DataFrame, key: str = "file_key", device: str = "device_id") -> DataFrame:
+    """``ranges`` with ``component`` (from 1 in time order per device; 0 for files without any time) and ``alone``: no
+    other file of the device shares a time with it.
+
+    A sweep over the files of a device in order of their first time: a file that begins after all earlier ones have
+    ended opens a component. Ranges that touch overlap. The rows are files, not readings."""
+    by_start = Window.partitionBy(device).orderBy(F.asc_nulls_first("first_ts"), "last_ts", key)
+    before = F.max("last_ts").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.col("first_ts").isNotNull() & (before.isNull() | (F.col("first_ts") > before))
+    swept = ranges.withColumn("_opens", opens.cast("int")).withColumn("component", F.sum("_opens").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
+    alone = (F.col("component") > 0) & (F.count("*").over(Window.partitionBy(device, "component")) == 1)
+    return swept.withColumn("alone", alone).drop("_opens")
+
+
+def consolidate_overlaps(chunks: DataFrame, value_cols, ts: str = "datetime", key: str = "file_key") -> DataFrame:
+    """:func:`consolidate`, with a shuffle only of the rows that can have a copy: those of files that overlap another
+    file of their device, or that hold two rows in one second or rows without a time. Every other file passes as it is.
+
+    ``chunks`` is read three times (ranges, rows that pass, rows that do not), so it should be stored files. The files'
+    own times decide, not the dates in their names."""
+    # landed, so that its true size (a row per file) decides about the broadcast
+    found = materialize(chunks.sparkSession, overlap_components(file_ranges(chunks, ts, key), key), "file-ranges")
+    files = found.select(F.col("device_id").alias("_device"), F.col(key).alias("_file"), (F.col("alone") & F.col("distinct_times")).alias("_passes"))
+    marked = chunks.join(maybe_broadcast(files), F.col("device_id").eqNullSafe(F.col("_device")) & F.col(key).eqNullSafe(F.col("_file")))
+    out = ["device_id", ts, *value_cols, key]
+    rest = marked.where("NOT _passes").drop("_device", "_file", "_passes")
+    return marked.where("_passes").select(*out).unionByName(consolidate(rest, value_cols, ts, key).select(*out))

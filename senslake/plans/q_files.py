@@ -8,6 +8,7 @@ from senslake.operators import consolidate as cons
 from senslake.plans import model
 from senslake.plans.registry import query, rounded
 from senslake.plans.sql_common import FILE_CHUNKS, FILE_KEYS, with_
+from senslake.session import materialize
 
 _VALUES = ["event_type", "value", "k", "firmware"]
 _FILES = with_(FILE_CHUNKS, FILE_KEYS)
@@ -66,6 +67,45 @@ def set5_consolidate(spark, sf_dir):
     return rounded(cons.consolidate(model.file_chunks(spark, sf_dir), _VALUES))
 
 
+@query("set5_overlap_components", sql=with_(FILE_CHUNKS) + """
+, files AS (
+  SELECT device_id, file_key, count(*) AS rows, min(datetime) AS first_ts, max(datetime) AS last_ts,
+         count(DISTINCT date_trunc('second', datetime)) = count(*) AS distinct_times
+  FROM split_chunks GROUP BY ALL),
+swept AS (
+  SELECT *, coalesce(first_ts > max(last_ts) OVER (PARTITION BY device_id ORDER BY first_ts, last_ts, file_key
+                                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS opens FROM files),
+numbered AS (
+  SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY device_id ORDER BY first_ts, last_ts, file_key) AS component FROM swept)
+SELECT device_id, file_key, rows, first_ts, last_ts, distinct_times, CAST(component AS BIGINT) AS component,
+       count(*) OVER (PARTITION BY device_id, component) = 1 AS alone FROM numbered
+""".replace("FROM split_chunks", "FROM (SELECT * REPLACE (CASE WHEN CAST(device_id AS BIGINT) % 3 = 0 THEN file_key ELSE device_id || '_' || strftime(datetime, '%d-%b-%Y') END AS file_key) FROM file_chunks)"))
+def set5_overlap_components(spark, sf_dir):
+    """Time range of each file and its component of overlapping files; two thirds of the devices export a file a day."""
+    found = cons.overlap_components(cons.file_ranges(daily_files(spark, sf_dir)))
+    return found.select("device_id", "file_key", "rows", "first_ts", "last_ts", "distinct_times", "component", "alone")
+
+
+def daily_files(spark, sf_dir):
+    """The file chunks, those of two thirds of the devices cut into one file a day, landed."""
+    chunks = model.file_chunks(spark, sf_dir)
+    day = F.concat("device_id", F.lit("_"), F.date_format("datetime", "dd-MMM-yyyy"))
+    return materialize(spark, chunks.withColumn("file_key", F.when(F.col("device_id").cast("long") % 3 == 0, F.col("file_key")).otherwise(day)), "daily-files")
+
+
+@query("set5_disjoint_files", sql=with_(FILE_CHUNKS) + """
+, daily AS (SELECT * REPLACE (CASE WHEN CAST(device_id AS BIGINT) % 3 = 0 THEN file_key
+                                   ELSE device_id || '_' || strftime(datetime, '%d-%b-%Y') END AS file_key) FROM file_chunks),
+dated AS (SELECT *, try_strptime(split_part(file_key, '_', 2), '%d-%b-%Y') AS d1, try_strptime(nullif(split_part(file_key, '_', 3), ''), '%d-%b-%Y') AS d2 FROM daily)
+SELECT device_id, datetime, event_type, round(value, 6) AS value, k, firmware,
+       arg_min(file_key, (coalesce(d1, d2) IS NULL, coalesce(d1, d2), file_key)) AS file_key
+FROM dated GROUP BY device_id, datetime, event_type, value, k, firmware
+""")
+def set5_disjoint_files(spark, sf_dir):
+    """The consolidated rows where most files are disjoint: those pass without a shuffle."""
+    return rounded(cons.consolidate_overlaps(daily_files(spark, sf_dir), _VALUES))
+
+
 @query("srt1_stable_time_order", sql=_CONSOLIDATED + """
 SELECT device_id, datetime, event_type, round(value, 6) AS value, k, firmware, file_key FROM consolidated
 ORDER BY device_id, datetime, event_type, value, k, firmware, file_key
