@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from .common import Block, blocks, documents, id_text, land, long_ids
 from .words import doc_bounds, mix, span_hash, spans, window_hash
 
-#: Bits of the sieve that carries the seeds found in several documents (32 MiB). It only saves work: a seed that
+#: No level is shorter than this many words (but for windows that are): shorter sequences repeat nearly everywhere.
+SHORTEST = 4
+#: Bits of the sieve that carries a level's repeated sequences to the next (32 MiB). It only saves work: a seed that
 #: meets a foreign bit costs one more window to compare, none is lost.
 SIEVE_BITS = 28
 #: Seeds and windows are compared in slices of their hashes: 2 ** 9 at least, and as many as keep the text of a slice
@@ -20,23 +22,54 @@ SIEVE_BITS = 28
 LEAST_SLICE_BITS, SLICE_BYTES = 9, 1 << 26
 
 
-def _windows(block: Block, window: int):
-    """Word bounds and documents; per seed-length window its hash; per full window the index of its least seed."""
-    seed = (window + 1) // 2
-    start, end, doc = spans(block)
-    h = span_hash(block.data, start, end)
-    sh, at = window_hash(h, doc, seed)
+def levels(window: int) -> list[int]:
+    """Lengths of the levels, each at most twice the one before: 4, 7, 13 for windows of 13 words."""
+    out = [window]
+    while (out[0] + 1) // 2 >= SHORTEST:
+        out.insert(0, (out[0] + 1) // 2)
+    return out
+
+
+def _least(h: np.ndarray, doc: np.ndarray, begin: np.ndarray, longer: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each sequence of ``longer`` words from ``begin`` the ``length``-word part of least hash: its place and hash."""
+    value, at = window_hash(h, doc, length)
     full = np.zeros(len(h), np.uint64)
-    full[at] = sh
-    n = len(h) - window + 1
-    begin = np.flatnonzero(doc[:n] == doc[window - 1:]) if n > 0 else np.zeros(0, np.int64)
+    full[at] = value
     pick = begin.copy()
     low = full[pick]
-    for j in range(1, window - seed + 1):
+    for j in range(1, longer - length + 1):
         here = full[begin + j]
         less = here < low
         pick[less], low[less] = begin[less] + j, here[less]
-    return start, end, doc, h, begin, pick, low
+    return pick, low
+
+
+def _held(sieve: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit in the sieve."""
+    bit = hashes >> np.uint64(64 - SIEVE_BITS)
+    return (sieve[(bit >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1 == 1
+
+
+def _level(block: Block, lengths: list[int], level: int, sieve: np.ndarray | None):
+    """Words' documents and hashes, and (places, hashes) of the sequences of one level that may repeat.
+
+    A full window names its part of least hash one level down, that part names its own, and so on: equal windows name
+    equal parts on every level. A sequence is held if the part that it names one level down is in that level's ``sieve``
+    (all, on the first level). On the last level the hashes are left out."""
+    start, end, doc = spans(block)
+    h = span_hash(block.data, start, end)
+    n = len(h) - lengths[-1] + 1
+    at = np.flatnonzero(doc[:n] == doc[lengths[-1] - 1:]) if n > 0 else np.zeros(0, np.int64)
+    value = None
+    for i in range(len(lengths) - 2, level - 1, -1):
+        at, value = _least(h, doc, at, lengths[i + 1], lengths[i])
+        new = np.ones(len(at), bool)
+        new[1:] = at[1:] != at[:-1]
+        at, value = at[new], value[new]
+    if sieve is not None and len(at):
+        hit = _held(sieve, _least(h, doc, at, lengths[level], lengths[level - 1])[1])
+        at, value = at[hit], None if value is None else value[hit]
+    return doc, h, at, value
 
 
 def _first_two(seeds: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,15 +94,18 @@ def _slice_bits(rows: DataFrame, slice_bytes: int) -> int:
 
 def _cuts(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the slices that occur in sorted ``hashes``, and where each begins, with the end."""
-    s = (hashes >> np.uint64(64 - k)).astype(np.int64)
+    s = (hashes >> hashes.dtype.type(8 * hashes.itemsize - k)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
     return s[first], np.append(first, len(s))
 
 
-def _seed_rows(window: int, k: int):
-    """(slice, seeds, docs) as packed arrays; each task keeps two documents of a seed at most."""
+def _seed_rows(lengths: list[int], level: int, sieve, k: int):
+    """(slice, seeds, docs) of one level as packed arrays; each task keeps two documents of a seed at most.
+
+    A seed is the upper half of its hash: the sieve holds fewer bits than that, and two that share it cost no repeat."""
     def run(batches):
-        have = [np.zeros(0, np.uint64), np.zeros(0, np.int64)]
+        bits = None if sieve is None else np.frombuffer(sieve.value, np.uint8)
+        have = [np.zeros(0, np.uint32), np.zeros(0, np.int64)]
         fresh: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
@@ -85,18 +121,16 @@ def _seed_rows(window: int, k: int):
                 "docs": pa.array([have[1][a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
 
         for block in blocks(batches):
-            _, _, doc, _, _, pick, low = _windows(block, window)
-            if len(pick):
-                new = np.ones(len(pick), bool)
-                new[1:] = (pick[1:] != pick[:-1])
-                fresh.append((low[new], long_ids(block)[doc[pick[new]]]))
-                size += int(new.sum())
+            doc, _, at, value = _level(block, lengths, level, bits)
+            if len(at):
+                fresh.append(((value >> np.uint64(32)).astype(np.uint32), long_ids(block)[doc[at]]))
+                size += len(at)
             if size > 400_000:
                 fold()
                 size = 0
                 if len(have[0]) > 1_000_000:
                     yield out()
-                    have[:] = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                    have[:] = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         fold()
         if len(have[0]):
             yield out()
@@ -108,10 +142,10 @@ def _sieve(k: int):
     def run(table: pa.Table) -> pa.Table:
         def joined(name, kind):
             return np.concatenate([np.frombuffer(x, kind) for c in table.column(name).chunks for x in c.to_pylist()])
-        s, _ = _first_two(joined("seeds", np.uint64), joined("docs", np.int64))
+        s, _ = _first_two(joined("seeds", np.uint32), joined("docs", np.int64))
         twice = s[1:][s[1:] == s[:-1]]
         bits = np.zeros(1 << (SIEVE_BITS - k), np.uint8)
-        bits[(twice >> np.uint64(64 - SIEVE_BITS)).astype(np.int64) & ((1 << (SIEVE_BITS - k)) - 1)] = 1
+        bits[(twice >> np.uint32(32 - SIEVE_BITS)).astype(np.int64) & ((1 << (SIEVE_BITS - k)) - 1)] = 1
         return pa.table({"slice": table.column("slice")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
     return run
 
@@ -129,13 +163,15 @@ def _runs(at: np.ndarray, window: int) -> bytes:
 _FOUND = "kind int, slice int, doc long, same long, payload binary"
 
 
-def _candidates(window: int, sieve, k: int):
-    """Windows with a repeated seed, compared within the task first.
+def _candidates(lengths: list[int], sieve, k: int):
+    """Full windows with a repeated part (all, without a level below), compared within the task first.
 
     kind 0: (slice, packed windows: hash, hash, document, text key, start) of the smallest document that the task knows
     of; kind 1: (document, covered runs) where the task itself holds the same window in a smaller document."""
+    window = lengths[-1]
+
     def run(batches):
-        bits = np.frombuffer(sieve.value, np.uint8)
+        bits = None if sieve is None else np.frombuffer(sieve.value, np.uint8)
 
         def emit(parts):
             h1, h2, doc, same, at = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -152,10 +188,7 @@ def _candidates(window: int, sieve, k: int):
 
         parts, size = [], 0
         for block in blocks(batches):
-            _, _, doc, h, begin, pick, low = _windows(block, window)
-            bit = low >> np.uint64(64 - SIEVE_BITS)
-            hit = (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1 == 1
-            at = begin[hit]
+            doc, h, at, _ = _level(block, lengths, len(lengths) - 1, bits)
             if len(at):
                 h1, h2 = _pair_hash(h, at, window)
                 base = doc_bounds(block.n, doc)
@@ -247,6 +280,9 @@ def _strip(batches):
                                          ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
+_KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+
+
 def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept_text): every document without the words that a ``window``-word
     sequence covers which also starts in a document with a smaller id.
@@ -255,28 +291,34 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     larger than every other (all null ids as one document). Rows that repeat an id are one document: they never remove
     from each other, and each comes back. Extra columns are ignored; an empty table gives an empty result.
 
-    Level 1, half the window (7 words of 13): each full window names its seed, the half-length window of least hash
-    inside it, so equal windows name equal seeds. Only these are grouped, two documents of a seed per
-    task at most, so a passage in every document costs a row per task. Seeds of one document alone die here.
-    Level 2, twice that length (clipped at the window): windows whose seed survived are compared by 128-bit hashes, within
-    the task first, then one row per task, sequence and text of its smallest document by hash: rows repeated as they are cost nothing. Covered words return to their documents as runs.
-    Both levels compare in slices of the hashes, whose number grows with the text (``slice_bytes`` of it a slice)."""
+    The levels double: 4, 7 and 13 words for a window of 13 (:func:`levels`). On each, a window is stood for by its part of
+    least hash, that of the part of least hash one level up, so equal windows name equal parts and few parts are compared.
+    A level sees only the parts whose own part one level down was found in two documents (a 32 MiB sieve carries those);
+    of each it groups two documents per task at most, so a passage in every document costs a row per task. The loop ends
+    when no part of a level is in two documents: then nothing repeats.
+    Last level: the windows left are compared by 128-bit hashes, within the task first, then one row per task, sequence and
+    text of its smallest document by hash: rows repeated as they are cost nothing. Covered words return to their documents as runs.
+    All levels compare in slices of the hashes, whose number grows with the text (``slice_bytes`` of it a slice)."""
     rows = id_text(docs, id_col, text_col).select("*", F.xxhash64("text").alias("same"))
     spark = docs.sparkSession
     k = _slice_bits(rows, slice_bytes)
-    seeds = rows.select("doc_id", "text").mapInArrow(_seed_rows(window, k), "slice int, seeds binary, docs binary")
-    found = land(seeds.groupBy("slice").applyInArrow(_sieve(k), "slice int, bits binary"), "sub-sieve")
-    bits = np.zeros(1 << (SIEVE_BITS - 3), np.uint8)
-    width = len(bits) >> k
-    for r in found.toLocalIterator():  # fixed size: 32 MiB over all slices
-        bits[r["slice"] * width:(r["slice"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
-    sieve = spark.sparkContext.broadcast(bits.tobytes())
-    cand = land(rows.mapInArrow(_candidates(window, sieve, k), _FOUND), "sub-windows")
+    lengths, sieve = levels(window), None
+    for level in range(len(lengths) - 1):
+        seeds = rows.select("doc_id", "text").mapInArrow(_seed_rows(lengths, level, sieve, k), "slice int, seeds binary, docs binary")
+        found = land(seeds.groupBy("slice").applyInArrow(_sieve(k), "slice int, bits binary"), "sub-sieve")
+        bits = np.zeros(1 << (SIEVE_BITS - 3), np.uint8)
+        width = len(bits) >> k
+        for r in found.toLocalIterator():  # fixed size: 32 MiB over all slices
+            bits[r["slice"] * width:(r["slice"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
+        if not bits.any():
+            return rows.select("doc_id", "text", F.lit(None).cast("array<binary>").alias("runs")).mapInArrow(_strip, _KEPT)
+        sieve = spark.sparkContext.broadcast(bits.tobytes())
+    cand = land(rows.mapInArrow(_candidates(lengths, sieve, k), _FOUND), "sub-windows")
     judged = cand.where("kind = 0").groupBy("slice").applyInArrow(_judge(window), "doc long, same long, payload binary")
     marks = land(cand.where("kind = 1").select("doc", "same", "payload").unionByName(judged).groupBy("doc", "same").agg(F.collect_set("payload").alias("runs")), "sub-marks")
     top = F.lit(int(np.iinfo(np.int64).max))
     joined = rows.select("doc_id", "text", F.coalesce("doc_id", top).alias("doc"), "same").join(marks, ["doc", "same"], "left")
-    return joined.select("doc_id", "text", "runs").mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return joined.select("doc_id", "text", "runs").mapInArrow(_strip, _KEPT)
 
 
 def op9_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
