@@ -86,6 +86,16 @@ def _first_two(seeds: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return s[keep], d[keep]
 
 
+def _planes(rows: np.ndarray) -> bytes:
+    """Rows as bytes, all first bytes, then all second ones: the zero bytes of small numbers lie together and compress."""
+    return np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), rows.dtype.itemsize).T.tobytes()
+
+
+def _from_planes(data: bytes, kind) -> np.ndarray:
+    kind = np.dtype(kind)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
+
+
 def _slice_bits(rows: DataFrame, slice_bytes: int) -> int:
     """Leading hash bits that number the slices; a slice fills one byte of the sieve at least."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -117,8 +127,8 @@ def _seed_rows(lengths: list[int], level: int, sieve, k: int):
             some, cut = _cuts(have[0], k)
             return pa.RecordBatch.from_pydict({
                 "slice": pa.array(some, pa.int32()),
-                "seeds": pa.array([have[0][a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-                "docs": pa.array([have[1][a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
+                "seeds": pa.array([_planes(have[0][a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
+                "docs": pa.array([_planes(have[1][a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
 
         for block in blocks(batches):
             doc, _, at, value = _level(block, lengths, level, bits)
@@ -141,7 +151,7 @@ def _sieve(k: int):
     """Bits of one slice: seeds that start in two documents or more."""
     def run(table: pa.Table) -> pa.Table:
         def joined(name, kind):
-            return np.concatenate([np.frombuffer(x, kind) for c in table.column(name).chunks for x in c.to_pylist()])
+            return np.concatenate([_from_planes(x, kind) for c in table.column(name).chunks for x in c.to_pylist()])
         s, _ = _first_two(joined("seeds", np.uint32), joined("docs", np.int64))
         twice = s[1:][s[1:] == s[:-1]]
         bits = np.zeros(1 << (SIEVE_BITS - k), np.uint8)
@@ -183,7 +193,7 @@ def _candidates(lengths: list[int], sieve, k: int):
             mine = doc == least
             kept = _once(np.rec.fromarrays([h1[mine], h2[mine], doc[mine], same[mine], at[mine]], dtype=_REC))
             some, cut = _cuts(kept["h1"], k)
-            yield _batch(0, some, None, None, [kept[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)])
+            yield _batch(0, some, None, None, [_planes(kept[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)])
             yield from _by_document(doc[~mine], same[~mine], at[~mine], window)
 
         parts, size = [], 0
@@ -243,7 +253,7 @@ def _by_document(doc, same, at, window):
 def _judge(window: int):
     """Runs of the windows of one slice that also start in a smaller document."""
     def run(table: pa.Table) -> pa.Table:
-        rec = np.frombuffer(b"".join(x for c in table.column("payload").chunks for x in c.to_pylist()), _REC)
+        rec = np.concatenate([_from_planes(x, _REC) for c in table.column("payload").chunks for x in c.to_pylist()])
         order = np.lexsort((rec["doc"], rec["h2"], rec["h1"]))
         h1, h2, doc = rec["h1"][order], rec["h2"][order], rec["doc"][order]
         edge = np.ones(len(h1), bool)
