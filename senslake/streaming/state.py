@@ -3,7 +3,7 @@
 The ingest appends what each batch loaded (``streaming.ingest``). Two streams
 follow that log and keep tables that are read as they are:
 
-  log of a table --transformWithState, key (device, day)--> versions newer
+  log of a table --transformWithState, key (day, bucket)--> versions newer
     than any seen --foreachBatch--> upsert of the touched partitions
   run log --transformWithState, key device--> resume points that moved
     --foreachBatch--> resume table
@@ -30,6 +30,9 @@ from senslake.sinks.partitioned import merge_days, read_days
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: How long a key's state outlives its last change.
 TTL = dt.timedelta(days=45)
+#: Blocks of state per day, by the digest of the natural key: a call of the processor costs about a millisecond, so a block serves
+#: thousands of keys, and a device with most of a day's rows is in all of the day's blocks. Fixed for the life of a checkpoint.
+BUCKETS = 32
 _TS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
 _ENTRY = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("us", "<i8"), ("pos", "<i8")])
 
@@ -49,7 +52,8 @@ def newest(seen: np.ndarray, k1, k2, us, pos) -> tuple[np.ndarray, np.ndarray]:
 
 
 class LatestVersions(StatefulProcessor):
-    """Per (device, day): the latest version of each natural key, as one sorted block of digests and orders."""
+    """Per (day, bucket): the latest version of each natural key, as one sorted block of digests and orders. The rows are taken
+    chunk by chunk, so a key may pass several versions on, each newer than the last; the upsert keeps the latest."""
 
     def __init__(self, ttl: dt.timedelta = TTL):
         self.ttl = ttl
@@ -60,11 +64,14 @@ class LatestVersions(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
         held = self.seen.get()
         seen = np.frombuffer(held[0], _ENTRY) if held else np.zeros(0, _ENTRY)
-        new = pd.concat(list(rows))
-        keep, after = newest(seen, *(new[c].to_numpy() for c in ("k1", "k2", "us", "pos")))
-        if len(keep):
-            self.seen.update((after.tobytes(),))
-            yield new.iloc[np.sort(keep)][["row"]]
+        moved = False
+        for new in rows:
+            keep, seen = newest(seen, *(new[c].to_numpy() for c in ("k1", "k2", "us", "pos")))
+            if len(keep):
+                moved = True
+                yield new.iloc[np.sort(keep)][["row"]]
+        if moved:
+            self.seen.update((seen.tobytes(),))
 
     def close(self) -> None:
         pass
@@ -108,7 +115,7 @@ def current_path(out_dir: str, table: str) -> str:
 
 
 def keep_current(spark: SparkSession, out_dir: str, table: str, checkpoint: str, ttl: dt.timedelta = TTL,
-                 available_now: bool = True, interval: str = "30 minutes"):
+                 available_now: bool = True, interval: str = "30 minutes", buckets: int = BUCKETS):
     """STR2: follow the log of ``table`` and keep its current version at ``current/<table>``. Late pulls lose to what is
     newer, repeated ones pass nothing on; a batch that is run again merges the same rows."""
     spec = L.TABLES[table]
@@ -118,11 +125,10 @@ def keep_current(spark: SparkSession, out_dir: str, table: str, checkpoint: str,
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\0")) for c in spec.key]
     pulled = F.unix_micros(F.col("pulled_at").cast("timestamp"))
     # The row travels as one text column: what the state needs are two digests of its key and its order.
-    flat = log.select(F.coalesce(F.col(spec.key[0]).cast("string"), F.lit("none")).alias("device"),
-                      F.coalesce(F.to_date(spec.time).cast("string"), F.lit("none")).alias("day"),
-                      F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit(1), *reversed(parts)).alias("k2"), pulled.alias("us"),
+    flat = log.select(F.coalesce(F.to_date(spec.time).cast("string"), F.lit("none")).alias("day"),
+                      F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int").alias("bucket"), F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit(1), *reversed(parts)).alias("k2"), pulled.alias("us"),
                       F.col("point_pos").cast("long").alias("pos"), F.to_json(F.struct(*cols), _TS).alias("row"))
-    fresh = flat.groupBy("device", "day").transformWithStateInPandas(LatestVersions(ttl), "row string", "Update", "ProcessingTime")
+    fresh = flat.groupBy("day", "bucket").transformWithStateInPandas(LatestVersions(ttl), "row string", "Update", "ProcessingTime")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(F.from_json("row", schema, _TS).alias("r")).select("r.*")

@@ -86,3 +86,13 @@ def test_late_rows_are_counted_apart_and_none_is_lost(spark, tmp_dir):
     closed = [r for r in out if r.closed and r.readings]
     assert {(r.device_id, r.start) for r in closed} >= {(d, T0 + dt.timedelta(days=k)) for d in (1, 2) for k in range(6)}
     assert {r.readings for r in closed if r.start == T0} == {5}
+
+
+def test_state_is_held_in_a_fixed_number_of_blocks_a_day(spark, tmp_dir):
+    base = f"{tmp_dir}/{uuid.uuid4().hex}"
+    rows = [_row(d, h, float(d), 50) for d in range(400) for h in (1, 30)]
+    _batch(spark, f"{base}/air_readings", 0, rows)
+    q = state.keep_current(spark, base, "air_readings", f"{base}/ckpt", buckets=4)
+    q.awaitTermination()
+    assert sum(o["numRowsTotal"] for o in q.recentProgress[-1]["stateOperators"]) <= 3 * 2 * 4  # value, its expiry index and count, not one per device
+    assert state.current(spark, base, "air_readings").count() == len(rows)
