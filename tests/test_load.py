@@ -105,3 +105,20 @@ def test_session_keys_name_null_parts(spark):
     rows = spark.createDataFrame([(1, T0), (1, None), (None, T0), (1, T0)], "device_id long, started_at timestamp_ntz")
     ids = [r.session_id for r in L.session_ids(rows).collect()]
     assert len(set(ids)) == 3 and None not in ids
+
+
+def test_landed_frames_split_and_parsed_tables_are_scans(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from senslake.plans import model
+    from senslake.session import ROW_GROUP, write_split
+    wide = spark.range(60_000).repartition(1).withColumn("payload", F.concat_ws(" ", *[F.sha2(F.concat(F.lit(i), "id"), 256) for i in range(4)]))
+    write_split(wide, f"{tmp_dir}/wide")
+    file = pq.ParquetFile(glob.glob(f"{tmp_dir}/wide/*.parquet")[0]).metadata
+    assert file.num_row_groups > 2 and max(file.row_group(i).total_byte_size for i in range(file.num_row_groups)) < 2 * ROW_GROUP
+    parsed = L.load_batch(model.pulls(spark, "/root/testdata/sf0.001"))["parsed"]
+    for name in ("readings", "sleep_stages", "air_readings"):
+        assert "Generate" not in parsed[name]._jdf.queryExecution().executedPlan().toString()
