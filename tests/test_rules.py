@@ -161,3 +161,18 @@ def test_interval_join_gives_each_pair_once_whatever_the_cell(spark):
         assert sorted((x.n, x.m) for x in joins.interval_join(r, p, cell_days=cell).collect()) == want
     left = joins.interval_join(r, p, how="left").collect()
     assert len(left) == len(want) + 150 - len({n for n, _ in want}) and joins.interval_join(r.limit(0), p).count() == 0
+
+
+def test_interval_join_counts_exploded_periods_before_it_broadcasts(spark):
+    import datetime as dt
+
+    from senslake.operators.joins import interval_join
+    r = spark.range(40).selectExpr("id % 4 AS device_id", "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(CAST(id AS INT)) AS recorded_at", "id")
+    p = spark.createDataFrame([(d, dt.date(2024, 1, 3 + d), None if d else dt.date(2024, 2, 1)) for d in range(3)], "device_id long, assigned_from date, assigned_until date")
+    plans, rows = [], []
+    for limit in (5, 1000):
+        out = interval_join(r, p, how="left", limit=limit)
+        rows.append(sorted(map(str, out.collect())))
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString() + out._jdf.queryExecution().sparkPlan().toString())
+    assert rows[0] == rows[1] and len(rows[0]) == 40
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" in plans[1]
